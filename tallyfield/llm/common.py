@@ -79,6 +79,17 @@ def span_hashes(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nd
     return mix64(h + (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
+def scattered_grams(prefix: np.ndarray, size: int) -> np.ndarray:
+    """A quick hash of every gram of ``size`` bytes, good for picking among neighbours."""
+    n = len(prefix) - size
+    h = (prefix[size:] - prefix[:n]) * _inverse[:n]
+    h ^= h >> np.uint64(32)
+    h *= np.uint64(0xD6E8FEB86659FD93)
+    h ^= h >> np.uint64(32)
+    h *= np.uint64(0xD6E8FEB86659FD93)
+    return h
+
+
 def word_spans(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the words, maximal runs without the bytes 0x20 and 0x09-0x0D."""
     inside = np.zeros(len(raw) + 2, dtype=np.int8)

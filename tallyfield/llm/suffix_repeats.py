@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import prefix_hashes, saved, slices, span_hashes
+from .common import prefix_hashes, saved, scattered_grams, slices, span_hashes
 
 GRAM = 32  # bytes of the grams whose hashes decide where phrases are cut
 REACH = 9  # phrases that a sorted prefix covers: a triple of names of triples
@@ -34,8 +34,10 @@ def cuts(prefix: np.ndarray, radius: int) -> np.ndarray:
     n = len(prefix) - GRAM
     if n < 1:
         return np.empty(0, dtype=np.int64)
-    at, low, width = np.arange(n), np.uint64(0xFFFFFF), 2 * radius + 1
-    key = (span_hashes(prefix, at, at + GRAM) & ~low) | (at.astype(np.uint64) & low)
+    low, width = np.uint64(0xFFFFFF), 2 * radius + 1
+    key = scattered_grams(prefix, GRAM)
+    key &= ~low
+    key |= np.arange(n, dtype=np.uint64) & low
     rows = -(-(n + 2 * radius) // width)
     full = np.full(rows * width, ~np.uint64(0))
     full[radius : radius + n] = key
@@ -45,10 +47,13 @@ def cuts(prefix: np.ndarray, radius: int) -> np.ndarray:
     return np.flatnonzero(np.minimum(ahead[:n], behind[2 * radius : 2 * radius + n]) == key)
 
 
-def _inner(at: np.ndarray, starts: np.ndarray, length: int, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """First and last cut that the strings of ``length`` bytes at ``starts`` determine by themselves."""
-    p = np.searchsorted(at, starts + radius)
-    return p, np.searchsorted(at, starts + length - GRAM - radius, side="right") - 1
+def _inner(at: np.ndarray, size: int, length: int, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """First and last cut that each string of ``length`` bytes of a text determines by itself."""
+    held = np.zeros(size + 1, dtype=np.int32)
+    held[at + 1] = 1
+    held = np.cumsum(held, dtype=np.int32)  # held[x]: cuts before position x
+    n, end = size - length + 1, length - GRAM - radius + 1
+    return held[radius : radius + n], held[end : end + n] - 1
 
 
 def _hashed(raw: np.ndarray, prefix: np.ndarray, at: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -75,9 +80,8 @@ def _parse(docs: DataFrame, length: int, radius: int) -> DataFrame:
                     continue
                 prefix = prefix_hashes(raw)
                 at = cuts(prefix, radius)
-                starts = np.arange(len(raw) - length + 1)
-                p, q = _inner(at, starts, length, radius)
-                bare = starts[q <= p]
+                p, q = _inner(at, len(raw), length, radius)
+                bare = np.flatnonzero(q <= p)
                 sym = span_hashes(prefix, at[:-1], at[1:] + GRAM).view(np.int64) if len(at) else []
                 out.append((*row, sym, bare.astype(np.int32), *_hashed(raw, prefix, bare, length)))
             yield pd.concat([f[["id", "th"]], pd.DataFrame(out, columns=["n", "w1", "w2", "sym", "at", "h1", "h2"])], axis=1)
@@ -178,7 +182,7 @@ def _windows(raw: np.ndarray, runs: np.ndarray, length: int, radius: int) -> dic
     at = cuts(prefix, radius)
     m = np.zeros(len(at) + 1, dtype=np.int64)
     m[: len(runs)] = runs
-    p, q = _inner(at, np.arange(len(raw) - length + 1), length, radius)
+    p, q = _inner(at, len(raw), length, radius)
     low = np.concatenate([[0], np.flatnonzero((np.diff(p) != 0) | (np.diff(q) != 0)) + 1])
     high = np.append(low[1:], len(p))
     p, q = p[low], q[low]
@@ -225,20 +229,19 @@ def repeated_spans(df: DataFrame, id_column: str = "doc_id", text: str = "text",
         raise ValueError(f"length must be at least {2 * GRAM}")
     radius = (length - GRAM) // 11
     docs = keyed_rows(df, id_column, text)
-    parsed = saved(_parse(docs, length, radius).where(F.col("n") >= length))
-    classes = parsed.groupBy("n", "w1", "w2").agg(F.count(F.lit(1)).alias("held"), F.min(F.struct("id", "th")).alias("rep"))
-    several = classes.where("held > 1")
-    whole = parsed.select("id", "th", "n", "w1", "w2").distinct().join(several, ["n", "w1", "w2"]).select("id", "th", "n")
-    reps = classes.select("n", "w1", "w2", "held", F.col("rep.id").alias("id"), F.col("rep.th").alias("th"))
-    keys = ["id", "th"]
-
-    kept = parsed.select(*keys, "sym", "at", "h1", "h2").dropDuplicates(keys).join(reps.select(*keys, "held"), keys)
-    flat = kept.select(*keys, "held", F.posexplode("sym").alias("idx", "s0"))
+    parsed = saved(_parse(docs, length, radius).where(F.col("n") >= length).withColumn("doc", F.monotonically_increasing_id()))
+    classes = parsed.groupBy("n", "w1", "w2").agg(F.count(F.lit(1)).alias("held"), F.min("doc").alias("doc"))
+    whole = parsed.select("id", "th", "n", "w1", "w2").distinct().join(classes.where("held > 1").drop("doc"), ["n", "w1", "w2"]).select("id", "th", "n")
+    # of every class of equal texts one goes on
+    reps = saved(parsed.drop("n", "w1", "w2").join(classes.select("doc", "held"), "doc"))
+    named = reps.select("doc", "id", "th", "held")
+
+    flat = reps.select("doc", F.posexplode("sym").alias("idx", "s0"))
     again = flat.groupBy("s0").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("s0")
-    symbols = saved(flat.join(again, "s0").select(*keys, "held", "idx", "s0"))
-    runs = longest_runs(symbols.select(*keys, "idx", "s0"), keys)
+    symbols = saved(flat.join(again, "s0").select("doc", "idx", "s0"))
+    runs = longest_runs(symbols, ["doc"])
     # a symbol that occurs twice repeats alone at least
-    runs = symbols.join(runs, [*keys, "idx"], "left").groupBy(*keys, "held").agg(
+    runs = symbols.join(runs, ["doc", "idx"], "left").groupBy("doc").agg(
         F.collect_list(F.struct("idx", F.coalesce("m", F.lit(1)).cast("int").alias("m"))).alias("runs")
     )
 
@@ -250,40 +253,38 @@ def repeated_spans(df: DataFrame, id_column: str = "doc_id", text: str = "text",
                 m = np.zeros(at.max() + 1, dtype=np.int64)
                 m[at] = np.maximum(1, [r["m"] for r in held])
                 out.append(_windows(np.frombuffer(t, dtype=np.uint8), m, length, radius))
-            yield pd.concat([f[["id", "th", "held", "t"]], pd.DataFrame(out)], axis=1)
+            yield pd.concat([f[["doc", "held", "t"]], pd.DataFrame(out)], axis=1)
 
-    schema = "id long, th long, held long, t binary, low array<int>, high array<int>, sure array<boolean>, inner array<long>, outer array<long>"
-    grouped = saved(docs.join(runs, keys).dropDuplicates(keys).mapInPandas(group, schema))
+    # identical rows that share an id give the class's one text twice, which changes no other's result
+    schema = "doc long, held long, t binary, low array<int>, high array<int>, sure array<boolean>, inner array<long>, outer array<long>"
+    texts = docs.join(runs.join(named, "doc"), ["id", "th"]).select("doc", "held", "t", "runs")
+    grouped = saved(texts.mapInPandas(group, schema).where(F.size("low") > 0))
 
     # groups that aren't sure are decided by their strings, against one another and against the sure
     # groups around the same inner phrases, of which one stands for all with equal outer phrases
-    flat = grouped.select(*keys, F.explode(F.arrays_zip("low", "high", "sure", "inner", "outer")).alias("g")).select(*keys, "g.*")
-    asked = flat.where("not sure").select("inner").distinct()
-    stand = flat.where("sure").join(asked, "inner", "left_semi").groupBy("outer", "inner").agg(F.min(F.struct(*keys, "low", "high")).alias("g"))
-    picked = stand.groupBy(F.col("g.id").alias("id"), F.col("g.th").alias("th")).agg(F.collect_list(F.struct("g.low", "g.high")).alias("stand"))
+    groups = grouped.select("doc", F.explode(F.arrays_zip("low", "high", "sure", "inner", "outer")).alias("g")).select("doc", "g.*")
+    asked = groups.where("not sure").select("inner").distinct()
+    stand = groups.where("sure").join(asked, "inner", "left_semi").groupBy("outer", "inner").agg(F.min(F.struct("doc", "low", "high")).alias("g"))
+    picked = stand.groupBy(F.col("g.doc").alias("doc")).agg(F.collect_list(F.struct("g.low", "g.high")).alias("stand"))
 
     def strings(frames):
         for f in slices(frames, "t", 1 << 20):
-            out = []
-            for t, low, high, sure, stand in zip(f["t"], f["low"], f["high"], f["sure"], f["stand"]):
-                raw = np.frombuffer(t, dtype=np.uint8)
+            docs, out = [], []
+            for doc, t, low, high, sure, stand in zip(f["doc"], f["t"], f["low"], f["high"], f["sure"], f["stand"]):
                 spans = [(a, b) for a, b, s in zip(low, high, sure) if not s] + [(r["low"], r["high"]) for r in (stand if stand is not None else [])]
-                if not spans:
-                    out.append(([], [], []))
-                    continue
-                at = np.concatenate([np.arange(a, b) for a, b in spans])
-                out.append((at.astype(np.int32), *_hashed(raw, prefix_hashes(raw), at, length)))
-            got = pd.DataFrame(out, columns=["at", "h1", "h2"])
-            yield pd.concat([f[["id", "th"]], got], axis=1).explode(["at", "h1", "h2"]).dropna().astype({"at": "int32", "h1": "int64", "h2": "int32"})
-
-    lone = grouped.select(*keys, "t", "low", "high", "sure").join(picked, keys, "left").mapInPandas(strings, "id long, th long, at int, h1 long, h2 int")
-    bare = kept.select(*keys, F.explode(F.arrays_zip("at", "h1", "h2")).alias("x")).select(*keys, "x.at", "x.h1", "x.h2")
-    lone = saved(lone.union(bare))
-    hit = lone.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("h1", "h2")
-    found = lone.join(hit, ["h1", "h2"]).groupBy(*keys).agg(F.collect_list("at").alias("hits"))
-    alone = reps.where("held = 1").select(*keys)
-    surely = grouped.where((F.col("held") == 1) & F.exists("sure", lambda x: x)).select(*keys, "low", "high", "sure")
-    both = surely.join(found.join(alone, keys, "left_semi"), keys, "full")
+                if spans:
+                    raw, at = np.frombuffer(t, dtype=np.uint8), np.concatenate([np.arange(a, b) for a, b in spans])
+                    docs.append(np.full(len(at), doc))
+                    out.append((at.astype(np.int32), *_hashed(raw, prefix_hashes(raw), at, length)))
+            if out:
+                yield pd.DataFrame(dict(zip(["at", "h1", "h2"], map(np.concatenate, zip(*out))))).assign(doc=np.concatenate(docs))
+
+    lone = grouped.select("doc", "t", "low", "high", "sure").join(picked, "doc", "left").mapInPandas(strings, "doc long, at int, h1 long, h2 int")
+    bare = reps.select("doc", F.explode(F.arrays_zip("at", "h1", "h2")).alias("x")).select("doc", "x.at", "x.h1", "x.h2")
+    times = F.count(F.lit(1)).over(Window.partitionBy("h1", "h2"))
+    found = lone.union(bare).withColumn("times", times).where("times > 1").groupBy("doc").agg(F.collect_list("at").alias("hits"))
+    surely = grouped.where(F.exists("sure", lambda x: x)).select("doc", "low", "high", "sure")
+    both = surely.join(found, "doc", "full").join(named.where("held = 1").select("doc", "id", "th"), "doc")
 
     def cover(frames):
         for f in frames:
@@ -296,8 +297,8 @@ def repeated_spans(df: DataFrame, id_column: str = "doc_id", text: str = "text",
             yield pd.concat([f[["id", "th"]].reset_index(drop=True), got], axis=1)
 
     spans = saved(both.mapInPandas(cover, "id long, th long, starts array<int>, ends array<int>"))
-    full = whole.select(*keys, F.array(F.lit(0)).alias("starts"), F.array(F.col("n").cast("int")).alias("ends"))
-    return spans.union(full), spans.select(*keys)
+    full = whole.select("id", "th", F.array(F.lit(0)).alias("starts"), F.array(F.col("n").cast("int")).alias("ends"))
+    return spans.union(full), spans.select("id", "th")
 
 
 def remove_repeats(df: DataFrame, id_column: str = "doc_id", text: str = "text", length: int = 400) -> DataFrame:
