@@ -66,7 +66,8 @@ def _hashed(raw: np.ndarray, prefix: np.ndarray, at: np.ndarray, length: int) ->
 
 def _parse(docs: DataFrame, length: int, radius: int) -> DataFrame:
     """Per row: key, size, two hashes of the whole text, the hash of each phrase (from a cut to
-    the end of the next cut's gram), and the strings with fewer than two cuts of their own."""
+    the end of the next cut's gram), and the strings with fewer than two cuts of their own: the
+    starts [own_low, own_high) of those that the text repeats, and each distinct one."""
 
     def parse(frames):
         for f in slices(frames, "t", 1 << 20):
@@ -76,17 +77,24 @@ def _parse(docs: DataFrame, length: int, radius: int) -> DataFrame:
                 whole = hashlib.blake2b(t or b"", digest_size=16).digest()
                 row = [len(raw), int.from_bytes(whole[:8], "little", signed=True), int.from_bytes(whole[8:], "little", signed=True)]
                 if len(raw) < length:
-                    out.append((*row, [], [], [], []))
+                    out.append((*row, [], [], [], [], [], []))
                     continue
                 prefix = prefix_hashes(raw)
                 at = cuts(prefix, radius)
                 p, q = _inner(at, len(raw), length, radius)
                 bare = np.flatnonzero(q <= p)
                 sym = span_hashes(prefix, at[:-1], at[1:] + GRAM).view(np.int64) if len(at) else []
-                out.append((*row, sym, bare.astype(np.int32), *_hashed(raw, prefix, bare, length)))
-            yield pd.concat([f[["id", "th"]], pd.DataFrame(out, columns=["n", "w1", "w2", "sym", "at", "h1", "h2"])], axis=1)
-
-    return docs.mapInPandas(parse, "id long, th long, n long, w1 long, w2 long, sym array<long>, at array<int>, h1 array<long>, h2 array<int>")
+                h1, h2 = _hashed(raw, prefix, bare, length)
+                # of strings that the text itself repeats, one goes on to meet the other texts'
+                _, first, place, times = np.unique(h1, return_index=True, return_inverse=True, return_counts=True)
+                low, high = _runs_of(bare[times[place] > 1], 1)
+                out.append((*row, sym, low.astype(np.int32), high.astype(np.int32), bare[first].astype(np.int32), h1[first], h2[first]))
+            yield pd.concat([f[["id", "th"]], pd.DataFrame(out, columns=["n", "w1", "w2", "sym", "own_low", "own_high", "at", "h1", "h2"])], axis=1)
+
+    return docs.mapInPandas(
+        parse,
+        "id long, th long, n long, w1 long, w2 long, sym array<long>, own_low array<int>, own_high array<int>, at array<int>, h1 array<long>, h2 array<int>",
+    )
 
 
 def _named(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -284,13 +292,15 @@ def repeated_spans(df: DataFrame, id_column: str = "doc_id", text: str = "text",
     times = F.count(F.lit(1)).over(Window.partitionBy("h1", "h2"))
     found = lone.union(bare).withColumn("times", times).where("times > 1").groupBy("doc").agg(F.collect_list("at").alias("hits"))
     surely = grouped.where(F.exists("sure", lambda x: x)).select("doc", "low", "high", "sure")
-    both = surely.join(found, "doc", "full").join(named.where("held = 1").select("doc", "id", "th"), "doc")
+    own = reps.where("held = 1").select("doc", "id", "th", "own_low", "own_high")
+    both = own.join(surely.join(found, "doc", "full"), "doc", "left").where((F.size("own_low") > 0) | F.col("low").isNotNull() | F.col("hits").isNotNull())
 
     def cover(frames):
         for f in frames:
             out = []
-            for low, high, sure, hits in zip(f["low"], f["high"], f["sure"], f["hits"]):
+            for low, high, sure, own_low, own_high, hits in zip(f["low"], f["high"], f["sure"], f["own_low"], f["own_high"], f["hits"]):
                 parts = [np.arange(a, b) for a, b, s in zip(low, high, sure) if s] if low is not None else []
+                parts += [np.arange(a, b) for a, b in zip(own_low, own_high)]
                 parts.append(np.asarray(hits if hits is not None else [], dtype=np.int64))
                 out.append([x.astype(np.int32) for x in _runs_of(np.unique(np.concatenate(parts)), length)])
             got = pd.DataFrame(out, columns=["starts", "ends"])
