@@ -14,8 +14,9 @@ from . import incremental, oracle
 PATCHES = ((1996, 3, "NATION_4", {"rushing_tds": 1, "pat_att": 2, "pat_made": 2}), (1998, 7, "NATION_11", {"passing_tds": 3, "td_special": 0}))
 
 
-def _rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    return df.select(*[F.round(c, digits).alias(c) if t == "double" else c for c, t in df.dtypes])
+def _rounded(df: DataFrame, digits: int = 6, shift: float = 0.0) -> DataFrame:
+    """Doubles rounded for comparison; the shift keeps sums of decimals off the ties and off -0."""
+    return df.select(*[F.round(F.col(c) + shift, digits).alias(c) if t == "double" else c for c, t in df.dtypes])
 
 
 class League:
@@ -56,10 +57,10 @@ QUERIES = {
     "missing_keys": lambda x: incremental.missing_keys(x.schedules, _old(x.schedules), ["season", "week"]),
     "period_semi_slice": lambda x: incremental.last_periods(x.plain, x.plain.select("season", "week", "week_seq").distinct(), 11, 30).select("game_id", "season", "week"),
     "incremental_upsert": lambda x: incremental.replace_periods(x.schedules.where("season <= 1999").select("game_id", "season", "result"), x.schedules.where("season >= 1999").select("game_id", "season", "result", "total")),
-    "epa_offense": lambda x: _rounded(plays.epa_ratings(x.plays, "offense")),
-    "epa_defense": lambda x: _rounded(plays.epa_ratings(x.plays, "defense")),
-    "epa_joined": lambda x: _rounded(plays.epa(x.plays)),
-    "epa_scaled": lambda x: _rounded(plays.epa_ratings(x.plays, "offense", scaled_wp=True)),
+    "epa_offense": lambda x: _rounded(plays.epa_ratings(x.plays, "offense"), shift=1e-9),
+    "epa_defense": lambda x: _rounded(plays.epa_ratings(x.plays, "defense"), shift=1e-9),
+    "epa_joined": lambda x: _rounded(plays.epa(x.plays), shift=1e-9),
+    "epa_scaled": lambda x: _rounded(plays.epa_ratings(x.plays, "offense", scaled_wp=True), shift=1e-9),
     "turnovers": lambda x: plays.turnovers(x.long, x.plays),
     "turnovers_global_pairing": lambda x: plays.turnovers(x.long, x.plays, "global"),
     "redzone": lambda x: _rounded(plays.redzone(x.long, x.plays)),

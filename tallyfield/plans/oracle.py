@@ -56,7 +56,7 @@ def _epa(side: str, value: str = "epa") -> str:
         "penalty": "play and penalty", "kick": "play_type = 'field_goal'", "special": "special and play_type <> 'field_goal'",
     }
     cols = ", ".join(
-        f"count(*) filter (where {m}) {side}_{n}_plays, round(coalesce(sum({value}) filter (where {m}), 0), 6) {side}_{n}_epa_sum, round(coalesce(avg({value}) filter (where {m}), 0), 6) {side}_{n}_epa_mean"
+        f"count(*) filter (where {m}) {side}_{n}_plays, round(coalesce(sum({value}) filter (where {m}), 0) + 1e-9::double, 6) {side}_{n}_epa_sum, round(coalesce(avg({value}) filter (where {m}), 0) + 1e-9::double, 6) {side}_{n}_epa_mean"
         for n, m in masks.items()
     )
     return f"select game_id, season, week, {team} team, home_team, away_team, {cols} from plays where epa is not null and ep is not null group by all"
