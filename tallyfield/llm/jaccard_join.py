@@ -216,7 +216,7 @@ def jaccard_groups(
 
     # equal sets are one class, held by its smallest document
     whole = keyed.where("n > 0 and id is not null").select("id", "n", "h1", "h2")
-    classes = whole.groupBy("n", "h1", "h2").agg(F.min("id").alias("rep"))
+    classes = saved(whole.groupBy("n", "h1", "h2").agg(F.min("id").alias("rep")))
     same = whole.join(classes, ["n", "h1", "h2"]).where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
     reps = classes.select("rep").distinct()
 
