@@ -5,9 +5,12 @@ Texts that share nothing are all at distance 1, where no pivot tells them apart;
 therefore first cuts the space into coarse regions that no link can leave, and the pivots
 work inside these:
 
-1. Two linked sets differ in at most k shingles, k following from their sizes. Dealing the
-   shingles into k + 1 or more cells leaves at least one cell the same in both, so sets that
-   share no cell's signature can't link. The components of "shares a signature" are regions.
+1. Of two linked sets, each holds at least ``similarity`` of the other. Taken in one order of all
+   shingles (frequent ones last), the first few of either then include one in common: every such
+   shingle is the seed of a region. In a region two sets are neighbours unless their sizes, or
+   the distances to 32 fixed pivots (sets of shingles by hash), already differ too much: the
+   triangle inequality bounds the number of differing shingles from below. The components of
+   neighbours are the regions that the pivots divide.
 2. In a region, pivots create Voronoi cells; a document joins every cell whose pivot is at
    most 2r farther than its nearest (r: the link distance), so two linked documents always
    meet in the home cell of either. Cells are split again in the same way until few documents
@@ -16,86 +19,38 @@ work inside these:
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, local_components, mix64, per_key, saved, shingle_set
+from .common import components, local_components, mix64, per_key, saved, shingle_set, slices
 
 
-class Signatures:
-    """Keys of a set such that two sets with ``share * |intersection| >= part * |union|``
-    (part/share being the least similarity) have a key in common.
+BUCKETS = 32
 
-    Sizes fall into bands, each reaching to 1/similarity of the last, so linked sets are of the
-    same or of neighbouring bands: a set takes the keys of its own band and of the next.
-    """
 
-    def __init__(self, part: int, share: int):
-        self.part, self.share, self.floors, self.dealt = part, share, [1], {}
-
-    def band(self, n: int) -> int:
-        """The band of size n; two more bands are known than asked for."""
-        while self.floors[-1] <= n:
-            self.floors.append(self.floors[-1] * self.share // self.part + 1)
-        found = int(np.searchsorted(self.floors, n, side="right")) - 1
-        while len(self.floors) < found + 4:
-            self.floors.append(self.floors[-1] * self.share // self.part + 1)
-        return found
-
-    def differences(self, band: int) -> int:
-        """The most shingles in which two linked sets of up to this band can differ."""
-        return 2 * (self.floors[band + 1] - 1) * (self.share - self.part) // (self.share + self.part)
-
-    def cells(self, band: int, k: int) -> tuple[int, int]:
-        """Number of cells, and how many may be empty in a set that doesn't list its empty ones."""
-        if band not in self.dealt:
-            least = self.floors[max(0, band - 1)]
-            self.dealt[band] = (k + 1, 0)
-            for spare in range(2 * k + 2):
-                b = k + 1 + spare
-                empty = b * math.exp(-least / b)
-                if empty < 0.001 or spare >= empty + 6 * math.sqrt(empty):
-                    self.dealt[band] = (b, spare)
-                    break
-        return self.dealt[band]
-
-    def keys(self, s: np.ndarray) -> np.ndarray:
-        n = len(s)
-        if not n:
-            return np.empty(0, dtype=np.uint64)
-        own = self.band(n)
-        out = []
-        for band in (own, own + 1):
-            k = self.differences(band)
-            salt = mix64(np.array([band], dtype=np.uint64) + np.uint64(0x51ED270B))
-            if k <= 1 or (k == 2 and n <= 14):
-                out.append(mix64(self._without(s, k) ^ salt))
-                continue
-            b, spare = self.cells(band, k)
-            cell = (mix64(s ^ salt) % np.uint64(b)).astype(np.int64)
-            held = np.bincount(cell, minlength=b)
-            total = np.zeros(b, dtype=np.uint64)
-            np.add.at(total, cell, mix64(s + np.uint64(0x2545F491)))
-            sig = mix64(total ^ mix64(salt + np.arange(b, dtype=np.uint64) * np.uint64(0x9E37)))
-            out.append(sig[held > 0] if (held == 0).sum() <= spare else sig)
-        return np.unique(np.concatenate(out))
-
-    @staticmethod
-    def _without(s: np.ndarray, k: int) -> np.ndarray:
-        """Sums over the set less each choice of at most k shingles."""
-        h = mix64(s + np.uint64(0x2545F491))
-        total = h.sum(dtype=np.uint64)
-        out = [np.array([total])]
-        if k >= 1:
-            out.append(total - h)
-        if k >= 2:
-            i, j = np.triu_indices(len(h), 1)
-            out.append(total - h[i] - h[j])
-        return np.concatenate(out)
+def first_shingles(s: np.ndarray, frequent: np.ndarray, part: int, share: int) -> np.ndarray:
+    """The first shingles of a sorted set, frequent ones coming last, of which linked sets share one."""
+    n = len(s) - -(-part * len(s) // share) + 1
+    if len(frequent):
+        often = frequent[np.minimum(np.searchsorted(frequent, s), len(frequent) - 1)] == s
+        s = np.concatenate([s[~often], s[often]])
+    return s[:n]
+
+
+def sketch(s: np.ndarray) -> bytes:
+    """How many shingles of a set lie in each of the fixed pivot sets, 255 at most."""
+    held = np.bincount((mix64(s) >> np.uint64(59)).astype(np.int64), minlength=BUCKETS)
+    return np.minimum(held, 255).astype(np.uint8).tobytes()
+
+
+def neighbours(n: np.ndarray, sketches: np.ndarray, i: np.ndarray, j: np.ndarray, part: int, share: int) -> np.ndarray:
+    """Whether the sets i and j may link, going by their sizes and sketches."""
+    a, b = n[i], n[j]
+    apart = np.abs(sketches[i] - sketches[j]).sum(axis=-1)
+    fits = share * np.minimum(a, b) >= part * np.maximum(a, b)
+    return fits & ((share + part) * apart <= (share - part) * (a + b))
 
 
 def similar(common: np.ndarray, a: np.ndarray, b: np.ndarray, part: int, share: int) -> np.ndarray:
@@ -174,23 +129,99 @@ def metric_join(sets: list[np.ndarray], part: int, share: int, leaf: int = 200,
     return local_components(len(sets), np.concatenate(left), np.concatenate(right))
 
 
-def _sets(docs: DataFrame, text: str, words: int, part: int, share: int, with_keys: bool) -> DataFrame:
+def _keyed(docs: DataFrame, words: int, part: int, share: int, frequent: np.ndarray) -> DataFrame:
+    """Per document the size of its set, two hashes of the set, its sketch and its first shingles."""
+
+    def build(frames):
+        for f in slices(frames, "t"):
+            rows = []
+            for t in f["t"]:
+                s = shingle_set(t, words)
+                whole = s.sum(dtype=np.uint64).view(np.int64), mix64(s).sum(dtype=np.uint64).view(np.int64)
+                rows.append((len(s), *map(int, whole), sketch(s), first_shingles(s, frequent, part, share).view(np.int64)))
+            yield pd.concat([f[["id"]].astype("Int64"), pd.DataFrame(rows, columns=["n", "h1", "h2", "sketch", "keys"])], axis=1)
+
+    return docs.mapInPandas(build, "id long, n long, h1 long, h2 long, sketch binary, keys array<long>")
+
+
+def _shingled(docs: DataFrame, words: int) -> DataFrame:
+    def build(frames):
+        for f in slices(frames, "t"):
+            yield pd.DataFrame({"id": f["id"].astype("Int64"), "s": [shingle_set(t, words).tobytes() for t in f["t"]]})
+
+    return docs.mapInPandas(build, "id long, s binary")
+
+
+def frequent_shingles(docs: DataFrame, words: int, sample_docs: int, most: int) -> np.ndarray:
+    """Sorted shingles that three or more of a bounded sample of documents have, the ``most`` most
+    frequent. They only decide an order: any set of them gives the same links."""
+    total = docs.count()
+    share = min(1_000_000, -(-1_000_000 * sample_docs // max(1, total)))
+    sample = docs.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < share)
+
     def build(frames):
-        rule = Signatures(part, share)
+        for f in slices(frames, "t"):
+            yield pd.DataFrame({"s": np.concatenate([shingle_set(t, words) for t in f["t"]]).view(np.int64)})
+
+    counts = sample.mapInPandas(build, "s long").groupBy("s").agg(F.count(F.lit(1)).alias("n")).where("n >= 3")
+    return np.sort(counts.orderBy(F.desc("n"), "s").limit(most).select("s").toPandas()["s"].to_numpy(dtype=np.int64).view(np.uint64))
+
+
+def _meetings(rows: DataFrame, part: int, share: int, group_rows: int) -> DataFrame:
+    """Pairs (a, b) that join the neighbours among the documents of each key. A group beyond
+    ``group_rows`` is joined as a whole, which makes its region larger but loses no link."""
+
+    def pairs(f, whole):
+        key, ids, n = f["key"].to_numpy(), f["id"].to_numpy(), f["n"].to_numpy()
+        marks = np.frombuffer(b"".join(f["sketch"]), dtype=np.uint8).reshape(len(f), BUCKETS).astype(np.int16)
+        starts = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        sizes = np.diff(np.append(starts, len(f)))
+        # small groups: every two rows, a step between them at a time
+        small = np.repeat((sizes <= 12) & (key[starts] != whole), sizes)
+        for step in range(1, 12):
+            i = np.flatnonzero(small[:-step] & (key[step:] == key[:-step]))
+            if not len(i):
+                break
+            i = i[neighbours(n, marks, i, i + step, part, share)]
+            yield ids[i], ids[i + step]
+        large = (sizes > 12) | (key[starts] == whole)
+        for at, size in zip(starts[large], sizes[large]):
+            if size > group_rows or key[at] == whole:
+                yield np.full(size - 1, ids[at]), ids[at + 1 : at + size]
+                continue
+            i, j = [], []
+            for k in range(size - 1):
+                other = np.arange(at + k + 1, at + size)
+                other = other[neighbours(n, marks, at + k, other, part, share)]
+                i.append(np.full(len(other), k))
+                j.append(other - at)
+            low = local_components(size, np.concatenate(i), np.concatenate(j))
+            moved = np.flatnonzero(low != np.arange(size))
+            yield ids[at + moved], ids[at + low[moved]]
+
+    def edges(f, whole):
+        found = list(pairs(f, whole))
+        return pd.DataFrame({"a": np.concatenate([x for x, _ in found]), "b": np.concatenate([y for _, y in found])}) if found else pd.DataFrame({"a": [], "b": []})
+
+    def run(frames):
+        rest, whole = None, None  # whole: the key of a group too large to hold, of which one row stays
         for f in frames:
-            sets = [shingle_set(t, words) for t in f["t"]]
-            out = pd.DataFrame({"id": f["id"].to_numpy()})
-            if with_keys:
-                out["n"] = [len(s) for s in sets]
-                both = [(int(s.sum(dtype=np.uint64).view(np.int64)), int(mix64(s).sum(dtype=np.uint64).view(np.int64))) for s in sets]
-                out["h1"], out["h2"] = [b[0] for b in both], [b[1] for b in both]
-                out["keys"] = [rule.keys(s).view(np.int64) for s in sets]
-            else:
-                out["s"] = [s.tobytes() for s in sets]
-            yield out
+            f = f if rest is None else pd.concat([rest, f], ignore_index=True)
+            if not len(f):
+                continue
+            key = f["key"].to_numpy()
+            cut = len(key) - int(np.argmax(key[::-1] != key[-1])) if (key != key[-1]).any() else 0
+            if cut:
+                yield edges(f.iloc[:cut], whole)
+            rest = f.iloc[cut:]
+            if len(rest) > group_rows:
+                whole = key[-1]
+                yield edges(rest, whole)
+                rest = rest.iloc[:1]
+        if rest is not None and len(rest):
+            yield edges(rest, whole)
 
-    source = docs.select("id", F.col(text).cast("binary").alias("t"))
-    return source.mapInPandas(build, "id long, n long, h1 long, h2 long, keys array<long>" if with_keys else "id long, s binary")
+    return rows.repartition("key").sortWithinPartitions("key", "id").mapInPandas(run, "a long, b long")
 
 
 def jaccard_groups(
@@ -201,6 +232,8 @@ def jaccard_groups(
     part: int = 90,
     share: int = 100,
     cell_rows: int = 2000,
+    sample_docs: int = 10_000,
+    frequent: int = 100_000,
 ) -> DataFrame:
     """Groups documents linked by ``share * |intersection| >= part * |union|`` of their sets
     of distinct word shingles: per row of the input ``doc_id, n_shingles, component_id``.
@@ -211,8 +244,9 @@ def jaccard_groups(
     with null component. Rows that share an id are one node: their links add up. Other columns
     are ignored; an empty table gives an empty result.
     """
-    docs = df.select(F.col(id_column).cast("long").alias("id"), F.col(text).alias("t"))
-    keyed = saved(_sets(docs, "t", words, part, share, True))
+    docs = df.select(F.col(id_column).cast("long").alias("id"), F.col(text).cast("binary").alias("t"))
+    often = frequent_shingles(docs, words, sample_docs, frequent)
+    keyed = saved(_keyed(docs, words, part, share, often))
 
     # equal sets are one class, held by its smallest document
     whole = keyed.where("n > 0 and id is not null").select("id", "n", "h1", "h2")
@@ -221,16 +255,19 @@ def jaccard_groups(
     reps = classes.select("rep").distinct()
 
     spread = keyed.where("n > 0 and id is not null").select("id", F.explode("keys").alias("key"))
-    shared = spread.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first <> last").select("key", "first")
-    met = spread.join(shared, "key").where("id <> first").select(F.col("id").alias("a"), F.col("first").alias("b")).distinct()
-    region = saved(components(met))
+    # keys with the same documents say the same: one of them is enough
+    several = spread.groupBy("key").agg(F.count(F.lit(1)).alias("held"), F.sum(F.xxhash64("id").cast("decimal(20,0)")).alias("who")).where("held > 1")
+    telling = several.groupBy("held", "who").agg(F.min("key").alias("key")).select("key")
+    met = spread.join(saved(telling), "key")
+    known = keyed.select("id", "n", "sketch").dropDuplicates(["id"])
+    region = saved(components(_meetings(met.join(known, "id"), part, share, cell_rows)))
 
     # only regions that hold two different sets have anything to compare
     inside = region.join(reps, region["node"] == reps["rep"], "left_semi")
     several = inside.groupBy("component").agg(F.count(F.lit(1)).alias("held")).where("held > 1")
     inside = saved(inside.join(several, "component").select(F.col("node").alias("id"), F.col("component").alias("region"), "held"))
     texts = docs.join(inside.select("id").distinct(), "id", "left_semi")
-    sets = saved(_sets(texts, "t", words, part, share, False).join(inside, "id"))
+    sets = saved(_shingled(texts, words).join(inside, "id"))
 
     def join(frames):
         for f in per_key(frames, ["region"]):
