@@ -10,16 +10,18 @@ from pathlib import Path
 from pyspark.sql import SparkSession
 
 
-#: Rows of an Arrow batch: texts are long, and a Python worker holds a batch several times over.
-BATCH_ROWS = "2000"
+#: Rows and bytes of an Arrow batch: texts are long, and a Python worker holds a batch several times over.
+BATCH_ROWS, BATCH_BYTES = "2000", "8m"
+_ARROW = "spark.sql.execution.arrow."
 
 
 def ship_package(spark: SparkSession) -> None:
     """Gives executors this package's code, which their Python workers import, unless the session has
     it already, and keeps Arrow batches small unless the session sets their size itself."""
     context = spark.sparkContext
-    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    if spark.conf.get(_ARROW + "maxRecordsPerBatch") == "10000":
+        spark.conf.set(_ARROW + "maxRecordsPerBatch", BATCH_ROWS)
+        spark.conf.set(_ARROW + "maxBytesPerBatch", BATCH_BYTES)
     if getattr(context, "_tallyfield_shipped", False):
         return
     top = Path(importlib.util.find_spec("tallyfield").submodule_search_locations[0])
