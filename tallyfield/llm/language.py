@@ -146,5 +146,5 @@ def identify(
             yield pd.concat(found, ignore_index=True) if found else pd.DataFrame({"lang_pred": [], "score": []})
 
     return df.withColumns({"held_out": F.coalesce(fold == held_fold, F.lit(False)), "_p": predict(text)}).select(
-        *df.columns, "held_out", "_p.lang_pred", "_p.score"
+        *[c for c in df.columns if c not in ("held_out", "lang_pred", "score")], "held_out", "_p.lang_pred", "_p.score"
     )
