@@ -8,7 +8,7 @@ work inside these:
 1. Of two linked sets, each holds at least ``similarity`` of the other. Taken in one order of all
    shingles (frequent ones last), the first few of either then include one in common: every such
    shingle is the seed of a region. In a region two sets are neighbours unless their sizes, or
-   the distances to 32 fixed pivots (sets of shingles by hash), already differ too much: the
+   the distances to fixed pivots (32 or more sets of shingles by hash), already differ too much: the
    triangle inequality bounds the number of differing shingles from below. The components of
    neighbours are the regions that the pivots divide.
 2. In a region, pivots create Voronoi cells; a document joins every cell whose pivot is at
@@ -40,17 +40,53 @@ def first_shingles(s: np.ndarray, frequent: np.ndarray, part: int, share: int) -
 
 
 def sketch(s: np.ndarray) -> bytes:
-    """How many shingles of a set lie in each of the fixed pivot sets, 255 at most."""
-    held = np.bincount((mix64(s) >> np.uint64(59)).astype(np.int64), minlength=BUCKETS)
+    """How many shingles of a set lie in each of the fixed pivot sets, 255 at most. Sets of more than
+    1024 shingles have more pivots, each of which halves one of a smaller set's."""
+    bits = 5 + max(0, (len(s) - 1).bit_length() - 10)
+    held = np.bincount((mix64(s) >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
     return np.minimum(held, 255).astype(np.uint8).tobytes()
 
 
-def neighbours(n: np.ndarray, sketches: np.ndarray, i: np.ndarray, j: np.ndarray, part: int, share: int) -> np.ndarray:
-    """Whether the sets i and j may link, going by their sizes and sketches."""
-    a, b = n[i], n[j]
-    apart = np.abs(sketches[i] - sketches[j]).sum(axis=-1)
-    fits = share * np.minimum(a, b) >= part * np.maximum(a, b)
-    return fits & ((share + part) * apart <= (share - part) * (a + b))
+class Sketches:
+    """Sizes and sketches of sets, by which most pairs that can't link are told apart."""
+
+    def __init__(self, n: np.ndarray, sketches, part: int, share: int):
+        self.n, self.part, self.share = n, part, share
+        self.width = np.array([len(x) for x in sketches], dtype=np.int64)
+        #: for each width, the row of every set in the matrix of those at least as wide, cut down to it
+        self.tables = {}
+        for width in np.unique(np.append(self.width, BUCKETS)):
+            rows = np.flatnonzero(self.width >= width)
+            table = np.zeros((len(rows), width), dtype=np.int16)
+            for w in np.unique(self.width[rows]):
+                at = np.flatnonzero(self.width[rows] == w)
+                flat = np.frombuffer(b"".join(sketches[r] for r in rows[at]), dtype=np.uint8)
+                table[at] = flat.reshape(len(at), width, w // width).sum(axis=2)
+            place = np.full(len(n), -1)
+            place[rows] = np.arange(len(rows))
+            self.tables[int(width)] = place, table
+
+    def _fits(self, i: np.ndarray, j: np.ndarray, width: int) -> np.ndarray:
+        place, table = self.tables[width]
+        out, step = np.empty(len(i), dtype=bool), max(1, (1 << 21) // width)
+        for at in range(0, len(i), step):
+            a, b = i[at : at + step], j[at : at + step]
+            apart = np.abs(table[place[a]] - table[place[b]]).sum(axis=1, dtype=np.int64)
+            out[at : at + step] = (self.share + self.part) * apart <= (self.share - self.part) * (self.n[a] + self.n[b])
+        return out
+
+    def near(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Whether the sets i and j may link, going by their sizes and sketches."""
+        a, b = self.n[i], self.n[j]
+        ok = self.share * np.minimum(a, b) >= self.part * np.maximum(a, b)
+        at = np.flatnonzero(ok)
+        ok[at] = self._fits(i[at], j[at], BUCKETS)
+        finer = np.minimum(self.width[i], self.width[j])
+        for width in np.unique(finer[ok]):
+            if width > BUCKETS:
+                at = np.flatnonzero(ok & (finer == width))
+                ok[at] = self._fits(i[at], j[at], int(width))
+        return ok
 
 
 def similar(common: np.ndarray, a: np.ndarray, b: np.ndarray, part: int, share: int) -> np.ndarray:
@@ -58,6 +94,12 @@ def similar(common: np.ndarray, a: np.ndarray, b: np.ndarray, part: int, share:
     return share * common >= part * (a + b - common)
 
 
+def overlap(one: np.ndarray, flat: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """How many members of the sorted set each of the sets has that lie in ``flat`` up to ``ends``."""
+    hit = np.append(one, one[-1:])[np.searchsorted(one, flat)] == flat
+    return np.diff(np.concatenate([[0], np.cumsum(hit)])[ends])
+
+
 def metric_join(sets: list[np.ndarray], part: int, share: int, leaf: int = 200, pivots: int = 8) -> np.ndarray:
     """For each set the smallest index reachable by links. Splits by pivots, recursively."""
     size = np.array([len(s) for s in sets], dtype=np.int64)
@@ -67,9 +109,7 @@ def metric_join(sets: list[np.ndarray], part: int, share: int, leaf: int = 200,
     def to_pivot(i: int, rows: np.ndarray) -> np.ndarray:
         """Distances of the rows to set i; its links are noted."""
         flat = np.concatenate([sets[r] for r in rows])
-        hit = np.append(sets[i], sets[i][-1:])[np.searchsorted(sets[i], flat)] == flat
-        sums = np.concatenate([[0], np.cumsum(hit)])[np.concatenate([[0], np.cumsum(size[rows])])]
-        common = np.diff(sums)
+        common = overlap(sets[i], flat, np.concatenate([[0], np.cumsum(size[rows])]))
         near = rows[similar(common, size[rows], size[i], part, share)]
         left.append(np.full(len(near), i))
         right.append(near)
@@ -173,7 +213,7 @@ def _meetings(rows: DataFrame, part: int, share: int, group_rows: int) -> DataFr
 
     def pairs(f, whole):
         key, ids, n = f["key"].to_numpy(), f["id"].to_numpy(), f["n"].to_numpy()
-        marks = np.frombuffer(b"".join(f["sketch"]), dtype=np.uint8).reshape(len(f), BUCKETS).astype(np.int16)
+        known = Sketches(n, f["sketch"].to_list(), part, share)
         starts = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
         sizes = np.diff(np.append(starts, len(f)))
         # small groups: every two rows, a step between them at a time
@@ -182,7 +222,7 @@ def _meetings(rows: DataFrame, part: int, share: int, group_rows: int) -> DataFr
             i = np.flatnonzero(small[:-step] & (key[step:] == key[:-step]))
             if not len(i):
                 break
-            i = i[neighbours(n, marks, i, i + step, part, share)]
+            i = i[known.near(i, i + step)]
             yield ids[i], ids[i + step]
         large = (sizes > 12) | (key[starts] == whole)
         for at, size in zip(starts[large], sizes[large]):
@@ -192,7 +232,7 @@ def _meetings(rows: DataFrame, part: int, share: int, group_rows: int) -> DataFr
             i, j = [], []
             for k in range(size - 1):
                 other = np.arange(at + k + 1, at + size)
-                other = other[neighbours(n, marks, at + k, other, part, share)]
+                other = other[known.near(np.full(len(other), at + k), other)]
                 i.append(np.full(len(other), k))
                 j.append(other - at)
             low = local_components(size, np.concatenate(i), np.concatenate(j))
@@ -232,6 +272,8 @@ def jaccard_groups(
     part: int = 90,
     share: int = 100,
     cell_rows: int = 2000,
+    cell_shingles: int = 1_500_000,
+    open_rows: int = 256,
     sample_docs: int = 10_000,
     frequent: int = 100_000,
 ) -> DataFrame:
@@ -242,7 +284,8 @@ def jaccard_groups(
     fewer words than a shingle has its whole sequence as one shingle; null, empty and blank
     texts have none and link with nothing. Every text is read whole. Rows with a null id stay,
     with null component. Rows that share an id are one node: their links add up. Other columns
-    are ignored; an empty table gives an empty result.
+    are ignored; an empty table gives an empty result. A task compares the documents of a region
+    or cell, of at most ``cell_rows`` rows and ``cell_shingles`` shingles, or two blocks of it.
     """
     docs = df.select(F.col(id_column).cast("long").alias("id"), F.col(text).cast("binary").alias("t"))
     often = frequent_shingles(docs, words, sample_docs, frequent)
@@ -252,7 +295,7 @@ def jaccard_groups(
     whole = keyed.where("n > 0 and id is not null").select("id", "n", "h1", "h2")
     classes = saved(whole.groupBy("n", "h1", "h2").agg(F.min("id").alias("rep")))
     same = whole.join(classes, ["n", "h1", "h2"]).where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
-    reps = classes.select("rep").distinct()
+    reps = classes.groupBy("rep").agg(F.sum("n").alias("n"))
 
     spread = keyed.where("n > 0 and id is not null").select("id", F.explode("keys").alias("key"))
     # keys with the same documents say the same: one of them is enough
@@ -263,9 +306,10 @@ def jaccard_groups(
     region = saved(components(_meetings(met.join(known, "id"), part, share, cell_rows)))
 
     # only regions that hold two different sets have anything to compare
-    inside = region.join(reps, region["node"] == reps["rep"], "left_semi")
-    several = inside.groupBy("component").agg(F.count(F.lit(1)).alias("held")).where("held > 1")
-    inside = saved(inside.join(several, "component").select(F.col("node").alias("id"), F.col("component").alias("region"), "held"))
+    inside = region.join(reps, region["node"] == reps["rep"])
+    load = F.greatest(F.count(F.lit(1)) / cell_rows, F.sum("n") / cell_shingles)
+    several = inside.groupBy("component").agg(F.count(F.lit(1)).alias("held"), load.alias("load")).where("held > 1")
+    inside = saved(inside.join(several, "component").select(F.col("node").alias("id"), F.col("component").alias("region"), "held", "load"))
     texts = docs.join(inside.select("id").distinct(), "id", "left_semi")
     sets = saved(_shingled(texts, words).join(inside, "id"))
 
@@ -276,9 +320,9 @@ def jaccard_groups(
             moved = np.flatnonzero(found != np.arange(len(ids)))
             yield pd.DataFrame({"a": ids[moved], "b": ids[found[moved]]})
 
-    small = sets.where(F.col("held") <= cell_rows)
+    small = sets.where("load <= 1")
     links = small.repartition("region").sortWithinPartitions("region", "id").mapInPandas(join, "a long, b long")
-    links = links.union(_large_regions(sets.where(F.col("held") > cell_rows), part, share, cell_rows))
+    links = links.union(_large_regions(sets.where("load > 1"), part, share, cell_rows, cell_shingles, open_rows))
     comp = saved(components(links.union(same)))
     return (
         keyed.join(comp.withColumnRenamed("node", "id"), "id", "left")
@@ -286,26 +330,69 @@ def jaccard_groups(
     )
 
 
-def _large_regions(sets: DataFrame, part: int, share: int, cell_rows: int, pivots: int = 16) -> DataFrame:
-    """Links of regions too large for one task: a round of pivots over the whole region makes
-    its cells; a cell that is still large is compared in blocks, every two blocks in a task."""
+def _measured(members: DataFrame, pivots: DataFrame) -> DataFrame:
+    """(region, id, pivot, c, u): the shingles in common and in all, for every member of a region and every
+    pivot of it but itself. A region is measured in parts, each of which has all its pivots."""
+    parts = F.ceil("load").cast("int")
+    chosen = pivots.select("region", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"), F.lit(0).alias("kind"), "id", "s")
+    dealt = members.select("region", F.pmod(F.xxhash64("id", F.lit(1)), parts).cast("int").alias("part"), F.lit(1).alias("kind"), "id", "s")
+
+    def measure(frames):
+        for f in per_key(frames, ["region", "part"]):
+            rows, at = f[f["kind"] == 1], f[f["kind"] == 0]
+            if not len(rows):
+                continue
+            held = [np.frombuffer(s, dtype=np.uint64) for s in rows["s"]]
+            size, flat = np.array([len(m) for m in held]), np.concatenate(held)
+            ends = np.concatenate([[0], np.cumsum(size)])
+            for pivot, s in zip(at["id"], at["s"]):
+                one = np.frombuffer(s, dtype=np.uint64)
+                c = overlap(one, flat, ends)
+                out = pd.DataFrame({"region": rows["region"], "id": rows["id"], "pivot": pivot, "c": c, "u": size + len(one) - c})
+                yield out[out["id"] != pivot]
+
+    met = chosen.union(dealt).repartition("region", "part").sortWithinPartitions("region", "part", "kind", "id")
+    return saved(met.mapInPandas(measure, "region long, id long, pivot long, c long, u long"))
+
+
+def _large_regions(sets: DataFrame, part: int, share: int, cell_rows: int, cell_shingles: int, open_rows: int, pivots: int = 16) -> DataFrame:
+    """Links of regions too large for one task.
+
+    All links of a round of pivots are known at once. Documents that these put into one
+    component need no comparing among themselves, so only the documents outside a region's largest
+    component, the open ones, are left to compare with all others: as pivots of their own where
+    they are few, else in the Voronoi cells of the first pivots. A cell that is still large is
+    compared in blocks, every two blocks in a task.
+    """
     radius = 1 - part / share + 1e-9
-    chosen = sets.where(F.pmod(F.xxhash64("id"), F.ceil(F.col("held") / pivots)) == 0).select("region", F.col("id").alias("pivot"), F.col("s").alias("ps"))
-    met = sets.join(chosen, "region").where("id <> pivot")
-
-    @F.pandas_udf("long")
-    def common(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([len(np.intersect1d(np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64), assume_unique=True)) for x, y in zip(a, b)], dtype="int64")
-
-    size = F.length("s") / 8 + F.length("ps") / 8
-    measured = saved(met.withColumn("c", common("s", "ps")).select("region", "id", "pivot", F.col("c").alias("c"), (size - F.col("c")).alias("u")))
-    to_pivot = measured.where(F.col("c") * share >= F.col("u") * part).select(F.col("id").alias("a"), F.col("pivot").alias("b"))
-    near = measured.groupBy("region", "id").agg(F.min(1 - F.col("c") / F.col("u")).alias("nearest"))
-    cells = measured.join(near, ["region", "id"]).where(1 - F.col("c") / F.col("u") <= F.col("nearest") + 2 * radius).select("region", "pivot", "id")
+    is_pivot = F.pmod(F.xxhash64("id"), F.ceil(F.col("held") / pivots)) == 0
+    measured = _measured(sets, sets.where(is_pivot))
+    linked = F.col("c") * share >= F.col("u") * part
+    to_pivot = measured.where(linked).select(F.col("id").alias("a"), F.col("pivot").alias("b"))
+
+    comp = saved(components(to_pivot))
+    light = sets.select("region", "id", is_pivot.alias("pivot"), (F.length("s") / 8).alias("n"))
+    light = light.join(comp.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+    main = light.groupBy("region", "component").agg(F.count(F.lit(1)).alias("k")).groupBy("region").agg(F.max_by("component", F.struct("k", "component")).alias("main"))
+    open_ = light.join(main, "region").where((F.col("component") != F.col("main")) & ~F.col("pivot")).select("region", "id", "n")
+    few = (F.count(F.lit(1)) <= open_rows) & (F.sum("n") <= cell_shingles)
+    open_ = saved(open_.join(open_.groupBy("region").agg(few.alias("few")), "region").select("region", "id", "few"))
+
+    lone = sets.join(open_.where("few").select("region", "id").distinct(), ["region", "id"], "left_semi")
+    asked = sets.join(open_.where("few").select("region").distinct(), "region", "left_semi")
+    settled = _measured(asked, lone).where(linked).select(F.col("id").alias("a"), F.col("pivot").alias("b"))
+
+    far = measured.withColumn("d", 1 - F.col("c") / F.col("u")).join(open_.where("not few").select("region").distinct(), "region", "left_semi")
+    near = far.groupBy("region", "id").agg(F.min(F.struct("d", "pivot")).alias("x")).select("region", "id", F.col("x.d").alias("nearest"), F.col("x.pivot").alias("home"))
+    homes = near.join(open_, ["region", "id"], "left_semi").groupBy("region", F.col("home").alias("pivot")).agg(F.max("nearest").alias("wide"))
+    cells = far.join(near, ["region", "id"]).join(homes, ["region", "pivot"])
+    cells = cells.where((F.col("d") <= F.col("nearest") + 2 * radius) & (F.col("d") <= F.col("wide") + radius)).select("region", "pivot", "id")
     # regions whose sampling rule chose no pivot stay one cell, named after the region
-    bare = sets.join(chosen.select("region").distinct(), "region", "left_anti").select("region", F.col("region").alias("pivot"), "id")
-    placed = sets.drop("held").join(cells.union(bare), ["region", "id"])
-    counts = placed.groupBy("region", "pivot").agg(F.ceil(F.count(F.lit(1)) / cell_rows).cast("int").alias("blocks"))
+    bare = sets.join(measured.select("region").distinct(), "region", "left_anti").select("region", F.col("region").alias("pivot"), "id")
+    placed = sets.drop("held", "load").join(saved(cells.union(bare)), ["region", "id"])
+    counts = placed.groupBy("region", "pivot").agg(
+        F.ceil(F.greatest(F.count(F.lit(1)) / cell_rows, F.sum(F.length("s") / 8) / cell_shingles)).cast("int").alias("blocks")
+    )
     own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
     pairs = (
         placed.join(counts, ["region", "pivot"])
@@ -321,4 +408,5 @@ def _large_regions(sets: DataFrame, part: int, share: int, cell_rows: int, pivot
             moved = np.flatnonzero(found != np.arange(len(ids)))
             yield pd.DataFrame({"a": ids[moved], "b": ids[found[moved]]})
 
-    return to_pivot.union(pairs.repartition(*keys).sortWithinPartitions(*keys, "id").mapInPandas(join, "a long, b long"))
+    rest = pairs.repartition(*keys).sortWithinPartitions(*keys, "id").mapInPandas(join, "a long, b long")
+    return to_pivot.union(settled).union(rest)

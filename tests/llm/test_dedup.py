@@ -74,7 +74,7 @@ def test_jaccard_documents(spark):
     assert got_groups(docs) == brute_jaccard([(r["doc_id"], r["text"]) for r in docs.collect()])
 
 
-@pytest.mark.parametrize("limits", [{}, {"cell_rows": 8}, {"cell_rows": 5, "cell_shingles": 900, "frequent": 20}])
+@pytest.mark.parametrize("limits", [{}, {"cell_rows": 8}, {"cell_rows": 5, "cell_shingles": 900, "frequent": 20, "open_rows": 0}])
 def test_jaccard_near_copies(spark, limits):
     rows = near_copies()
     df = documents(spark, rows)
