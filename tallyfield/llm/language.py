@@ -145,6 +145,7 @@ def identify(
                 }))
             yield pd.concat(found, ignore_index=True) if found else pd.DataFrame({"lang_pred": [], "score": []})
 
-    return df.withColumns({"held_out": F.coalesce(fold == held_fold, F.lit(False)), "_p": predict(text)}).select(
+    # the mark keeps filters on the results from running the function a second time
+    return df.withColumns({"held_out": F.coalesce(fold == held_fold, F.lit(False)), "_p": predict.asNondeterministic()(text)}).select(
         *[c for c in df.columns if c not in ("held_out", "lang_pred", "score")], "held_out", "_p.lang_pred", "_p.score"
     )

@@ -333,7 +333,7 @@ def remove_repeats(df: DataFrame, id_column: str = "doc_id", text: str = "text",
 
         return pd.Series([one(x, a, b) for x, a, b in zip(t, starts, ends)], dtype=object)
 
-    return cut.withColumn(text, F.when(F.col("_starts").isNull(), F.col(text)).otherwise(clean(text, "_starts", "_ends"))).select(*df.columns)
+    return cut.withColumn(text, F.when(F.col("_starts").isNull(), F.col(text)).otherwise(clean.asNondeterministic()(text, "_starts", "_ends"))).select(*df.columns)
 
 
 def repeat_report(df: DataFrame, id_column: str = "doc_id", text: str = "text", length: int = 400) -> DataFrame:
