@@ -41,8 +41,9 @@ def first_shingles(s: np.ndarray, frequent: np.ndarray, part: int, share: int) -
 
 def sketch(s: np.ndarray) -> bytes:
     """How many shingles of a set lie in each of the fixed pivot sets, 255 at most. Sets of more than
-    1024 shingles have more pivots, each of which halves one of a smaller set's."""
-    bits = 5 + max(0, (len(s) - 1).bit_length() - 10)
+    256 shingles have more pivots, each of which halves one of a smaller set's: at eight shingles
+    in each, unrelated texts of any length differ by more than linked ones may."""
+    bits = max(5, ((len(s) - 1) // 8).bit_length())
     held = np.bincount((mix64(s) >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
     return np.minimum(held, 255).astype(np.uint8).tobytes()
 
