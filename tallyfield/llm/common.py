@@ -23,12 +23,22 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+#: Whether shuffle files go when the query that wrote them ends, not when the driver collects garbage.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def saved(df: DataFrame) -> DataFrame:
     """The same rows, written to the shared folder and read again: later steps neither
-    recompute them nor depend on an executor that still holds them."""
+    recompute them nor depend on an executor that still holds them. Nothing reads the shuffle files
+    of the write again, so they go with its end; the session's own setting holds for all else."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/table-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
