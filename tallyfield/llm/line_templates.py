@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import math
 import re
+from array import array
 from collections import Counter
 from itertools import islice
 
@@ -12,10 +14,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import per_key, saved, slices
+from .common import saved, slices
 from .suffix_repeats import keyed_rows
 
 FIELD = b"<*>"
+PLAIN = 64  # templates of a leaf up to which each line is compared with all of them
 _digit = re.compile(rb"[0-9]")
 
 
@@ -41,27 +44,72 @@ def leaf_of(tokens: list[bytes], depth: int) -> int:
     return _hash(str(len(tokens)).encode(), *tokens[:depth])
 
 
-def generalise(lines: list[list[bytes]], similarity: float) -> list[tuple[bytes, ...]]:
-    """A template for each line of a leaf (all of the same number of tokens), in the given order: a
-    line joins the template with which it shares the most tokens, if that is at least
-    ``similarity`` of them, and what differs becomes a variable field."""
-    ids: dict = {FIELD: 0}
-    rows = np.array([[ids.setdefault(t, len(ids)) for t in tokens] for tokens in lines], dtype=np.int64)
-    words = list(ids)
-    held = np.empty_like(rows)
-    count, of = 0, np.empty(len(rows), dtype=np.int64)
-    for i, row in enumerate(rows):
-        if count:
-            same = (held[:count] == row).sum(axis=1)
+class Leaf:
+    """The templates of a leaf, formed line by line in the given order: a line joins the template with which
+    it shares the most tokens (the first of equal ones), if that is at least ``similarity`` of
+    them, and what differs becomes a variable field. Only templates are held, not lines."""
+
+    def __init__(self, similarity: float):
+        self.similarity, self.ids, self.count = similarity, {FIELD: 0}, 0
+        self.held = np.empty((0, 0), dtype=np.int64)
+        #: the templates that have, or once had, a token at a place; kept from ``PLAIN`` templates on
+        self.having: dict | None = None
+
+    def _note(self, k: int, places) -> None:
+        for p in places:
+            self.having.setdefault((p, int(self.held[k, p])), []).append(k)
+
+    def _near(self, row: np.ndarray):
+        """The templates that may be similar to a line, as places in order. One that differs in
+        at most m tokens agrees with the line in one of any m + 1 places: the rarest are looked up."""
+        if self.count < PLAIN:
+            return slice(0, self.count)
+        if self.having is None:
+            self.having = {}
+            for k in range(self.count):
+                self._note(k, range(len(row)))
+        lists = sorted((self.having.get((p, t), ()) for p, t in enumerate(row.tolist())), key=len)
+        lists = lists[: len(row) - math.ceil(self.similarity * len(row)) + 1]
+        if lists and len(lists[-1]) >= self.count:
+            return slice(0, self.count)
+        return np.array(sorted(set().union(*lists)), dtype=np.int64)
+
+    def add(self, tokens: list[bytes]) -> int:
+        """The number of the template that the line joins or begins."""
+        ids = self.ids
+        row = np.array([ids.setdefault(t, len(ids)) for t in tokens], dtype=np.int64)
+        if not self.count:
+            self.held = np.empty((1, len(row)), dtype=np.int64)
+        near = self._near(row)
+        same = (self.held[near] == row).sum(axis=1)
+        if len(same):
             best = int(same.argmax())
-            if same[best] >= similarity * len(row):
-                held[best] = np.where(held[best] == row, row, 0)
-                of[i] = best
-                continue
-        held[count] = row
-        of[i] = count
-        count += 1
-    return [tuple(words[t] for t in held[k]) for k in of]
+            if same[best] >= self.similarity * len(row):
+                k = best if isinstance(near, slice) else int(near[best])
+                moved = np.flatnonzero((self.held[k] != row) & (self.held[k] != 0))
+                self.held[k, moved] = 0
+                if self.having is not None:
+                    self._note(k, moved.tolist())
+                return k
+        if self.count == len(self.held):
+            self.held = np.concatenate([self.held, np.empty_like(self.held)])
+        self.held[self.count] = row
+        self.count += 1
+        if self.having is not None:
+            self._note(self.count - 1, range(len(row)))
+        return self.count - 1
+
+    def templates(self) -> list[tuple[bytes, ...]]:
+        words = list(self.ids)
+        return [tuple(words[t] for t in row) for row in self.held[: self.count].tolist()]
+
+
+def generalise(lines: list[list[bytes]], similarity: float) -> list[tuple[bytes, ...]]:
+    """A template for each line of a leaf (all of the same number of tokens), in the given order."""
+    leaf = Leaf(similarity)
+    of = [leaf.add(tokens) for tokens in lines]
+    templates = leaf.templates()
+    return [templates[k] for k in of]
 
 
 def drop_recurring_lines(
@@ -83,8 +131,9 @@ def drop_recurring_lines(
     stays, all its others go, copies in the same document too. Lines of fewer than ``min_tokens``
     tokens, and templates with less than half of their tokens fixed, are never dropped.
 
-    Leaves with more than ``leaf_lines`` distinct lines are split by the last token, so that
-    no task gets an unbounded leaf. A null text stays null (0 lines), an empty one is one empty
+    A leaf is never divided, so a line's fate doesn't depend on how many others its leaf has. Its
+    distinct lines are read in order, ``leaf_lines`` at a time; a task holds their templates and,
+    for each line, two hashes and a number. A null text stays null (0 lines), an empty one is one empty
     line. Identical rows count as one document; rows that share an id but not the text
     are documents of their own. Other columns stay as they are.
     """
@@ -102,7 +151,7 @@ def drop_recurring_lines(
 
     seen = saved(docs.mapInPandas(scan, "id long, th long, line int, leaf long, l1 long, l2 long"))
     # a leaf can only hold a recurring template if its lines come from enough places
-    leaves = seen.groupBy("leaf", "l1", "l2").agg(F.count(F.lit(1)).alias("n")).groupBy("leaf").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("kinds"))
+    leaves = seen.groupBy("leaf", "l1", "l2").agg(F.count(F.lit(1)).alias("n")).groupBy("leaf").agg(F.sum("n").alias("n"))
     leaves = saved(leaves.where(F.col("n") >= min_docs))
 
     def lines(frames):
@@ -115,29 +164,36 @@ def drop_recurring_lines(
                         held[(leaf_of(tokens, depth), b" ".join(tokens))] += 1
             yield pd.DataFrame({"leaf": [k[0] for k in held], "tokens": [k[1] for k in held], "n": list(held.values())})
 
-    distinct = docs.mapInPandas(lines, "leaf long, tokens binary, n long").join(leaves.select("leaf", "kinds"), "leaf")
-    distinct = distinct.groupBy("leaf", "kinds", "tokens").agg(F.sum("n").alias("n"))
-    last = F.element_at(F.split(F.col("tokens").cast("string"), " "), -1)
-    distinct = distinct.withColumn("part", F.pmod(F.xxhash64(last), F.ceil(F.col("kinds") / leaf_lines)))
+    distinct = docs.mapInPandas(lines, "leaf long, tokens binary, n long").join(leaves.select("leaf"), "leaf")
+    distinct = distinct.groupBy("leaf", "tokens").agg(F.sum("n").alias("n"))
 
     def settle(frames):
-        for f in per_key(frames, ["leaf", "part"]):
-            kinds = [bytes(t).split(b" ") for t in f["tokens"]]
-            # lines whose last tokens share a hash may still be many: the tree goes one level deeper
-            groups = np.zeros(len(kinds), dtype=np.int64) if len(kinds) <= 2 * leaf_lines else np.array([_hash(k[-2]) % (len(kinds) // leaf_lines) for k in kinds])
-            for g in np.unique(groups):
-                at = np.flatnonzero(groups == g)
-                for i, template in zip(at, generalise([kinds[i] for i in at], similarity)):
-                    if 2 * template.count(FIELD) <= len(template):
-                        yield (*_pair(b" ".join(kinds[i])), *_pair(b" ".join(template)))
+        def finished():
+            templates = [_pair(b" ".join(t)) if 2 * t.count(FIELD) <= len(t) else None for t in leaf.templates()]
+            for l1, l2, k in zip(*held):
+                if templates[k] is not None:
+                    yield l1, l2, *templates[k]
+
+        at, leaf, held = None, None, None
+        for f in frames:
+            for low in range(0, len(f), leaf_lines):
+                for key, line in zip(f["leaf"].iloc[low : low + leaf_lines], f["tokens"].iloc[low : low + leaf_lines]):
+                    if leaf is None or key != at:
+                        if leaf is not None:
+                            yield from finished()
+                        at, leaf, held = key, Leaf(similarity), (array("q"), array("q"), array("q"))
+                    line = bytes(line)
+                    for column, value in zip(held, (*_pair(line), leaf.add(line.split(b" ")))):
+                        column.append(value)
+        if leaf is not None:
+            yield from finished()
 
     def settled(frames):
         rows = settle(frames)
         while batch := list(islice(rows, 20_000)):
             yield pd.DataFrame(batch, columns=["l1", "l2", "t1", "t2"])
 
-    sort = ["leaf", "part", F.desc("n"), "tokens"]
-    templates = distinct.repartition("leaf", "part").sortWithinPartitions(*sort).mapInPandas(settled, "l1 long, l2 long, t1 long, t2 long")
+    templates = distinct.repartition("leaf").sortWithinPartitions("leaf", F.desc("n"), "tokens").mapInPandas(settled, "l1 long, l2 long, t1 long, t2 long")
     met = saved(seen.join(templates, ["l1", "l2"]).select("t1", "t2", "id", "th", "line"))
     recurring = (
         met.groupBy("t1", "t2", "id", "th").agg(F.min("line").alias("line"))

@@ -224,3 +224,37 @@ def test_lines_edges(spark):
 def test_lines_documents(spark):
     docs = table(spark, "documents")
     assert got_lines(docs) == brute_lines([(r["doc_id"], r["text"]) for r in docs.collect()])
+
+
+def varied_lines(seed=5):
+    """A leaf of many lines: templates that vary in the last, the second-last and other tokens."""
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(4))
+    bases = [[word() for _ in range(9)] for _ in range(40)]
+    rows = []
+    for i in range(300):
+        lines = []
+        for _ in range(3):
+            tokens = list(rng.choice(bases))
+            for p in rng.choice([[8], [7], [7, 8], [3, 8], [2, 4, 6]]):
+                tokens[p] = word()
+            lines.append("one two three " + " ".join(tokens))
+        rows.append((i, "\n".join(lines)))
+    return rows
+
+
+def test_lines_of_a_large_leaf_are_not_divided(spark):
+    rows = varied_lines()
+    want = brute_lines(rows)
+    assert sum(r[3] for r in want) > 500
+    assert got_lines(documents(spark, rows), leaf_lines=20) == want
+
+
+def test_templates_found_by_rare_tokens_are_those_of_a_plain_search(monkeypatch):
+    lines = [line.encode().split() for _, t in varied_lines(6) for line in t.split("\n")]
+    lines = [[b"<*>" if k % 7 == p % 5 and p > 5 else t for p, t in enumerate(x)] for k, x in enumerate(lines)]
+    monkeypatch.setattr(line_templates, "PLAIN", 10**9)
+    want = line_templates.generalise(lines, 0.7)
+    monkeypatch.setattr(line_templates, "PLAIN", 2)
+    assert line_templates.generalise(lines, 0.7) == want
+    assert len(set(want)) > 40
