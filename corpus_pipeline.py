@@ -34,7 +34,7 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_recurring_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the lines of recurring templates but the first; documents left without text go."""
-    return _documents(line_templates.drop_recurring_lines(docs).where(F.trim("text") != ""))
+    return _documents(line_templates.drop_recurring_lines(docs, short_lines=True).where(F.trim("text") != ""))
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -121,6 +121,7 @@ def drop_recurring_lines(
     depth: int = 3,
     similarity: float = 0.7,
     leaf_lines: int = 2000,
+    short_lines: bool = False,
 ) -> DataFrame:
     """The table with recurring lines dropped from ``text``, and the counts ``n_lines`` and
     ``n_dropped`` added.
@@ -128,8 +129,10 @@ def drop_recurring_lines(
     Tokens with a digit are variable fields. A line falls through the tree by its number of tokens
     and its first ``depth`` tokens to a leaf, where similar lines share a template. A template
     that occurs in ``min_docs`` documents or more recurs: its first line (by id, then position)
-    stays, all its others go, copies in the same document too. Lines of fewer than ``min_tokens``
-    tokens, and templates with less than half of their tokens fixed, are never dropped.
+    stays, all its others go, copies in the same document too. Templates with less than half of
+    their tokens fixed are never dropped. With ``short_lines``, lines of fewer than ``min_tokens``
+    tokens have a leaf by all their tokens, and so recur only as equals after masking; without it
+    they are never dropped. Lines without a token always stay.
 
     A leaf is never divided, so a line's fate doesn't depend on how many others its leaf has. Its
     distinct lines are read in order, ``leaf_lines`` at a time; a task holds their templates and,
@@ -138,6 +141,10 @@ def drop_recurring_lines(
     are documents of their own. Other columns stay as they are.
     """
     docs = keyed_rows(df, id_column, text)
+    least = 1 if short_lines else max(1, min_tokens)
+
+    def leaf(tokens):
+        return leaf_of(tokens, depth if len(tokens) >= min_tokens else len(tokens))
 
     def scan(frames):
         for f in slices(frames, "t"):
@@ -145,8 +152,8 @@ def drop_recurring_lines(
             for doc, th, t in zip(f["id"], f["th"], f["t"]):
                 for k, line in enumerate(t.split(b"\n")):
                     tokens = masked(line)
-                    if len(tokens) >= min_tokens:
-                        rows.append((doc, th, k, leaf_of(tokens, depth), *_pair(b" ".join(tokens))))
+                    if len(tokens) >= least:
+                        rows.append((doc, th, k, leaf(tokens), *_pair(b" ".join(tokens))))
             yield pd.DataFrame(rows, columns=["id", "th", "line", "leaf", "l1", "l2"])
 
     seen = saved(docs.mapInPandas(scan, "id long, th long, line int, leaf long, l1 long, l2 long"))
@@ -160,8 +167,8 @@ def drop_recurring_lines(
             for t in f["t"]:
                 for line in t.split(b"\n"):
                     tokens = masked(line)
-                    if len(tokens) >= min_tokens:
-                        held[(leaf_of(tokens, depth), b" ".join(tokens))] += 1
+                    if len(tokens) >= least:
+                        held[(leaf(tokens), b" ".join(tokens))] += 1
             yield pd.DataFrame({"leaf": [k[0] for k in held], "tokens": [k[1] for k in held], "n": list(held.values())})
 
     distinct = docs.mapInPandas(lines, "leaf long, tokens binary, n long").join(leaves.select("leaf"), "leaf")

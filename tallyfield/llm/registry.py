@@ -26,7 +26,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = line_templates.drop_recurring_lines(table(spark, sf_dir, "documents"))
+    out = line_templates.drop_recurring_lines(table(spark, sf_dir, "documents"), short_lines=True)
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 

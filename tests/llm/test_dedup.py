@@ -258,3 +258,24 @@ def test_templates_found_by_rare_tokens_are_those_of_a_plain_search(monkeypatch)
     monkeypatch.setattr(line_templates, "PLAIN", 2)
     assert line_templates.generalise(lines, 0.7) == want
     assert len(set(want)) > 40
+
+
+def test_short_lines_recur_as_equals(spark, tmp_path):
+    shared = ["All rights reserved.", "Contents", "\u5168\u6587\u4e0d\u5f97\u8f6c\u8f7d", "page 3 of"]
+    rows = [(i, "\n".join(["", "own%s" % "abcdefgh"[i], *shared[: 3 if i < 2 else 4], f"{i}", "  "]).replace("page 3", f"page {i}")) for i in range(7)]
+    rows += [(20 + i, f"All rights {x}") for i, x in enumerate(["remain", "lapse", "end", "return"])]
+    held = {r["doc_id"]: (r["text"].split("\n"), r["n_dropped"]) for r in line_templates.drop_recurring_lines(documents(spark, rows), short_lines=True).collect()}
+    assert held[0] == (["", "owna", *shared[:3], "0", "  "], 0)
+    assert held[1] == (["", "ownb", "1", "  "], 3)
+    assert held[2] == (["", "ownc", "page 2 of", "2", "  "], 3)
+    assert held[3] == (["", "ownd", "3", "  "], 4)
+    assert all(held[20 + k][1] == 0 for k in range(4))
+    # the query and the pipeline's stage include them
+    import corpus_pipeline
+    from tallyfield.llm import registry
+
+    df = spark.createDataFrame([(i, t, "en", "web", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    df.write.parquet(str(tmp_path / "documents.parquet"))
+    assert sum(r["n_dropped"] for r in registry.op1_line_templates(spark, str(tmp_path)).collect()) == 3 * 6 + 4
+    left = {r["doc_id"]: r["text"] for r in corpus_pipeline.drop_recurring_lines(spark, df, "").collect()}
+    assert left[6] == "\nowng\n6\n  "
