@@ -7,13 +7,14 @@ return the columns of ``documents``.
 
 from __future__ import annotations
 
+import math
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyfield.llm import jaccard_join, language, line_templates, packing, suffix_repeats
-from tallyfield.llm.common import shared_dir
+from tallyfield.llm.common import saved, shared_dir
 from tallyfield.session import ship_package
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -24,12 +25,23 @@ def _documents(df: DataFrame) -> DataFrame:
     return df.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
+#: The share of labelled training documents that may score below what the language stage asks for.
+LEAST_LIKE = 0.001
+
+
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without any letter or text, whose language can't be told; ``lang`` becomes
-    the predicted one only where it was null."""
+    """Drops documents whose language can't be told: those without any letter or text, and those
+    whose cosine with the best profile is no more than chance. That is below three times the spread of random vectors
+    (3 / sqrt(dimensions)), or below what all but ``LEAST_LIKE`` of all labelled training
+    documents reach, if that is less. ``lang`` becomes the predicted one only where it was null."""
     ship_package(spark)
-    found = language.identify(docs)
-    return _documents(found.where(F.col("lang_pred") != language.UNKNOWN).withColumn("lang", F.coalesce("lang", "lang_pred")))
+    found = saved(language.identify(docs))
+    trained = found.where(~F.col("held_out") & F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & (F.col("lang_pred") != language.UNKNOWN))
+    reached = trained.agg(F.percentile_approx("score", LEAST_LIKE, 100_000)).first()[0]
+    chance = (1 + 3 / math.sqrt(language.DIMENSIONS)) / 2
+    least = chance if reached is None else min(chance, reached)
+    known = (F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= least)
+    return _documents(found.where(known).withColumn("lang", F.coalesce("lang", "lang_pred")))
 
 
 def drop_recurring_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -11,6 +11,7 @@ from .common import hashed_fold, slices
 
 SYMBOLS = 128
 UNKNOWN = "und"
+DIMENSIONS = 512
 
 
 def _symbol_table() -> np.ndarray:
@@ -108,7 +109,7 @@ def identify(
     folds: int = 3,
     held_fold: int = 1,
     per_language: int = 1500,
-    dimensions: int = 512,
+    dimensions: int = DIMENSIONS,
     grams: int = 3,
 ) -> DataFrame:
     """The table with ``held_out``, ``lang_pred`` and ``score`` added.
