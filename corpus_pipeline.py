@@ -50,11 +50,20 @@ def drop_recurring_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of the documents linked by a Jaccard similarity of 0.8 of five-word shingles, the one with
-    the smallest id stays."""
-    groups = jaccard_join.jaccard_groups(docs, words=5, part=80, share=100)
-    kept = groups.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(*COLUMNS)
+    """Of the rows linked by a Jaccard similarity of 0.8 of five-word shingles one stays, that with
+    the smallest id (null ids come last), then the smallest hash of the text.
+
+    Every row is a node of its own: rows that share an id are linked only if their texts are, and
+    rows without an id take part like others. Texts without a word link with nothing, but of
+    rows with the same id and such a text one stays, too."""
+    rows = saved(docs.select(*COLUMNS).withColumn("_row", F.monotonically_increasing_id()))
+    groups = jaccard_join.jaccard_groups(rows, id_column="_row", words=5, part=80, share=100)
+    groups = groups.select(F.col("doc_id").alias("_row"), F.when(F.col("n_shingles") > 0, F.col("component_id")).alias("_group"))
+    keyed = rows.select("_row", "doc_id", F.xxhash64("text").alias("_th"), F.sha2("text", 256).alias("_text")).join(groups, "_row")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_th", "_row")).alias("first")
+    linked = keyed.where("_group is not null").groupBy("_group").agg(first).select("first._row")
+    lone = keyed.where("_group is null").groupBy("doc_id", "_text").agg(first).select("first._row")
+    return rows.join(linked.union(lone), "_row", "left_semi").select(*COLUMNS)
 
 
 def drop_repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -26,3 +26,22 @@ def test_language_stage_drops_what_resembles_no_language(spark):
     assert not {i for i in left if i >= 10**7}
     clean = {r["doc_id"] for r in docs.where("n_chars >= 100").select("doc_id").collect()}
     assert clean <= left
+
+
+def test_repeated_rows_and_null_ids_leave_one_row_of_each_group(spark, tmp_path):
+    rng = random.Random(2)
+    text = lambda n=120: " ".join("".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(n))
+    same, own, near, two, others = text(), text(), text().split(" "), [text(), text()], [text(), text()]
+    changed = " ".join([*near[:60], "changed", *near[61:]])
+    near = " ".join(near)
+    rows = [(1, same), (1, same), (1, same), (2, own), (None, others[0]), (None, others[1]), (None, others[1])]
+    rows += [(4, changed), (3, near), (None, near), (5, two[0]), (5, two[1]), (6, two[0]), (7, "\t"), (7, "\t"), (8, "\t"), (9, None), (9, None)]
+    want = [(1, same), (2, own), (3, near), (5, two[0]), (5, two[1]), (7, "\t"), (8, "\t"), (9, None), (None, others[0]), (None, others[1])]
+    out = corpus_pipeline.keep_one_of_each_group(spark, made(spark, rows), "")
+    assert out.columns == corpus_pipeline.COLUMNS
+    out.write.parquet(str(tmp_path / "kept"))
+    out = spark.read.parquet(str(tmp_path / "kept"))
+    assert sorted(((r["doc_id"], r["text"]) for r in out.collect()), key=str) == sorted(want, key=str)
+    # none of them is a copy any more, so the next stage takes nothing away
+    left = corpus_pipeline.drop_repeated_strings(spark, out, "")
+    assert sorted(((r["doc_id"], r["text"]) for r in left.collect()), key=str) == sorted((w for w in want if w[1] is not None), key=str)
