@@ -1,6 +1,7 @@
 """Language identification with hyperdimensional profiles of letter n-grams."""
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -9,66 +10,83 @@ from pyspark.sql import functions as F
 
 from .common import hashed_fold, slices
 
+POINTS = 0x110000
 SYMBOLS = 128
 UNKNOWN = "und"
 DIMENSIONS = 512
 
 
-def _symbol_table() -> np.ndarray:
-    """Code point -> symbol, for the basic plane: 0 for what is no letter (all of it alike), own
-    symbols for the Latin letters up to U+00FF, shared ones for the rest."""
-    table = np.zeros(0x10000, dtype=np.uint8)
-    for c in range(0x10000):
-        if 0xD800 <= c < 0xE000 or not chr(c).isalpha():
-            continue
-        low = ord(chr(c).lower()[0])
-        if 0x61 <= low <= 0x7A:
-            table[c] = 1 + low - 0x61
-        elif 0xDF <= low <= 0xFF:
-            table[c] = 27 + low - 0xDF
-        else:
-            table[c] = 60 + (low >> 4) * 7 % 67 if low >= 0x250 else 60 + low % 67
+@lru_cache(maxsize=1)
+def _letters() -> np.ndarray:
+    """Code point -> lower-cased letter, for all of Unicode; 0 for what is no letter."""
+    table = np.zeros(POINTS, dtype=np.int32)
+    for c in range(POINTS):
+        if not 0xD800 <= c < 0xE000 and chr(c).isalpha():
+            table[c] = ord(chr(c).lower()[0])
     return table
 
 
+@lru_cache(maxsize=1 << 16)
+def _drawn(seed: int, letter: int, dimensions: int) -> np.ndarray:
+    return np.random.default_rng((seed, letter)).choice(np.array([-1, 1], dtype=np.int8), dimensions)
+
+
 class Profiles:
     """Random letter vectors of +1 and -1. A letter's place in an n-gram permutes its vector (by
     rotation), an n-gram binds its letters (by products), a text bundles its n-grams (by sums)."""
 
     def __init__(self, dimensions: int = 512, n: int = 3, seed: int = 3):
-        self.d, self.n = dimensions, n
-        letters = np.random.default_rng(seed).choice(np.array([-1, 1], dtype=np.int8), (SYMBOLS, dimensions))
-        self.placed = [np.roll(letters, n - 1 - k, axis=1) for k in range(n)]
-        self.table = _symbol_table()
-
-    def codes(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        """Distinct n-grams of letters and single gaps, as numbers, with the root of their counts."""
-        points = np.frombuffer(text.encode("utf-32-le", "replace"), dtype=np.uint32)
-        s = np.where(points < 0x10000, self.table[np.minimum(points, 0xFFFF)], 0).astype(np.int64)
+        self.d, self.n, self.seed = dimensions, n, seed
+        self.latin = np.random.default_rng(seed).choice(np.array([-1, 1], dtype=np.int8), (SYMBOLS, dimensions))
+
+    def vector(self, letter: int) -> np.ndarray:
+        """The vector of a letter or, for 0, of a gap: a table for Latin up to U+00FF, else drawn from the code point."""
+        if not letter:
+            return self.latin[0]
+        if 0x61 <= letter <= 0x7A:
+            return self.latin[1 + letter - 0x61]
+        if 0xDF <= letter <= 0xFF:
+            return self.latin[27 + letter - 0xDF]
+        return _drawn(self.seed, letter, self.d)
+
+    def letters(self, text: str) -> np.ndarray:
+        """The letters of a text with single gaps (0) between and around words; empty without enough of them."""
+        s = _letters()[np.frombuffer(text.encode("utf-32-le", "replace"), dtype=np.uint32)]
         s = np.concatenate([[0], s, [0]])
         s = s[np.concatenate([[True], (s[1:] != 0) | (s[:-1] != 0)])]
-        if len(s) < self.n or not s.any():
-            return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.float32)
+        return s if len(s) >= self.n and s.any() else s[:0]
+
+    def codes(self, s: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct n-grams of numbered letters, as numbers, with the root of their counts."""
         code = np.zeros(len(s) - self.n + 1, dtype=np.int64)
         for k in range(self.n):
-            code = code * SYMBOLS + s[k : k + len(code)]
+            code = code * base + s[k : k + len(code)]
         got, held = np.unique(code, return_counts=True)
         return got, np.sqrt(held).astype(np.float32)
 
-    def grams(self, code: np.ndarray) -> np.ndarray:
-        out = np.ones((len(code), self.d), dtype=np.int8)
-        for k in range(self.n):
-            out *= self.placed[k][(code // SYMBOLS ** (self.n - 1 - k)) % SYMBOLS]
-        return out.astype(np.float32)
-
     def bundle(self, texts) -> np.ndarray:
         """A unit vector for each text; zeros for texts without a letter."""
-        parts = [self.codes(t) if t else (np.empty(0, dtype=np.int64), None) for t in texts]
-        out = np.zeros((len(parts), self.d), dtype=np.float32)
-        known = np.unique(np.concatenate([c for c, _ in parts])) if parts else np.empty(0, dtype=np.int64)
-        if not len(known):
+        found = [self.letters(t) if t else np.empty(0, dtype=np.int64) for t in texts]
+        out = np.zeros((len(found), self.d), dtype=np.float32)
+        if not any(len(s) for s in found):
             return out
-        grams = self.grams(known)
+        # the letters of these texts are numbered, so that an n-gram is one number
+        seen = np.zeros(POINTS, dtype=bool)
+        seen[0] = True
+        for s in found:
+            seen[s] = True
+        own = np.flatnonzero(seen)
+        if len(own) ** self.n >= 1 << 63:
+            raise ValueError("n-grams too long for this many different letters")
+        number = np.zeros(POINTS, dtype=np.int64)
+        number[own] = np.arange(len(own))
+        parts = [self.codes(number[s], len(own)) if len(s) else (np.empty(0, dtype=np.int64), None) for s in found]
+        known = np.unique(np.concatenate([c for c, _ in parts]))
+        vectors = np.stack([self.vector(int(x)) for x in own])
+        grams = np.ones((len(known), self.d), dtype=np.int8)
+        for k in range(self.n):
+            grams *= np.roll(vectors, self.n - 1 - k, axis=1)[known // len(own) ** (self.n - 1 - k) % len(own)]
+        grams = grams.astype(np.float32)
         for i, (code, weight) in enumerate(parts):
             if len(code):
                 out[i] = weight @ grams[np.searchsorted(known, code)]

@@ -2,9 +2,11 @@
 
 import random
 
+import numpy as np
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from tallyfield.llm.language import Profiles
 
 from .helpers import table
 
@@ -45,3 +47,12 @@ def test_repeated_rows_and_null_ids_leave_one_row_of_each_group(spark, tmp_path)
     # none of them is a copy any more, so the next stage takes nothing away
     left = corpus_pipeline.drop_repeated_strings(spark, out, "")
     assert sorted(((r["doc_id"], r["text"]) for r in left.collect()), key=str) == sorted((w for w in want if w[1] is not None), key=str)
+
+
+def test_letters_of_every_script_have_their_own_vectors():
+    cyrillic = [chr(c) for c in range(0x430, 0x450)]
+    x = Profiles().bundle([*(c * 3 for c in cyrillic), "\U00010428\U00010429", "\u0414\u0410", "\u0434\u0430", "12"])
+    alike = x[:32] @ x[:32].T - np.eye(32)
+    assert alike.max() < 0.9
+    assert np.abs(x[32]).sum() > 0 and not x[35].any()
+    assert np.allclose(x[33], x[34])
