@@ -42,6 +42,20 @@ def saved(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def named(column: str) -> str:
+    """A column's name as Spark's functions take it, dots included."""
+    return "`" + column.replace("`", "``") + "`"
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """A name like ``name`` that no column of the table has."""
+    held = {c.lower() for c in df.columns}
+    name = f"_{name}"
+    while name.lower() in held:
+        name += "_"
+    return name
+
+
 # ------------------------------------------------------------------ hashing of bytes
 
 _BASE = 0x9E3779B97F4A7C15 | 1

@@ -5,10 +5,10 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import hashed_fold, slices
+from .common import fresh, hashed_fold, named, slices
 
 POINTS = 0x110000
 SYMBOLS = 128
@@ -93,25 +93,27 @@ class Profiles:
         return out / np.maximum(np.sqrt((out * out).sum(axis=1, keepdims=True)), 1e-12)
 
 
-def fit_prototypes(train: DataFrame, id_column: str, text: str, lang: str, profiles: Profiles, per_language: int) -> tuple[list[str], np.ndarray]:
-    """A prototype of each language: the bundle of its texts' vectors, from at most
-    ``per_language`` of them, chosen by a hash of the id."""
-    order = Window.partitionBy(lang).orderBy(F.xxhash64(id_column), F.col(id_column))
-    labelled = train.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
-    chosen = labelled.select(id_column, lang).withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= per_language)
-    texts = labelled.join(chosen.select(id_column, lang).distinct(), [id_column, lang], "left_semi").select(F.col(lang).alias("lang"), F.col(text).alias("t"))
+#: Sums of vectors are kept in whole units of this, so that they don't depend on the order of tasks.
+UNIT = 2.0**-30
+
+
+def fit_prototypes(train: DataFrame, text: str, lang: str, profiles: Profiles) -> tuple[list[str], np.ndarray]:
+    """A prototype of each language: the bundle of all its texts' vectors. Every task adds up
+    its own texts; only a vector for each language reaches the driver."""
+    labelled = train.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(lang).alias("lang"), F.col(text).alias("t"))
 
     def total(frames):
         sums: dict = {}
         for f in slices(frames, "t"):
-            x = profiles.bundle(list(f["t"]))
+            x = np.rint(profiles.bundle(list(f["t"])) / UNIT).astype(np.int64)
             for language in f["lang"].unique():
-                sums[language] = sums.get(language, 0) + x[(f["lang"] == language).to_numpy()].sum(axis=0, dtype=np.float64)
-        yield pd.DataFrame({"lang": list(sums.keys()), "v": [list(map(float, v)) for v in sums.values()]})
+                sums[language] = sums.get(language, 0) + x[(f["lang"] == language).to_numpy()].sum(axis=0)
+        for language, v in sums.items():
+            yield pd.DataFrame({"lang": language, "i": np.arange(len(v), dtype=np.int32), "x": v})
 
     merged: dict = {}
-    for r in texts.mapInPandas(total, "lang string, v array<double>").toPandas().itertuples():
-        merged[r.lang] = merged.get(r.lang, 0) + np.asarray(r.v)
+    for language, i, x in labelled.mapInPandas(total, "lang string, i int, x long").groupBy("lang", "i").agg(F.sum("x").alias("x")).collect():
+        merged.setdefault(language, np.zeros(profiles.d))[i] = x * UNIT
     names = sorted(k for k, v in merged.items() if np.abs(v).sum() > 0)
     if not names:
         return [], np.zeros((0, profiles.d))
@@ -126,22 +128,22 @@ def identify(
     lang: str = "lang",
     folds: int = 3,
     held_fold: int = 1,
-    per_language: int = 1500,
     dimensions: int = DIMENSIONS,
     grams: int = 3,
 ) -> DataFrame:
-    """The table with ``held_out``, ``lang_pred`` and ``score`` added.
+    """The table with ``held_out``, ``lang_pred`` and ``score`` added, in place of columns of these names.
 
-    Prototypes are learned from the text and non-null ``lang`` of rows whose crc32(id as text) mod
-    ``folds`` is not ``held_fold``, at most ``per_language`` texts of each language. A text gets
-    the language whose prototype has the largest cosine with its vector after both lose what all
-    prototypes share; the score maps that cosine from -1..1 to 0..1. A text that is null or
+    Prototypes are learned from the text and non-null ``lang`` of all rows whose crc32(id as text)
+    mod ``folds`` is not ``held_fold``. A text gets the language whose prototype has the largest
+    cosine with its vector after both lose what all prototypes share (of equal cosines the first
+    language by name); the score maps that cosine from -1..1 to 0..1. A text that is null or
     has no letter, and every text where nothing was learned, gets ``und`` and 0. Texts are read
-    whole. A null id is held out of training and ``held_out`` false.
+    whole. A null id is held out of training and ``held_out`` false; repeated rows count as often
+    as they are there. An empty table gives an empty result.
     """
     profiles = Profiles(dimensions, grams)
     fold = hashed_fold(id_column, folds)
-    names, prototypes = fit_prototypes(df.where(fold != held_fold), id_column, text, lang, profiles, per_language)
+    names, prototypes = fit_prototypes(df.where(fold != held_fold), text, lang, profiles)
     shared = prototypes.mean(axis=0) if len(names) > 1 else np.zeros(dimensions)
     own = prototypes - shared
     own = (own / np.maximum(np.sqrt((own * own).sum(axis=1, keepdims=True)), 1e-12)).astype(np.float32)
@@ -165,6 +167,8 @@ def identify(
             yield pd.concat(found, ignore_index=True) if found else pd.DataFrame({"lang_pred": [], "score": []})
 
     # the mark keeps filters on the results from running the function a second time
-    return df.withColumns({"held_out": F.coalesce(fold == held_fold, F.lit(False)), "_p": predict.asNondeterministic()(text)}).select(
-        *[c for c in df.columns if c not in ("held_out", "lang_pred", "score")], "held_out", "_p.lang_pred", "_p.score"
-    )
+    found, out = fresh(df, "found"), ("held_out", "lang_pred", "score")
+    return df.withColumn(found, predict.asNondeterministic()(text)).select(
+        *[F.col(named(c)) for c in df.columns if c.lower() not in out],
+        F.coalesce(fold == held_fold, F.lit(False)).alias("held_out"), f"{found}.lang_pred", f"{found}.score",
+    )

@@ -47,6 +47,59 @@ def test_language_edges(spark):
     assert {r["lang_pred"] for r in unlabelled.collect()} == {"und"}
 
 
+def test_language_of_tables_with_empty_partitions_and_clashing_names(spark):
+    rows = [(1, "the river and the stone", "en"), (2, "der Fluss und der Stein", "de"), (3, "the window and the lamp", "en")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumns({"_found": F.lit(1), "_p": F.lit(2), "Score": F.lit("x"), "a.b": F.lit(3)})
+    got = language.identify(df.repartition(16))
+    assert got.columns == ["doc_id", "text", "lang", "_found", "_p", "a.b", "held_out", "lang_pred", "score"]
+    assert [r["_p"] for r in got.collect()] == [2, 2, 2]
+
+
+def plain_bundle(profiles, text):
+    """The vector of a text, n-gram by n-gram."""
+    letters = [" "]
+    for c in text or "":
+        c = c.lower()[0] if c.isalpha() else " "
+        if c != " " or letters[-1] != " ":
+            letters.append(c)
+    letters += [" "] if letters[-1] != " " else []
+    count = Counter(tuple(letters[k : k + 3]) for k in range(len(letters) - 2))
+    v = np.zeros(profiles.d)
+    for gram, n in count.items():
+        one = np.ones(profiles.d)
+        for k, c in enumerate(gram):
+            one *= np.roll(profiles.vector(0 if c == " " else ord(c)), 2 - k)
+        v += math.sqrt(n) * one
+    return v / math.sqrt(v @ v) if v.any() else v
+
+
+def test_language_equals_a_plain_version(spark):
+    docs = table(spark, "documents").where("n_chars < 1500")
+    rows = [(r["doc_id"], r["text"], r["lang"]) for r in docs.collect()] + [(10**6 + k, t, "en") for k, t in enumerate(["", "12", "é", "日本 語", "\U00010428x", None])]
+    profiles = language.Profiles()
+    vectors = {i: plain_bundle(profiles, t) for i, t, _ in rows}
+    names = sorted({l for _, _, l in rows})
+    m = np.stack([sum(vectors[i] for i, _, l in rows if l == n and remainder(i, 3) != 1) for n in names])
+    m /= np.sqrt((m * m).sum(axis=1, keepdims=True))
+    shared = m.mean(axis=0)
+    own = m - shared
+    own /= np.sqrt((own * own).sum(axis=1, keepdims=True))
+    want = {}
+    for i, t, _ in rows:
+        v = vectors[i]
+        if not v.any():
+            want[i] = ("und", 0.0)
+            continue
+        v = v - (v @ shared) / (shared @ shared) * shared
+        cosine = own @ (v / math.sqrt(v @ v))
+        want[i] = (names[int(cosine.argmax())], (1 + cosine.max()) / 2)
+    df = spark.createDataFrame([(i, t, l) for i, t, l in rows], "doc_id long, text string, lang string")
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in language.identify(df).collect()}
+    assert got.keys() == want.keys() and len(want) > 50
+    for i, (name, score) in want.items():
+        assert got[i][0] == name and abs(got[i][1] - score) < 1e-4
+
+
 # ------------------------------------------------------------------ language model
 
 
