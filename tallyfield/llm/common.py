@@ -39,7 +39,16 @@ def saved(df: DataFrame) -> DataFrame:
         df.write.option("compression", "zstd").parquet(path)
     finally:
         spark.conf.set(_CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._saved_at = path
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Removes tables that ``saved`` wrote and that nothing reads any more."""
+    for df in tables:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._saved_at)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def named(column: str) -> str:
@@ -212,7 +221,8 @@ def components(edges: DataFrame) -> DataFrame:
             .where("u <> v")
             .distinct()
         )
-        e = saved(small)
+        last, e = e, saved(small)
+        release(last)
         state = e.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
         if state == seen:
             return e.select(F.col("u").alias("node"), F.col("v").alias("component")).union(

@@ -81,7 +81,7 @@ def op7_log_bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_repeats.repeat_report(table(spark, sf_dir, "documents"))
+    return suffix_repeats.repeat_report(table(spark, sf_dir, "documents"), passage=200)
 
 
 def op9_complement_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,6 +9,10 @@ the names are ordered in turn, the remaining suffixes follow from a symbol and t
 the suffix behind it, and neighbours in the order share the longest prefixes. What is left to
 decide are strings that end inside a phrase, and those with hardly any cut in them; these are
 compared by hashes of all their bytes.
+
+What rests on hashes, plainly: the names of phrases (64 bits), and the strings that end inside
+phrases, which meet by the phrases inside them (64 bits) and their remaining bytes (64 bits). The
+order is recursed on once: names of triples of names cover nine phrases, more than a string holds.
 """
 
 from __future__ import annotations
@@ -21,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import prefix_hashes, saved, scattered_grams, slices, span_hashes
+from .common import fresh, mix64, named, prefix_hashes, release, saved, scattered_grams, slices, span_hashes
 
 GRAM = 32  # bytes of the grams whose hashes decide where phrases are cut
 REACH = 9  # phrases that a sorted prefix covers: a triple of names of triples
@@ -102,10 +106,10 @@ def _named(df: DataFrame, columns: list[str]) -> DataFrame:
     return saved(df.select(*columns).distinct().orderBy(*columns).withColumn("name", F.monotonically_increasing_id()))
 
 
-def longest_runs(symbols: DataFrame, keys: list[str]) -> DataFrame:
+def longest_runs(symbols: DataFrame, keys: list[str]) -> tuple[DataFrame, list[DataFrame]]:
     """(keys, idx, m) for phrase strings given as (keys, idx int, s0 long), idx numbering the
     phrases of a string: how many phrases from idx on, at most REACH, occur somewhere else in
-    the same order. A gap in idx ends a suffix."""
+    the same order. A gap in idx ends a suffix. Also the tables to release when this is read."""
     order = Window.partitionBy(*keys).orderBy("idx")
     lead = [F.when(F.lead("idx", k).over(order) == F.col("idx") + k, F.lead("s0", k).over(order)) for k in range(1, REACH)]
     rows = symbols.select(*keys, "idx", "s0", *[F.coalesce(c, F.lit(NONE)).alias(f"s{k + 1}") for k, c in enumerate(lead)])
@@ -119,7 +123,8 @@ def longest_runs(symbols: DataFrame, keys: list[str]) -> DataFrame:
     inner = Window.partitionBy(*keys, "mod").orderBy("idx")
     later = [F.coalesce(F.when(F.lead("idx", k).over(inner) == F.col("idx") + 3 * k, F.lead("name", k).over(inner)), F.lit(-1)).alias(f"n{k}") for k in (1, 2)]
     sample = saved(sample.select(*keys, "idx", F.col("name").alias("n0"), *later))
-    ranks = _named(sample, ["n0", "n1", "n2"]).withColumnRenamed("name", "r")
+    ranks_held = _named(sample, ["n0", "n1", "n2"])
+    ranks = ranks_held.withColumnRenamed("name", "r")
     ranked = sample.join(ranks, ["n0", "n1", "n2"]).select(*keys, "idx", "r")
 
     # merge the remaining suffixes: (symbol, rank behind it) against the class 1, (two symbols,
@@ -128,17 +133,20 @@ def longest_runs(symbols: DataFrame, keys: list[str]) -> DataFrame:
     behind = [F.coalesce(F.when(F.lead("idx", k).over(order) == F.col("idx") + k, F.lead("r", k).over(order)), F.lit(-1)).alias(f"r{k}") for k in (1, 2)]
     prefix = [f"s{k}" for k in range(REACH)]
     full = saved(full.select(*keys, "idx", "mod", "r", *prefix, *behind))
+    release(names, sample, ranks_held)
     lists = [(full.where("mod <> 0"), ["r"]), (full.where("mod <> 2"), ["s0", "r1"]), (full.where("mod <> 1"), ["s0", "s1", "r2"])]
-    found = None
+    found, held = None, []
     for part, by in lists:
-        runs = _neighbours(part.select(*keys, "idx", *prefix, *[c for c in by if c not in prefix]), keys, by)
+        runs, table = _neighbours(part.select(*keys, "idx", *prefix, *[c for c in by if c not in prefix]), keys, by)
         found = runs if found is None else found.union(runs)
-    return found.groupBy(*keys, "idx").agg(F.max("m").cast("int").alias("m"))
+        held.append(table)
+    release(full)
+    return found.groupBy(*keys, "idx").agg(F.max("m").cast("int").alias("m")), held
 
 
-def _neighbours(rows: DataFrame, keys: list[str], by: list[str]) -> DataFrame:
+def _neighbours(rows: DataFrame, keys: list[str], by: list[str]) -> tuple[DataFrame, DataFrame]:
     """(keys, idx, m) for each row: the longest common prefix with the row before or after it in
-    the order ``by``. Of every task only its first and last row meet on the driver."""
+    the order ``by``, and the table behind it. Of every task only its first and last row meet on the driver."""
     prefix = [f"s{k}" for k in range(REACH)]
     columns = [*keys, "idx", *prefix]
 
@@ -175,7 +183,7 @@ def _neighbours(rows: DataFrame, keys: list[str], by: list[str]) -> DataFrame:
         m = int(shared(np.array([a["s"]]), np.array([b["s"]]))[0])
         more += [tuple(r[k] for k in [*keys, "idx"]) + (m,) for r in (a, b) if m]
     inside = out.where("part < 0").select(*keys, "idx", "m")
-    return inside.union(rows.sparkSession.createDataFrame(more, f"{kinds}, idx int, m long")) if more else inside
+    return (inside.union(rows.sparkSession.createDataFrame(more, f"{kinds}, idx int, m long")) if more else inside), out
 
 
 def _windows(raw: np.ndarray, runs: np.ndarray, length: int, radius: int) -> dict:
@@ -208,6 +216,8 @@ def _windows(raw: np.ndarray, runs: np.ndarray, length: int, radius: int) -> dic
         "sure": sure,
         "inner": span_hashes(prefix, at[p], at[q] + GRAM).view(np.int64),
         "outer": span_hashes(prefix, at[left], at[right] + GRAM).view(np.int64),
+        "first": at[p].astype(np.int32),
+        "last": (at[q] + GRAM).astype(np.int32),
     }
 
 
@@ -226,28 +236,95 @@ def keyed_rows(df: DataFrame, id_column: str, text: str) -> DataFrame:
     return df.select(F.coalesce(F.col(id_column).cast("long"), F.lit(NONE)).alias("id"), F.xxhash64(t).alias("th"), t.alias("t"))
 
 
-def repeated_spans(df: DataFrame, id_column: str = "doc_id", text: str = "text", length: int = 400) -> tuple[DataFrame, DataFrame]:
-    """Spans of bytes covered by a string of ``length`` bytes that also starts anywhere else.
-
-    Returns ``(spans, single)``: per affected (id, th) the arrays ``starts`` and ``ends`` of its
-    maximal spans, and the keys of those that have no exact copy. Texts that have one are covered
-    whole; of each such class one text still meets the others.
+#: Groups around the same inner phrases up to which one task compares their strings.
+MEMBERS = 20_000
+
+
+def _members(frames, length: int):
+    """A row for each group that is not sure, and for each that stands for sure ones: its inner phrases, what its
+    strings hold before and behind these, where its first string starts, and how far before the inner
+    phrases that is."""
+    for f in slices(frames, "t", 1 << 20):
+        rows = []
+        for doc, t, low, high, sure, inner, first, last, stand in zip(f["doc"], f["t"], f["low"], f["high"], f["sure"], f["inner"], f["first"], f["last"], f["stand"]):
+            chosen = {r["low"] for r in stand} if stand is not None else ()
+            for k in np.flatnonzero(~sure | np.isin(low, list(chosen))):
+                rows.append((doc, inner[k], low[k], high[k] - low[k], first[k] - low[k], t[low[k] : first[k]] + t[last[k] : high[k] - 1 + length]))
+        if rows:
+            yield pd.DataFrame(rows, columns=["doc", "inner", "low", "n", "before", "rest"])
+
+
+def _string_keys(f: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, start, key) of every string of the rows: equal strings, and only these, have one key."""
+    n, size = f["n"].to_numpy(dtype=np.int64), np.array([len(x) for x in f["rest"]], dtype=np.int64)
+    row = np.repeat(np.arange(len(f)), n)
+    step = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+    at = (np.cumsum(size) - size)[row] + step
+    h = span_hashes(prefix_hashes(np.frombuffer(b"".join(f["rest"]), dtype=np.uint8)), at, at + (size - n + 1)[row])
+    place = (f["before"].to_numpy(dtype=np.int64)[row] - step).astype(np.uint64)
+    key = mix64(h + mix64(f["inner"].to_numpy(dtype=np.int64).view(np.uint64)[row] + place * np.uint64(0x9FB21C651E98DF25)))
+    return row, (f["low"].to_numpy(dtype=np.int64)[row] + step).astype(np.int32), key.view(np.int64)
+
+
+def _meet(frames):
+    """(doc, hits): starts of the strings that occur twice or more among the rows of one inner."""
+
+    def settle(f):
+        f = f.reset_index(drop=True)
+        row, start, key = _string_keys(f)
+        _, of, held = np.unique(key, return_inverse=True, return_counts=True)
+        hit = held[of] > 1
+        row, start = row[hit], start[hit]
+        some, low = np.unique(row, return_index=True)
+        if len(some):
+            yield pd.DataFrame({"doc": f["doc"].to_numpy()[some], "hits": np.split(start, low[1:])})
+
+    rest = None
+    for f in frames:
+        f = f if rest is None else pd.concat([rest, f], ignore_index=True)
+        if not len(f):
+            continue
+        inner = f["inner"].to_numpy()
+        whole = len(f) - int(np.argmax(inner[::-1] != inner[-1])) if (inner != inner[-1]).any() else 0
+        if whole:
+            yield from settle(f.iloc[:whole])
+        rest = f.iloc[whole:]
+    if rest is not None and len(rest):
+        yield from settle(rest)
+
+
+def _twice(strings: DataFrame, keys: list[str]) -> DataFrame:
+    """(doc, hits) of the strings given as (doc, at, keys) that occur twice or more. Counted in parts
+    first and joined, so no string that very many texts have lies in one task."""
+    strings = saved(strings)
+    again = strings.groupBy(*keys).agg(F.count(F.lit(1)).alias("times")).where("times > 1").select(*keys)
+    return strings.join(saved(again), keys).groupBy("doc").agg(F.collect_list("at").alias("hits"))
+
+
+def _spans(docs: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
+    """Spans of bytes covered by a string of ``length`` bytes that also starts anywhere else, of texts given
+    as (id, th, t).
+
+    Returns ``(spans, classes)``. Classes: per (id, th) that has an exact copy its size ``n`` and
+    whether it is the one that stands for its class; such texts are covered whole. Spans: per
+    affected (id, th) without a copy the arrays ``starts`` and ``ends`` of its maximal spans.
     """
     if length < 2 * GRAM:
         raise ValueError(f"length must be at least {2 * GRAM}")
     radius = (length - GRAM) // 11
-    docs = keyed_rows(df, id_column, text)
     parsed = saved(_parse(docs, length, radius).where(F.col("n") >= length).withColumn("doc", F.monotonically_increasing_id()))
-    classes = parsed.groupBy("n", "w1", "w2").agg(F.count(F.lit(1)).alias("held"), F.min("doc").alias("doc"))
-    whole = parsed.select("id", "th", "n", "w1", "w2").distinct().join(classes.where("held > 1").drop("doc"), ["n", "w1", "w2"]).select("id", "th", "n")
+    held = parsed.groupBy("n", "w1", "w2").agg(F.count(F.lit(1)).alias("held"), F.min("doc").alias("least"))
     # of every class of equal texts one goes on
-    reps = saved(parsed.drop("n", "w1", "w2").join(classes.select("doc", "held"), "doc"))
-    named = reps.select("doc", "id", "th", "held")
+    reps = saved(parsed.drop("n", "w1", "w2").join(held.select(F.col("least").alias("doc"), "held"), "doc"))
+    copies = parsed.select("id", "th", "n", "w1", "w2", "doc").join(held.where("held > 1"), ["n", "w1", "w2"])
+    classes = saved(copies.groupBy("id", "th", "n").agg(F.max(F.col("doc") == F.col("least")).alias("stands")))
+    release(parsed)
+    keyed = reps.select("doc", "id", "th", "held")
 
     flat = reps.select("doc", F.posexplode("sym").alias("idx", "s0"))
     again = flat.groupBy("s0").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("s0")
     symbols = saved(flat.join(again, "s0").select("doc", "idx", "s0"))
-    runs = longest_runs(symbols, ["doc"])
+    runs, tables = longest_runs(symbols, ["doc"])
     # a symbol that occurs twice repeats alone at least
     runs = symbols.join(runs, ["doc", "idx"], "left").groupBy("doc").agg(
         F.collect_list(F.struct("idx", F.coalesce("m", F.lit(1)).cast("int").alias("m"))).alias("runs")
@@ -264,9 +341,10 @@ def repeated_spans(df: DataFrame, id_column: str = "doc_id", text: str = "text",
             yield pd.concat([f[["doc", "held", "t"]], pd.DataFrame(out)], axis=1)
 
     # identical rows that share an id give the class's one text twice, which changes no other's result
-    schema = "doc long, held long, t binary, low array<int>, high array<int>, sure array<boolean>, inner array<long>, outer array<long>"
-    texts = docs.join(runs.join(named, "doc"), ["id", "th"]).select("doc", "held", "t", "runs")
-    grouped = saved(texts.mapInPandas(group, schema).where(F.size("low") > 0))
+    lists = "low array<int>, high array<int>, sure array<boolean>, inner array<long>, outer array<long>, first array<int>, last array<int>"
+    texts = docs.join(runs.join(keyed, "doc"), ["id", "th"]).select("doc", "held", "t", "runs")
+    grouped = saved(texts.mapInPandas(group, f"doc long, held long, t binary, {lists}").where(F.size("low") > 0))
+    release(symbols, *tables)
 
     # groups that aren't sure are decided by their strings, against one another and against the sure
     # groups around the same inner phrases, of which one stands for all with equal outer phrases
@@ -274,23 +352,21 @@ def repeated_spans(df: DataFrame, id_column: str = "doc_id", text: str = "text",
     asked = groups.where("not sure").select("inner").distinct()
     stand = groups.where("sure").join(asked, "inner", "left_semi").groupBy("outer", "inner").agg(F.min(F.struct("doc", "low", "high")).alias("g"))
     picked = stand.groupBy(F.col("g.doc").alias("doc")).agg(F.collect_list(F.struct("g.low", "g.high")).alias("stand"))
-
-    def strings(frames):
-        for f in slices(frames, "t", 1 << 20):
-            docs, out = [], []
-            for doc, t, low, high, sure, stand in zip(f["doc"], f["t"], f["low"], f["high"], f["sure"], f["stand"]):
-                spans = [(a, b) for a, b, s in zip(low, high, sure) if not s] + [(r["low"], r["high"]) for r in (stand if stand is not None else [])]
-                if spans:
-                    raw, at = np.frombuffer(t, dtype=np.uint8), np.concatenate([np.arange(a, b) for a, b in spans])
-                    docs.append(np.full(len(at), doc))
-                    out.append((at.astype(np.int32), *_hashed(raw, prefix_hashes(raw), at, length)))
-            if out:
-                yield pd.DataFrame(dict(zip(["at", "h1", "h2"], map(np.concatenate, zip(*out))))).assign(doc=np.concatenate(docs))
-
-    lone = grouped.select("doc", "t", "low", "high", "sure").join(picked, "doc", "left").mapInPandas(strings, "doc long, at int, h1 long, h2 int")
+    lone = grouped.select("doc", "t", "low", "high", "sure", "inner", "first", "last").join(picked, "doc", "left")
+    members = saved(lone.mapInPandas(lambda frames: _members(frames, length), "doc long, inner long, low int, n int, before int, rest binary"))
+    sizes = members.groupBy("inner").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
+    crowded = saved(sizes.where(F.col("k") > MEMBERS).select("inner"))
+    few = members.join(crowded, "inner", "left_anti").repartition("inner").sortWithinPartitions("inner")
+    met = few.mapInPandas(_meet, "doc long, hits array<int>")
+
+    def opened(frames):
+        for f in slices(frames, "rest", 1 << 20):
+            row, start, key = _string_keys(f)
+            yield pd.DataFrame({"doc": f["doc"].to_numpy()[row], "at": start, "key": key})
+
+    many = _twice(members.join(crowded, "inner").select(*members.columns).mapInPandas(opened, "doc long, at int, key long"), ["key"])
     bare = reps.select("doc", F.explode(F.arrays_zip("at", "h1", "h2")).alias("x")).select("doc", "x.at", "x.h1", "x.h2")
-    times = F.count(F.lit(1)).over(Window.partitionBy("h1", "h2"))
-    found = lone.union(bare).withColumn("times", times).where("times > 1").groupBy("doc").agg(F.collect_list("at").alias("hits"))
+    found = met.union(many).union(_twice(bare, ["h1", "h2"])).groupBy("doc").agg(F.flatten(F.collect_list("hits")).alias("hits"))
     surely = grouped.where(F.exists("sure", lambda x: x)).select("doc", "low", "high", "sure")
     own = reps.where("held = 1").select("doc", "id", "th", "own_low", "own_high")
     both = own.join(surely.join(found, "doc", "full"), "doc", "left").where((F.size("own_low") > 0) | F.col("low").isNotNull() | F.col("hits").isNotNull())
@@ -307,18 +383,52 @@ def repeated_spans(df: DataFrame, id_column: str = "doc_id", text: str = "text",
             yield pd.concat([f[["id", "th"]].reset_index(drop=True), got], axis=1)
 
     spans = saved(both.mapInPandas(cover, "id long, th long, starts array<int>, ends array<int>"))
-    full = whole.select("id", "th", F.array(F.lit(0)).alias("starts"), F.array(F.col("n").cast("int")).alias("ends"))
-    return spans.union(full), spans.select("id", "th")
+    release(grouped, members, reps)
+    return spans, classes
+
+
+def _whole(classes: DataFrame) -> DataFrame:
+    return classes.select("id", "th", F.array(F.lit(0)).alias("starts"), F.array(F.col("n").cast("int")).alias("ends"))
+
+
+def repeated_spans(df: DataFrame, id_column: str = "doc_id", text: str = "text", length: int = 400) -> DataFrame:
+    """Per affected (id, th) of ``keyed_rows`` the arrays ``starts`` and ``ends`` of its maximal spans of bytes
+    covered by a string of ``length`` bytes that also starts anywhere else."""
+    spans, classes = _spans(keyed_rows(df, id_column, text), length)
+    return spans.union(_whole(classes))
+
+
+def _longer(docs: DataFrame, spans: DataFrame, classes: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
+    """``(spans, classes)`` for a longer string than that of the given ones: as every part of a repeated string
+    repeats, only spans of at least this length, cut out, are searched again."""
+    long = F.filter(F.arrays_zip("starts", "ends"), lambda x: x["ends"] - x["starts"] >= length)
+    again = spans.select("id", "th", long.alias("spans")).where(F.size("spans") > 0)
+    stand = classes.where(F.col("stands") & (F.col("n") >= length))
+    again = again.union(stand.select("id", "th", F.array(F.struct(F.lit(0).alias("starts"), F.col("n").cast("int").alias("ends"))).alias("spans")))
+    parts = docs.join(again, ["id", "th"]).select(F.col("id").alias("doc"), F.col("th").alias("hash"), "t", F.explode("spans").alias("x"))
+    parts = parts.select("doc", "hash", F.col("x.starts").alias("start"), F.expr("substring(t, x.starts + 1, x.ends - x.starts)").alias("t"))
+    parts = saved(parts.withColumn("id", F.monotonically_increasing_id()).withColumn("th", F.lit(0).cast("long")))
+    found, same = _spans(parts.select("id", "th", "t"), length)
+    moved = parts.drop("t", "th").join(found.union(_whole(same)).drop("th"), "id")
+    pair = F.transform(F.arrays_zip("starts", "ends"), lambda x: F.struct((x["starts"] + F.col("start")).alias("starts"), (x["ends"] + F.col("start")).alias("ends")))
+    moved = moved.select("doc", "hash", F.explode(pair).alias("x"))
+    # texts that have a copy are covered whole, whatever is found in the one that stands for them
+    moved = moved.join(classes.select(F.col("id").alias("doc"), F.col("th").alias("hash")), ["doc", "hash"], "left_anti")
+    out = moved.groupBy("doc", "hash").agg(F.sort_array(F.collect_list("x")).alias("x"))
+    return saved(out.select(F.col("doc").alias("id"), F.col("hash").alias("th"), F.col("x.starts").alias("starts"), F.col("x.ends").alias("ends"))), classes.where(F.col("n") >= length)
 
 
 def remove_repeats(df: DataFrame, id_column: str = "doc_id", text: str = "text", length: int = 400) -> DataFrame:
     """The table with every byte removed from ``text`` that a repeated string of ``length`` bytes
-    covers; bytes that no longer form UTF-8 are dropped. Nulls stay null."""
-    spans, _ = repeated_spans(df, id_column, text, length)
+    covers; bytes that no longer form UTF-8 are dropped. Nulls stay null, empty and shorter texts as they
+    are; all rows and columns stay. Rows that share id and text are copies of each other."""
+    spans = repeated_spans(df, id_column, text, length)
     t = F.coalesce(F.col(text).cast("binary"), F.lit(bytearray()))
-    rows = df.withColumns({"_id": F.coalesce(F.col(id_column).cast("long"), F.lit(NONE)), "_th": F.xxhash64(t)})
-    held = spans.select(F.col("id").alias("_id"), F.col("th").alias("_th"), F.col("starts").alias("_starts"), F.col("ends").alias("_ends"))
-    cut = rows.join(held, ["_id", "_th"], "left")
+    key, hashed = fresh(df, "key"), fresh(df, "hash")
+    starts, ends = fresh(df, "starts"), fresh(df, "ends")
+    rows = df.withColumns({key: F.coalesce(F.col(id_column).cast("long"), F.lit(NONE)), hashed: F.xxhash64(t)})
+    held = spans.select(F.col("id").alias(key), F.col("th").alias(hashed), F.col("starts").alias(starts), F.col("ends").alias(ends))
+    cut = rows.join(held, [key, hashed], "left")
 
     @F.pandas_udf("string")
     def clean(t: pd.Series, starts: pd.Series, ends: pd.Series) -> pd.Series:
@@ -333,21 +443,30 @@ def remove_repeats(df: DataFrame, id_column: str = "doc_id", text: str = "text",
 
         return pd.Series([one(x, a, b) for x, a, b in zip(t, starts, ends)], dtype=object)
 
-    return cut.withColumn(text, F.when(F.col("_starts").isNull(), F.col(text)).otherwise(clean.asNondeterministic()(text, "_starts", "_ends"))).select(*df.columns)
+    cleaned = F.when(F.col(starts).isNull(), F.col(text)).otherwise(clean.asNondeterministic()(text, starts, ends))
+    return cut.withColumn(text, cleaned).select(*[named(c) for c in df.columns])
 
 
-def repeat_report(df: DataFrame, id_column: str = "doc_id", text: str = "text", length: int = 400) -> DataFrame:
-    """Per row: ``doc_id, n_bytes, n_removed, n_spans, kept_sha256``.
+def repeat_report(df: DataFrame, id_column: str = "doc_id", text: str = "text", length: int = 400, passage: int | None = None) -> DataFrame:
+    """Per row: ``doc_id, n_bytes, n_removed, n_spans, kept_sha256, n_passage_bytes, has_passage``.
 
     Texts are UTF-8 bytes, null as empty; matches stay within a document but may lie twice in the
     same one, overlapping too; all strings are judged on the input. Texts shorter than ``length``
-    lose nothing. Rows that share id and text are copies of each other. An empty table gives an
-    empty result; other columns are ignored.
+    lose nothing. ``n_passage_bytes`` counts the bytes covered by repeated strings of only ``passage``
+    bytes (some 30 words), which are reported but not removed; None leaves both columns out. Rows
+    that share id and text are copies of each other. An empty table gives an empty result; other
+    columns are ignored.
     """
-    spans, single = repeated_spans(df, id_column, text, length)
-    docs = keyed_rows(df, id_column, text).select("id", "th", F.length("t").cast("long").alias("n"), F.sha2("t", 256).alias("sha"))
-    removed = F.aggregate(F.zip_with("ends", "starts", lambda b, a: b - a), F.lit(0).cast("long"), lambda s, x: s + x)
-    spans = spans.withColumns({"n_removed": removed, "n_spans": F.size("starts").cast("long")})
+    if passage is not None and passage > length:
+        raise ValueError("a passage may not be longer than a string that is removed")
+    rows = keyed_rows(df, id_column, text)
+    spans, classes = _spans(rows, passage or length)
+    covered = F.aggregate(F.zip_with("ends", "starts", lambda b, a: b - a), F.lit(0).cast("long"), lambda s, x: s + x)
+    short = spans.union(_whole(classes)).select("id", "th", covered.alias("n_passage_bytes"))
+    if passage is not None and passage < length:
+        spans, classes = _longer(rows, spans, classes, length)
+    docs = rows.select("id", "th", F.length("t").cast("long").alias("n"), F.sha2("t", 256).alias("sha"))
+    counted = spans.union(_whole(classes)).select("id", "th", covered.alias("n_removed"), F.size("starts").cast("long").alias("n_spans"))
 
     @F.pandas_udf("string")
     def digest(t: pd.Series, starts: pd.Series, ends: pd.Series) -> pd.Series:
@@ -361,17 +480,15 @@ def repeat_report(df: DataFrame, id_column: str = "doc_id", text: str = "text",
             out.append(h.hexdigest())
         return pd.Series(out, dtype=object)
 
-    texts = keyed_rows(df, id_column, text).join(single, ["id", "th"], "left_semi")
-    cut = texts.join(spans, ["id", "th"]).select("id", "th", digest("t", "starts", "ends").alias("cut_sha"))
+    cut = rows.join(spans, ["id", "th"]).select("id", "th", digest("t", "starts", "ends").alias("cut_sha"))
     empty = hashlib.sha256(b"").hexdigest()
-    return (
-        docs.join(spans.drop("starts", "ends"), ["id", "th"], "left")
-        .join(cut, ["id", "th"], "left")
-        .select(
-            F.when(F.col("id") != NONE, F.col("id")).alias("doc_id"),
-            F.col("n").alias("n_bytes"),
-            F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"),
-            F.coalesce("n_spans", F.lit(0)).cast("long").alias("n_spans"),
-            F.when(F.col("n_removed") == F.col("n"), F.lit(empty)).otherwise(F.coalesce("cut_sha", "sha")).alias("kept_sha256"),
-        )
+    out = docs.join(counted, ["id", "th"], "left").join(cut, ["id", "th"], "left").join(short, ["id", "th"], "left")
+    zero = F.lit(0).cast("long")
+    return out.select(
+        F.when(F.col("id") != NONE, F.col("id")).alias("doc_id"),
+        F.col("n").alias("n_bytes"),
+        F.coalesce("n_removed", zero).alias("n_removed"),
+        F.coalesce("n_spans", zero).alias("n_spans"),
+        F.when(F.col("n_removed") == F.col("n"), F.lit(empty)).otherwise(F.coalesce("cut_sha", "sha")).alias("kept_sha256"),
+        *([F.coalesce("n_passage_bytes", zero).alias("n_passage_bytes"), F.col("n_passage_bytes").isNotNull().alias("has_passage")] if passage is not None else []),
     )

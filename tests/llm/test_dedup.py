@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tallyfield.llm import jaccard_join, line_templates, suffix_repeats
 from tallyfield.llm.common import components, shingle_set
@@ -131,6 +132,23 @@ def test_repeats_documents(spark):
     assert got_repeats(docs, 400) == brute_repeats([(r["doc_id"], r["text"]) for r in docs.collect()], 400)
 
 
+@pytest.mark.parametrize("few", [20_000, 1])
+def test_repeats_of_two_lengths_and_of_crowded_groups(spark, monkeypatch, few):
+    """Strings of the longer length are searched in the spans of the shorter one only; crowded groups are opened."""
+    monkeypatch.setattr(suffix_repeats, "MEMBERS", few)
+    rng = random.Random(18)
+    passages = ["".join(rng.choice("abcdefgh ") for _ in range(rng.randint(90, 400))) for _ in range(9)]
+    rows = [(0, passages[0] * 2), (1, None), (2, passages[1]), (3, passages[1]), (None, passages[2][:150]), (4, "y" * 300)]
+    for i in range(5, 70):
+        parts = ["".join(rng.choice("ijklmnop ") for _ in range(rng.randint(0, 150))) for _ in range(3)]
+        rows.append((i, parts[0] + rng.choice(passages)[rng.randint(0, 40) :] + parts[1] + rng.choice(passages)[rng.randint(0, 30) :] + parts[2]))
+    df = documents(spark, rows)
+    out = suffix_repeats.repeat_report(df, length=140, passage=70).collect()
+    assert sorted((tuple(r[:5]) for r in out), key=str) == brute_repeats(rows, 140)
+    assert sorted(((r["doc_id"], r["n_passage_bytes"]) for r in out), key=str) == sorted(((r[0], r[2]) for r in brute_repeats(rows, 70)), key=str)
+    assert all(r["has_passage"] == (r["n_passage_bytes"] > 0) for r in out)
+
+
 def test_removing_repeats_keeps_columns_and_nulls(spark):
     rows = edge_texts()
     df = documents(spark, rows)
@@ -138,6 +156,8 @@ def test_removing_repeats_keeps_columns_and_nulls(spark):
     assert out.columns == df.columns and out.count() == len(rows)
     texts = {(r["doc_id"], r["text"]) for r in out.collect()}
     assert (1, None) in texts and (2, "") in texts and (4, "") in texts and (8, "two words") in texts
+    clashing = df.withColumns({c: F.lit(9) for c in ("_key", "_hash", "_starts", "_ends", "_id", "_th", "a.b")})
+    assert suffix_repeats.remove_repeats(clashing).where("_id = 9 and _th = 9 and _key = 9 and _hash = 9 and _starts = 9 and `a.b` = 9").count() == len(rows)
     with pytest.raises(ValueError):
         suffix_repeats.remove_repeats(df, length=20)
 
