@@ -211,6 +211,7 @@ def _windows(raw: np.ndarray, runs: np.ndarray, length: int, radius: int) -> dic
     left, right = np.maximum(left, 0), np.minimum(right, max(0, len(at) - 1))
     sure &= m[left] >= right - left
     return {
+        "again": _again(at, m),
         "low": low.astype(np.int32),
         "high": high.astype(np.int32),
         "sure": sure,
@@ -221,6 +222,19 @@ def _windows(raw: np.ndarray, runs: np.ndarray, length: int, radius: int) -> dic
     }
 
 
+#: Bytes that a run of phrases has at least to be reported as a passage.
+PASSAGE = 120
+
+
+def _again(at: np.ndarray, m: np.ndarray) -> int:
+    """How many bytes lie in runs of phrases, of ``PASSAGE`` bytes or more each, that occur elsewhere too."""
+    k = np.flatnonzero(m[: len(at)])
+    start, end = at[k], at[np.minimum(k + m[k], len(at) - 1)] + GRAM
+    long = end - start >= PASSAGE
+    start, end = start[long], np.maximum.accumulate(end[long]) if long.any() else end[long]
+    return int((end - np.maximum(start, np.append(0, end[:-1]))).clip(0).sum()) if len(start) else 0
+
+
 def _runs_of(starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """Maximal covered spans [start, end) of strings of ``length`` bytes at the sorted starts."""
     if not len(starts):
@@ -301,13 +315,14 @@ def _twice(strings: DataFrame, keys: list[str]) -> DataFrame:
     return strings.join(saved(again), keys).groupBy("doc").agg(F.collect_list("at").alias("hits"))
 
 
-def _spans(docs: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
+def _spans(docs: DataFrame, length: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Spans of bytes covered by a string of ``length`` bytes that also starts anywhere else, of texts given
     as (id, th, t).
 
-    Returns ``(spans, classes)``. Classes: per (id, th) that has an exact copy its size ``n`` and
-    whether it is the one that stands for its class; such texts are covered whole. Spans: per
-    affected (id, th) without a copy the arrays ``starts`` and ``ends`` of its maximal spans.
+    Returns ``(spans, classes, passages)``. Classes: per (id, th) that has an exact copy its size ``n``;
+    such texts are covered whole. Spans: per affected (id, th) without a copy the arrays ``starts``
+    and ``ends`` of its maximal spans. Passages: per (id, th) without a copy the bytes ``again`` of
+    runs of phrases that occur elsewhere too, where there are any.
     """
     if length < 2 * GRAM:
         raise ValueError(f"length must be at least {2 * GRAM}")
@@ -316,8 +331,7 @@ def _spans(docs: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
     held = parsed.groupBy("n", "w1", "w2").agg(F.count(F.lit(1)).alias("held"), F.min("doc").alias("least"))
     # of every class of equal texts one goes on
     reps = saved(parsed.drop("n", "w1", "w2").join(held.select(F.col("least").alias("doc"), "held"), "doc"))
-    copies = parsed.select("id", "th", "n", "w1", "w2", "doc").join(held.where("held > 1"), ["n", "w1", "w2"])
-    classes = saved(copies.groupBy("id", "th", "n").agg(F.max(F.col("doc") == F.col("least")).alias("stands")))
+    classes = saved(parsed.select("id", "th", "n", "w1", "w2").distinct().join(held.where("held > 1"), ["n", "w1", "w2"]).select("id", "th", "n"))
     release(parsed)
     keyed = reps.select("doc", "id", "th", "held")
 
@@ -338,13 +352,18 @@ def _spans(docs: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
                 m = np.zeros(at.max() + 1, dtype=np.int64)
                 m[at] = np.maximum(1, [r["m"] for r in held])
                 out.append(_windows(np.frombuffer(t, dtype=np.uint8), m, length, radius))
-            yield pd.concat([f[["doc", "held", "t"]], pd.DataFrame(out)], axis=1)
+            out = pd.DataFrame(out)
+            texts = f["t"].where([len(x) > 0 for x in out["low"]], None)
+            yield pd.concat([f[["doc", "held"]], texts, out], axis=1)
 
     # identical rows that share an id give the class's one text twice, which changes no other's result
     lists = "low array<int>, high array<int>, sure array<boolean>, inner array<long>, outer array<long>, first array<int>, last array<int>"
+    lists = f"again long, {lists}"
     texts = docs.join(runs.join(keyed, "doc"), ["id", "th"]).select("doc", "held", "t", "runs")
-    grouped = saved(texts.mapInPandas(group, f"doc long, held long, t binary, {lists}").where(F.size("low") > 0))
+    all_groups = saved(texts.mapInPandas(group, f"doc long, held long, t binary, {lists}").where("again > 0 or size(low) > 0"))
     release(symbols, *tables)
+    passages = saved(all_groups.where("again > 0 and held = 1").select("doc", "again").join(keyed, "doc").select("id", "th", "again"))
+    grouped = all_groups.where(F.size("low") > 0)
 
     # groups that aren't sure are decided by their strings, against one another and against the sure
     # groups around the same inner phrases, of which one stands for all with equal outer phrases
@@ -383,8 +402,8 @@ def _spans(docs: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
             yield pd.concat([f[["id", "th"]].reset_index(drop=True), got], axis=1)
 
     spans = saved(both.mapInPandas(cover, "id long, th long, starts array<int>, ends array<int>"))
-    release(grouped, members, reps)
-    return spans, classes
+    release(all_groups, members, reps)
+    return spans, classes, passages
 
 
 def _whole(classes: DataFrame) -> DataFrame:
@@ -394,30 +413,10 @@ def _whole(classes: DataFrame) -> DataFrame:
 def repeated_spans(df: DataFrame, id_column: str = "doc_id", text: str = "text", length: int = 400) -> DataFrame:
     """Per affected (id, th) of ``keyed_rows`` the arrays ``starts`` and ``ends`` of its maximal spans of bytes
     covered by a string of ``length`` bytes that also starts anywhere else."""
-    spans, classes = _spans(keyed_rows(df, id_column, text), length)
+    spans, classes, _ = _spans(keyed_rows(df, id_column, text), length)
     return spans.union(_whole(classes))
 
 
-def _longer(docs: DataFrame, spans: DataFrame, classes: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
-    """``(spans, classes)`` for a longer string than that of the given ones: as every part of a repeated string
-    repeats, only spans of at least this length, cut out, are searched again."""
-    long = F.filter(F.arrays_zip("starts", "ends"), lambda x: x["ends"] - x["starts"] >= length)
-    again = spans.select("id", "th", long.alias("spans")).where(F.size("spans") > 0)
-    stand = classes.where(F.col("stands") & (F.col("n") >= length))
-    again = again.union(stand.select("id", "th", F.array(F.struct(F.lit(0).alias("starts"), F.col("n").cast("int").alias("ends"))).alias("spans")))
-    parts = docs.join(again, ["id", "th"]).select(F.col("id").alias("doc"), F.col("th").alias("hash"), "t", F.explode("spans").alias("x"))
-    parts = parts.select("doc", "hash", F.col("x.starts").alias("start"), F.expr("substring(t, x.starts + 1, x.ends - x.starts)").alias("t"))
-    parts = saved(parts.withColumn("id", F.monotonically_increasing_id()).withColumn("th", F.lit(0).cast("long")))
-    found, same = _spans(parts.select("id", "th", "t"), length)
-    moved = parts.drop("t", "th").join(found.union(_whole(same)).drop("th"), "id")
-    pair = F.transform(F.arrays_zip("starts", "ends"), lambda x: F.struct((x["starts"] + F.col("start")).alias("starts"), (x["ends"] + F.col("start")).alias("ends")))
-    moved = moved.select("doc", "hash", F.explode(pair).alias("x"))
-    # texts that have a copy are covered whole, whatever is found in the one that stands for them
-    moved = moved.join(classes.select(F.col("id").alias("doc"), F.col("th").alias("hash")), ["doc", "hash"], "left_anti")
-    out = moved.groupBy("doc", "hash").agg(F.sort_array(F.collect_list("x")).alias("x"))
-    return saved(out.select(F.col("doc").alias("id"), F.col("hash").alias("th"), F.col("x.starts").alias("starts"), F.col("x.ends").alias("ends"))), classes.where(F.col("n") >= length)
-
-
 def remove_repeats(df: DataFrame, id_column: str = "doc_id", text: str = "text", length: int = 400) -> DataFrame:
     """The table with every byte removed from ``text`` that a repeated string of ``length`` bytes
     covers; bytes that no longer form UTF-8 are dropped. Nulls stay null, empty and shorter texts as they
@@ -447,24 +446,22 @@ def remove_repeats(df: DataFrame, id_column: str = "doc_id", text: str = "text",
     return cut.withColumn(text, cleaned).select(*[named(c) for c in df.columns])
 
 
-def repeat_report(df: DataFrame, id_column: str = "doc_id", text: str = "text", length: int = 400, passage: int | None = None) -> DataFrame:
+def repeat_report(df: DataFrame, id_column: str = "doc_id", text: str = "text", length: int = 400) -> DataFrame:
     """Per row: ``doc_id, n_bytes, n_removed, n_spans, kept_sha256, n_passage_bytes, has_passage``.
 
     Texts are UTF-8 bytes, null as empty; matches stay within a document but may lie twice in the
     same one, overlapping too; all strings are judged on the input. Texts shorter than ``length``
-    lose nothing. ``n_passage_bytes`` counts the bytes covered by repeated strings of only ``passage``
-    bytes (some 30 words), which are reported but not removed; None leaves both columns out. Rows
-    that share id and text are copies of each other. An empty table gives an empty result; other
-    columns are ignored.
+    lose nothing. Beside that, ``n_passage_bytes`` counts the bytes in runs of phrases, of ``PASSAGE``
+    bytes or more, that occur elsewhere too: what the suffix order finds of passages too short to
+    be removed (of strings of 400 bytes; every shared passage of 320 bytes or more holds such a
+    run). It counts whole texts of ``length`` or more that have a copy, and no text shorter than that.
+    Rows that share id and text are copies of each other. An empty table gives an empty result;
+    other columns are ignored.
     """
-    if passage is not None and passage > length:
-        raise ValueError("a passage may not be longer than a string that is removed")
     rows = keyed_rows(df, id_column, text)
-    spans, classes = _spans(rows, passage or length)
+    spans, classes, passages = _spans(rows, length)
     covered = F.aggregate(F.zip_with("ends", "starts", lambda b, a: b - a), F.lit(0).cast("long"), lambda s, x: s + x)
-    short = spans.union(_whole(classes)).select("id", "th", covered.alias("n_passage_bytes"))
-    if passage is not None and passage < length:
-        spans, classes = _longer(rows, spans, classes, length)
+    short = passages.union(classes)
     docs = rows.select("id", "th", F.length("t").cast("long").alias("n"), F.sha2("t", 256).alias("sha"))
     counted = spans.union(_whole(classes)).select("id", "th", covered.alias("n_removed"), F.size("starts").cast("long").alias("n_spans"))
 
@@ -484,11 +481,13 @@ def repeat_report(df: DataFrame, id_column: str = "doc_id", text: str = "text",
     empty = hashlib.sha256(b"").hexdigest()
     out = docs.join(counted, ["id", "th"], "left").join(cut, ["id", "th"], "left").join(short, ["id", "th"], "left")
     zero = F.lit(0).cast("long")
+    passage = F.greatest(F.coalesce("again", zero), F.coalesce("n_removed", zero))
     return out.select(
         F.when(F.col("id") != NONE, F.col("id")).alias("doc_id"),
         F.col("n").alias("n_bytes"),
         F.coalesce("n_removed", zero).alias("n_removed"),
         F.coalesce("n_spans", zero).alias("n_spans"),
         F.when(F.col("n_removed") == F.col("n"), F.lit(empty)).otherwise(F.coalesce("cut_sha", "sha")).alias("kept_sha256"),
-        *([F.coalesce("n_passage_bytes", zero).alias("n_passage_bytes"), F.col("n_passage_bytes").isNotNull().alias("has_passage")] if passage is not None else []),
+        passage.alias("n_passage_bytes"),
+        (passage > 0).alias("has_passage"),
     )

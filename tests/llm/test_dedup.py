@@ -133,20 +133,20 @@ def test_repeats_documents(spark):
 
 
 @pytest.mark.parametrize("few", [20_000, 1])
-def test_repeats_of_two_lengths_and_of_crowded_groups(spark, monkeypatch, few):
-    """Strings of the longer length are searched in the spans of the shorter one only; crowded groups are opened."""
+def test_repeats_of_crowded_groups_and_passages(spark, monkeypatch, few):
+    """Crowded groups are opened; passages too short to be removed are reported, and nothing else is."""
     monkeypatch.setattr(suffix_repeats, "MEMBERS", few)
     rng = random.Random(18)
-    passages = ["".join(rng.choice("abcdefgh ") for _ in range(rng.randint(90, 400))) for _ in range(9)]
+    passages = ["".join(rng.choice("abcdefgh ") for _ in range(rng.randint(330, 600))) for _ in range(9)]
+    own = lambda n: "".join(rng.choice("ijklmnop ") for _ in range(n))
     rows = [(0, passages[0] * 2), (1, None), (2, passages[1]), (3, passages[1]), (None, passages[2][:150]), (4, "y" * 300)]
-    for i in range(5, 70):
-        parts = ["".join(rng.choice("ijklmnop ") for _ in range(rng.randint(0, 150))) for _ in range(3)]
-        rows.append((i, parts[0] + rng.choice(passages)[rng.randint(0, 40) :] + parts[1] + rng.choice(passages)[rng.randint(0, 30) :] + parts[2]))
-    df = documents(spark, rows)
-    out = suffix_repeats.repeat_report(df, length=140, passage=70).collect()
-    assert sorted((tuple(r[:5]) for r in out), key=str) == brute_repeats(rows, 140)
-    assert sorted(((r["doc_id"], r["n_passage_bytes"]) for r in out), key=str) == sorted(((r[0], r[2]) for r in brute_repeats(rows, 70)), key=str)
-    assert all(r["has_passage"] == (r["n_passage_bytes"] > 0) for r in out)
+    rows += [(i, own(rng.randint(200, 900)) + passages[i % 9][: 330 if i % 2 else 600] + own(rng.randint(200, 900))) for i in range(5, 70)]
+    rows += [(i, own(900)) for i in range(70, 90)]
+    out = suffix_repeats.repeat_report(documents(spark, rows)).collect()
+    assert sorted((tuple(r[:5]) for r in out), key=str) == brute_repeats(rows, 400)
+    held = {r["doc_id"]: r for r in out}
+    assert all(held[i]["has_passage"] and held[i]["n_passage_bytes"] >= 120 for i in range(5, 70))
+    assert all(not held[i]["has_passage"] and held[i]["n_passage_bytes"] == 0 for i in [1, *range(70, 90)])
 
 
 def test_removing_repeats_keeps_columns_and_nulls(spark):
