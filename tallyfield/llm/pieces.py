@@ -1,4 +1,10 @@
-"""SentencePiece encoding by the best-scoring segmentation, and decoding."""
+"""SentencePiece encoding by one pass of an Aho-Corasick automaton over the pieces, and decoding.
+
+The models merge neighbouring pieces, best score first. Such an encoding is known by its neighbours: a
+sequence of pieces is the encoding of its text just if every two neighbours are that of
+theirs. The Viterbi pass therefore relaxes a position only with pieces that may follow the
+piece that ends where they start; the result is the model's own encoding.
+"""
 
 from __future__ import annotations
 
@@ -13,7 +19,7 @@ from pyspark.sql import functions as F
 from .common import slices
 
 SPACE = "▁"
-CACHED_CHARS, CACHED_WORDS = 48, 300_000
+CACHED_CHARS, CACHED_WORDS, CACHED_PAIRS = 48, 200_000, 400_000
 
 
 class PieceModel:
@@ -36,43 +42,75 @@ class PieceModel:
             self.automaton.add_word(self.pieces[i], (i, len(self.pieces[i]), model.get_score(i)))
         self.automaton.make_automaton()
         self.floor = min((model.get_score(i) for i in plain if model.get_score(i) > -1e8), default=0.0) - 10.0
+        self.score = {self.pieces[i]: model.get_score(i) for i in plain}
         self.single = {self.pieces[i] for i in plain if len(self.pieces[i]) == 1}
+        self.following: dict = {}
         # where no piece has a space after another character, words are segmented on their own
         spaced = any(SPACE in self.pieces[i].lstrip(SPACE) for i in plain)
         self.split = re.compile("(?s).+" if spaced else f"(?s){SPACE}+[^{SPACE}]*|[^{SPACE}]+").findall
         self.cache: dict = {}
 
+    def merged(self, text: str) -> list[str]:
+        """A short text by merging: of neighbours that form a piece the best-scoring first, the first of equal ones."""
+        parts, score = list(text), self.score
+        while True:
+            best, at = None, 0
+            for k in range(len(parts) - 1):
+                value = score.get(parts[k] + parts[k + 1])
+                if value is not None and (best is None or value > best):
+                    best, at = value, k
+            if best is None:
+                return parts
+            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+
+    def follows(self, first: str, second: str) -> bool:
+        """Whether merging leaves the two pieces as they are, one after the other (first may be empty)."""
+        known = self.following.get((first, second))
+        if known is None:
+            known = self.merged(first + second) == ([first, second] if first else [second])
+            if len(self.following) >= CACHED_PAIRS:
+                self.following.clear()
+            self.following[first, second] = known
+        return known
+
     def segment(self, chunk: str) -> list[int]:
         """One pass of the automaton: at each end position all pieces that end there (the state's
-        and those behind its output links) relax the best score; a character that is no piece
-        may stand for itself at the cost ``floor`` and becomes its bytes. Ties go to the longer last piece."""
+        and those behind its output links) relax the best score, if they may follow the piece that the
+        best way to their start ends with; a character that is no piece may stand for itself at
+        the cost ``floor`` and becomes its bytes. Ties go to the longer last piece."""
         n = len(chunk)
-        best, back = [0.0] + [None] * n, [None] * (n + 1)
+        best, back = [0.0] + [None] * n, [(None, "")] + [None] * n
         at = 0
 
+        def relax(end: int, i, piece: str, score: float) -> None:
+            start = end - len(piece)
+            if best[start] is None:
+                return
+            total = best[start] + score
+            held = best[end]
+            if held is None or total > held or total == held and len(piece) > len(back[end][1]):
+                if self.follows(back[start][1], piece):
+                    best[end], back[end] = total, (i, piece)
+
         def fill(end: int) -> None:
             nonlocal at
-            while at < end:  # positions that no piece ends at
+            while at < end:  # positions that no piece ends at, or none more
                 at += 1
-                if chunk[at - 1] not in self.single and (best[at] is None or best[at - 1] + self.floor > best[at]):
-                    best[at], back[at] = best[at - 1] + self.floor, (None, 1)
+                if chunk[at - 1] not in self.single:
+                    relax(at, None, chunk[at - 1], self.floor)
 
         for end, (i, size, score) in self.automaton.iter(chunk):
             fill(end)
-            total = best[end + 1 - size] + score
-            held = best[end + 1]
-            if held is None or total > held or total == held and size > back[end + 1][1]:
-                best[end + 1], back[end + 1] = total, (i, size)
+            relax(end + 1, i, chunk[end + 1 - size : end + 1], score)
         fill(n)
         out = []
         while n:
-            i, size = back[n]
+            i, piece = back[n]
             if i is None:
-                raw = chunk[n - 1].encode("utf-8", "surrogatepass")
-                out += [self.bytes.get(b, self.unknown) for b in reversed(raw)]
+                out += [self.bytes.get(b, self.unknown) for b in reversed(piece.encode("utf-8", "surrogatepass"))]
             else:
                 out.append(i)
-            n -= size
+            n -= len(piece)
         return out[::-1]
 
     def encode(self, text: str) -> np.ndarray:
@@ -124,11 +162,12 @@ def piece_model(path: str) -> PieceModel:
 
 
 def encode_pieces(df: DataFrame, model: str, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, ids): the ids of the segmentation with the highest sum of piece scores.
+    """(doc_id, ids): the ids that the model itself gives the text.
 
     A space mark is put before the text and stands for each space. Characters without a piece
-    become byte pieces (or the unknown piece where the model has none). Null and empty texts
-    have no ids. One row per row; other columns are ignored.
+    become byte pieces (or the unknown piece where the model has none), and so does a literal
+    space mark, which the model would take for a space: decoding gives every text back. Null and empty
+    texts have no ids. One row per row, null and shared ids as they are; other columns are ignored.
     """
 
     def run(frames):
