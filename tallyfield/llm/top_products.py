@@ -51,12 +51,11 @@ def _best_in_block(q: np.ndarray, qid, qpiv, floor, c: np.ndarray, cid, cpiv, k:
     q, c = _pad(q, width), _pad(c, width)
     if q.dtype == object or c.dtype == object:
         q, c = q.astype(object), c.astype(object)
-    q2, c2 = (q * q).sum(1).astype(np.float64), (c * c).sum(1).astype(np.float64)
+    q2, c2 = _norms(q), _norms(c)
     low = np.zeros((len(q), len(c)))
     for p in range(qpiv.shape[1]):
         np.maximum(low, np.abs(qpiv[:, p, None] - cpiv[None, :, p]), out=low)
-    bound = (q2[:, None] + c2[None, :] - low * low) / 2
-    bound += 1e-6 * (1 + np.abs(bound)) + 1e-9 * (q2[:, None] + c2[None, :])
+    bound = _upper(q2[:, None], c2[None, :], low)
     order = np.argsort(-bound, axis=1, kind="stable")
     rows = []
     for i in range(len(q)):
@@ -75,8 +74,31 @@ def _best_in_block(q: np.ndarray, qid, qpiv, floor, c: np.ndarray, cid, cpiv, k:
             best_s, best_id = best_s[top], best_id[top]
             if len(best_s) == k:
                 kth = max(kth, float(best_s[-1]))
-        rows += [(qid[i], int(v), int(s)) for v, s in zip(best_id, best_s)]
-    return pd.DataFrame(rows, columns=["query_id", "vec_id", "score"]).astype({"query_id": "int64", "vec_id": "int64", "score": "int64"})
+        rows += [(qid[i], int(v), s) for v, s in zip(best_id, best_s)]
+    out = pd.DataFrame(rows, columns=["query_id", "vec_id", "s"])
+    # scores beyond long are told apart by their exact values, in order; what is returned is the nearest long
+    exact = [int(s) for s in out["s"]]
+    out["score"] = np.array([min(max(s, -(1 << 63)), (1 << 63) - 1) for s in exact], dtype=np.int64)
+    out["order"] = [_ordered(s) for s in exact]
+    return out[["query_id", "vec_id", "score", "order"]].astype({"query_id": "int64", "vec_id": "int64"})
+
+
+def _norms(x: np.ndarray) -> np.ndarray:
+    return (x * x).sum(1).astype(np.float64) if x.shape[1] else np.zeros(len(x))
+
+
+def _upper(q2, c2, low):
+    """The bound with room for the rounding of doubles."""
+    bound = (q2 + c2 - low * low) / 2
+    return bound + 1e-6 * (1 + np.abs(bound)) + 1e-9 * (q2 + c2)
+
+
+def _ordered(s: int) -> bytes | None:
+    """Bytes that sort as whole numbers do, for those beyond long (others: none); products of finite
+    floats, scaled, have less than 400 bytes."""
+    if -(1 << 63) <= s < 1 << 63:
+        return None
+    return (s + (1 << 3199)).to_bytes(400, "big")
 
 
 def top_inner_products(
@@ -89,6 +111,7 @@ def top_inner_products(
     pivots: int = 24,
     block_rows: int = 2048,
     query_rows: int = 512,
+    table_blocks: int = 4096,
     seed: int = 11,
 ) -> DataFrame:
     """For every query (id divisible by ``query_divisor``) its ``k`` highest inner products
@@ -96,12 +119,15 @@ def top_inner_products(
 
     Components are floor(scale * x). Pivots are a bounded sample of rows; each row carries its
     distances to them. Rows go to blocks by nearest pivot. A query meets first the block of
-    its own pivot; the k-th score found there lets whole blocks go whose best bound, from
-    the blocks' ranges of pivot distances, is lower, and rows inside blocks likewise.
+    its own pivot. The k-th score found there lets whole blocks go whose best bound, from the
+    blocks' ranges of pivot distances, is lower: packs of ``query_rows`` queries, with their distances
+    alone, meet the ranges of ``table_blocks`` blocks at a time as one matrix, and only pairs of a query and a
+    block that may still give a better row go on. Rows inside blocks go likewise.
 
     Vectors that are null or hold null or non-finite components take no part; an empty vector
-    scores 0 with all; shorter vectors count as ending in zeros. Of rows with the same id the one
-    with the least vector counts; null ids take no part. An empty table gives no rows.
+    scores 0 with all; shorter vectors count as ending in zeros. Scores beyond long are ranked by their
+    exact values and returned as the nearest long. Of rows with the same id the one with the least
+    vector counts; null ids take no part. An empty table gives no rows; other columns are ignored.
     """
     rows = df.select(F.col(id_column).cast("long").alias("vec_id"), F.col(vector).alias("v")).where("vec_id is not null").where(_finite("v"))
     rows = saved(rows.groupBy("vec_id").agg(F.min("v").alias("v")))
@@ -114,21 +140,19 @@ def top_inner_products(
     def locate(frames):
         for f in frames:
             if len(f):
-                d = _distances(_matrix(list(f["v"]), scale), chosen)
-                yield pd.DataFrame({"vec_id": f["vec_id"].to_numpy(), "v": f["v"].to_numpy(), "cell": d.argmin(1).astype("int32"), "d": list(d)})
+                x = _matrix(list(f["v"]), scale)
+                d = _distances(x, chosen)
+                yield pd.DataFrame({"vec_id": f["vec_id"].to_numpy(), "v": f["v"].to_numpy(), "cell": d.argmin(1).astype("int32"), "d": list(d), "n": _norms(x)})
 
-    item = "vec_id long, v array<double>, cell int, d array<double>"
+    item = "vec_id long, v array<double>, cell int, d array<double>, n double"
     placed = saved(rows.select("vec_id", F.col("v").cast("array<double>").alias("v")).mapInPandas(locate, item))
     sizes = placed.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("parts"))
     placed = placed.join(F.broadcast(sizes), "cell").withColumn("block", F.concat_ws("-", "cell", F.pmod(F.xxhash64("vec_id"), "parts")))
     is_query = F.pmod("vec_id", F.lit(query_divisor)) == 0
 
-    def norm(x):
-        return F.aggregate(x, F.lit(0.0), lambda s, y: s + F.floor(y * scale) * F.floor(y * scale))
-
     # what a block's bound needs: ranges of the pivot distances and the largest squared length
     ranges = (
-        placed.select("block", norm("v").alias("n"), F.posexplode("d").alias("p", "x"))
+        placed.select("block", "n", F.posexplode("d").alias("p", "x"))
         .groupBy("block", "p")
         .agg(F.min("x").alias("lo"), F.max("x").alias("hi"), F.max("n").alias("n"))
         .groupBy("block")
@@ -136,20 +160,18 @@ def top_inner_products(
     )
     blocks = saved(placed.groupBy("block").agg(F.collect_list(F.struct("vec_id", "v", "d")).alias("rows")).join(ranges, "block"))
     query_parts = max(1, -(-total // (query_divisor * query_rows)))
+    block_parts = max(1, -(-total // (block_rows * table_blocks)))
 
     def meet(frames):
         for f in frames:
             for qs, cs in zip(f["queries"], f["rows"]):
-                qs = [r for r in qs if r["floor"] is not None]
-                if not qs:
-                    continue
                 q, c = _matrix([r["v"] for r in qs], scale), _matrix([r["v"] for r in cs], scale)
                 yield _best_in_block(
                     q, np.array([r["vec_id"] for r in qs]), np.stack([r["d"] for r in qs]), np.array([r["floor"] for r in qs]),
                     c, np.array([r["vec_id"] for r in cs]), np.stack([r["d"] for r in cs]), k,
                 )
 
-    result = "query_id long, vec_id long, score long"
+    result = "query_id long, vec_id long, score long, order binary"
     start = (
         placed.where(is_query)
         .withColumn("floor", F.lit(float("-inf")))
@@ -158,25 +180,34 @@ def top_inner_products(
     )
     first = saved(start.join(blocks, "block").select("queries", "rows").mapInPandas(meet, result))
     kth = first.groupBy("query_id").agg(F.when(F.count(F.lit(1)) >= k, F.min("score").cast("double")).alias("floor"))
-    queries = placed.where(is_query).join(kth, placed["vec_id"] == kth["query_id"], "left").withColumn("floor", F.coalesce("floor", F.lit(float("-inf"))))
-    packs = saved(
-        queries.withColumn("part", F.pmod(F.xxhash64("vec_id"), F.lit(query_parts)))
-        .groupBy("part")
-        .agg(F.collect_list(F.struct("vec_id", "v", "d", "floor", norm("v").alias("n"), "block")).alias("queries"))
-    )
-    # every pack of queries against every block of rows, less the queries that can't gain there
-    gap = F.aggregate(
-        F.zip_with("q.d", "ranges", lambda x, r: F.greatest(r["lo"] - x, x - r["hi"], F.lit(0.0))), F.lit(0.0), lambda s, x: F.greatest(s, x)
-    )
-    bound = (F.col("q.n") + F.col("n") - gap * gap) / 2
+    queries = placed.where(is_query).join(kth, placed["vec_id"] == kth["query_id"], "left").select("vec_id", "v", "d", "n", "block", F.coalesce("floor", F.lit(float("-inf"))).alias("floor"))
+    queries = saved(queries)
+
+    # packs of queries, without their vectors, against the ranges of many blocks: the ids of the pairs that remain
+    packs = queries.groupBy(F.pmod(F.xxhash64("vec_id"), F.lit(query_parts)).alias("part")).agg(F.collect_list(F.struct("vec_id", "d", "n", "floor", "block")).alias("queries"))
+    tables = blocks.groupBy(F.pmod(F.xxhash64("block"), F.lit(block_parts)).alias("table")).agg(F.collect_list(F.struct("block", "ranges", "n")).alias("blocks"))
+    spread = packs.withColumn("table", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(block_parts - 1).cast("long"))))
+
+    def remain(frames):
+        for f in frames:
+            for qs, bs in zip(f["queries"], f["blocks"]):
+                name = np.array([b["block"] for b in bs], dtype=object)
+                lo, hi = (np.array([[r[e] for r in b["ranges"]] for b in bs]) for e in ("lo", "hi"))
+                n = np.array([b["n"] for b in bs])
+                for q in qs:
+                    gap = np.maximum(lo - q["d"], q["d"] - hi).max(axis=1).clip(0)
+                    some = name[(_upper(q["n"], n, gap) >= q["floor"]) & (name != q["block"])]
+                    if len(some):
+                        yield pd.DataFrame({"vec_id": q["vec_id"], "block": some})
+
+    pairs = spread.join(tables, "table").select("queries", "blocks").mapInPandas(remain, "vec_id long, block string")
     open_queries = (
-        blocks.select("block", "ranges", "n", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(query_parts - 1).cast("long"))).alias("part"))
-        .join(packs.withColumnRenamed("part", "p"), F.col("part") == F.col("p"))
-        .select("block", "part", "ranges", "n", F.explode("queries").alias("q"))
-        .where((F.col("q.block") != F.col("block")) & (bound + 1e-6 * (1 + F.abs(bound)) + 1e-9 * (F.col("q.n") + F.col("n")) >= F.col("q.floor")))
-        .groupBy("block", "part")
-        .agg(F.collect_list(F.struct("q.vec_id", "q.v", "q.d", "q.floor")).alias("queries"))
+        saved(pairs)
+        .join(queries.drop("block"), "vec_id")
+        .groupBy("block", F.pmod(F.xxhash64("vec_id"), F.lit(query_parts)).alias("part"))
+        .agg(F.collect_list(F.struct("vec_id", "v", "d", "floor")).alias("queries"))
     )
     rest = open_queries.join(blocks, "block").select("queries", "rows").mapInPandas(meet, result)
-    best = window_top(first.union(rest), ["query_id"], [F.desc("score"), F.asc("vec_id")], k)
+    both = first.union(rest)
+    best = window_top(both, ["query_id"], [F.desc("score"), F.when(F.col("score") > 0, F.col("order")).desc_nulls_last(), F.col("order").desc_nulls_first(), F.asc("vec_id")], k)
     return best.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
