@@ -2,23 +2,18 @@
 
 from __future__ import annotations
 
-import math
 import re
-from array import array
 from collections import Counter
-from itertools import islice
 
-import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved, slices
-from .suffix_repeats import keyed_rows
+from .common import fresh, named, saved, slices
+from .suffix_repeats import NONE, keyed_rows
 
 FIELD = b"<*>"
-PLAIN = 64  # templates of a leaf up to which each line is compared with all of them
 _digit = re.compile(rb"[0-9]")
 
 
@@ -44,72 +39,30 @@ def leaf_of(tokens: list[bytes], depth: int) -> int:
     return _hash(str(len(tokens)).encode(), *tokens[:depth])
 
 
-class Leaf:
-    """The templates of a leaf, formed line by line in the given order: a line joins the template with which
-    it shares the most tokens (the first of equal ones), if that is at least ``similarity`` of
-    them, and what differs becomes a variable field. Only templates are held, not lines."""
-
-    def __init__(self, similarity: float):
-        self.similarity, self.ids, self.count = similarity, {FIELD: 0}, 0
-        self.held = np.empty((0, 0), dtype=np.int64)
-        #: the templates that have, or once had, a token at a place; kept from ``PLAIN`` templates on
-        self.having: dict | None = None
-
-    def _note(self, k: int, places) -> None:
-        for p in places:
-            self.having.setdefault((p, int(self.held[k, p])), []).append(k)
-
-    def _near(self, row: np.ndarray):
-        """The templates that may be similar to a line, as places in order. One that differs in
-        at most m tokens agrees with the line in one of any m + 1 places: the rarest are looked up."""
-        if self.count < PLAIN:
-            return slice(0, self.count)
-        if self.having is None:
-            self.having = {}
-            for k in range(self.count):
-                self._note(k, range(len(row)))
-        lists = sorted((self.having.get((p, t), ()) for p, t in enumerate(row.tolist())), key=len)
-        lists = lists[: len(row) - math.ceil(self.similarity * len(row)) + 1]
-        if lists and len(lists[-1]) >= self.count:
-            return slice(0, self.count)
-        return np.array(sorted(set().union(*lists)), dtype=np.int64)
-
-    def add(self, tokens: list[bytes]) -> int:
-        """The number of the template that the line joins or begins."""
-        ids = self.ids
-        row = np.array([ids.setdefault(t, len(ids)) for t in tokens], dtype=np.int64)
-        if not self.count:
-            self.held = np.empty((1, len(row)), dtype=np.int64)
-        near = self._near(row)
-        same = (self.held[near] == row).sum(axis=1)
-        if len(same):
-            best = int(same.argmax())
-            if same[best] >= self.similarity * len(row):
-                k = best if isinstance(near, slice) else int(near[best])
-                moved = np.flatnonzero((self.held[k] != row) & (self.held[k] != 0))
-                self.held[k, moved] = 0
-                if self.having is not None:
-                    self._note(k, moved.tolist())
-                return k
-        if self.count == len(self.held):
-            self.held = np.concatenate([self.held, np.empty_like(self.held)])
-        self.held[self.count] = row
-        self.count += 1
-        if self.having is not None:
-            self._note(self.count - 1, range(len(row)))
-        return self.count - 1
-
-    def templates(self) -> list[tuple[bytes, ...]]:
-        words = list(self.ids)
-        return [tuple(words[t] for t in row) for row in self.held[: self.count].tolist()]
-
-
-def generalise(lines: list[list[bytes]], similarity: float) -> list[tuple[bytes, ...]]:
-    """A template for each line of a leaf (all of the same number of tokens), in the given order."""
-    leaf = Leaf(similarity)
-    of = [leaf.add(tokens) for tokens in lines]
-    templates = leaf.templates()
-    return [templates[k] for k in of]
+def leaf_templates(distinct: DataFrame, min_docs: int, min_tokens: int, depth: int, similarity: float) -> DataFrame:
+    """(l1, l2, t1, t2): the template of each distinct line (l1, l2, leaf, tokens string, n) that has one.
+
+    Below the leading tokens, a token is fixed if lines of its leaf hold it in its place
+    ``min_docs`` times or more, else it is a value of a variable field. A line whose tokens are to
+    a share of ``similarity`` left as they are, and at least half of them fixed, belongs to the
+    template that its fixed tokens spell. This looks at counts only: no order of lines matters, and
+    no leaf, token or template has to lie in one task.
+    """
+    tokens = F.split("tokens", " ")
+    lines = distinct.withColumn("size", F.size(tokens))
+    words = lines.where((F.col("size") >= min_tokens) & (F.col("size") > depth))
+    words = saved(words.select("l1", "l2", "leaf", "n", F.posexplode(tokens).alias("pos", "token")).where(F.col("pos") >= depth))
+    fixed = words.where(F.col("token") != FIELD.decode()).groupBy("leaf", "pos", "token").agg(F.sum("n").alias("k")).where(F.col("k") >= min_docs)
+    fixed = saved(fixed.select("leaf", "pos", "token", F.lit(True).alias("fixed")))
+    spelt = words.join(fixed, ["leaf", "pos", "token"], "left").select("l1", "l2", "pos", F.when(F.col("fixed"), F.col("token")).otherwise(FIELD.decode()).alias("token"))
+    spelt = spelt.groupBy("l1", "l2").agg(F.transform(F.sort_array(F.collect_list(F.struct("pos", "token"))), lambda x: x["token"]).alias("tail"))
+    whole = lines.join(spelt, ["l1", "l2"], "left")
+    template = F.when(F.col("tail").isNull(), tokens).otherwise(F.concat(F.slice(tokens, 1, depth), "tail"))
+    open_ = lambda x: F.size(F.filter(x, lambda t: t == FIELD.decode()))
+    out = whole.select("l1", "l2", "size", template.alias("t"), (F.col("size") - (open_(template) - open_(tokens))).alias("same"))
+    out = out.where((F.col("same") >= similarity * F.col("size")) & (2 * open_(F.col("t")) <= F.col("size")))
+    spelling = F.concat_ws(" ", "t")
+    return out.select("l1", "l2", F.xxhash64(spelling).alias("t1"), F.xxhash64(F.lit(1), spelling).alias("t2"))
 
 
 def drop_recurring_lines(
@@ -120,25 +73,23 @@ def drop_recurring_lines(
     min_tokens: int = 4,
     depth: int = 3,
     similarity: float = 0.7,
-    leaf_lines: int = 2000,
     short_lines: bool = False,
 ) -> DataFrame:
     """The table with recurring lines dropped from ``text``, and the counts ``n_lines`` and
-    ``n_dropped`` added.
+    ``n_dropped`` added, in place of columns of these names.
 
     Tokens with a digit are variable fields. A line falls through the tree by its number of tokens
-    and its first ``depth`` tokens to a leaf, where similar lines share a template. A template
-    that occurs in ``min_docs`` documents or more recurs: its first line (by id, then position)
-    stays, all its others go, copies in the same document too. Templates with less than half of
-    their tokens fixed are never dropped. With ``short_lines``, lines of fewer than ``min_tokens``
-    tokens have a leaf by all their tokens, and so recur only as equals after masking; without it
-    they are never dropped. Lines without a token always stay.
-
-    A leaf is never divided, so a line's fate doesn't depend on how many others its leaf has. Its
-    distinct lines are read in order, ``leaf_lines`` at a time; a task holds their templates and,
-    for each line, two hashes and a number. A null text stays null (0 lines), an empty one is one empty
-    line. Identical rows count as one document; rows that share an id but not the text
-    are documents of their own. Other columns stay as they are.
+    and its first ``depth`` tokens to a leaf, where the tokens that seldom stand in their place become
+    variable fields (see ``leaf_templates``). A template that occurs in ``min_docs`` documents or
+    more recurs: its first line (by id, then position) stays, all its others go, copies in
+    the same document too. With ``short_lines``, lines of fewer than ``min_tokens`` tokens have a
+    leaf by all their tokens, and so recur only as equals after masking; without it they are
+    never dropped. Lines without a token always stay.
+
+    A null text stays null (0 lines), an empty one is one empty line. Identical rows count as one
+    document; rows that share an id but not the text are documents of their own, null ids sort
+    first. Very long texts and lines are read whole. An empty table gives an empty result; other
+    columns stay as they are.
     """
     docs = keyed_rows(df, id_column, text)
     least = 1 if short_lines else max(1, min_tokens)
@@ -169,38 +120,12 @@ def drop_recurring_lines(
                     tokens = masked(line)
                     if len(tokens) >= least:
                         held[(leaf(tokens), b" ".join(tokens))] += 1
-            yield pd.DataFrame({"leaf": [k[0] for k in held], "tokens": [k[1] for k in held], "n": list(held.values())})
-
-    distinct = docs.mapInPandas(lines, "leaf long, tokens binary, n long").join(leaves.select("leaf"), "leaf")
-    distinct = distinct.groupBy("leaf", "tokens").agg(F.sum("n").alias("n"))
-
-    def settle(frames):
-        def finished():
-            templates = [_pair(b" ".join(t)) if 2 * t.count(FIELD) <= len(t) else None for t in leaf.templates()]
-            for l1, l2, k in zip(*held):
-                if templates[k] is not None:
-                    yield l1, l2, *templates[k]
-
-        at, leaf, held = None, None, None
-        for f in frames:
-            for low in range(0, len(f), leaf_lines):
-                for key, line in zip(f["leaf"].iloc[low : low + leaf_lines], f["tokens"].iloc[low : low + leaf_lines]):
-                    if leaf is None or key != at:
-                        if leaf is not None:
-                            yield from finished()
-                        at, leaf, held = key, Leaf(similarity), (array("q"), array("q"), array("q"))
-                    line = bytes(line)
-                    for column, value in zip(held, (*_pair(line), leaf.add(line.split(b" ")))):
-                        column.append(value)
-        if leaf is not None:
-            yield from finished()
-
-    def settled(frames):
-        rows = settle(frames)
-        while batch := list(islice(rows, 20_000)):
-            yield pd.DataFrame(batch, columns=["l1", "l2", "t1", "t2"])
-
-    templates = distinct.repartition("leaf").sortWithinPartitions("leaf", F.desc("n"), "tokens").mapInPandas(settled, "l1 long, l2 long, t1 long, t2 long")
+            rows = [(k, t.decode(), *_pair(t), n) for (k, t), n in held.items()]
+            yield pd.DataFrame(rows, columns=["leaf", "tokens", "l1", "l2", "n"])
+
+    distinct = docs.mapInPandas(lines, "leaf long, tokens string, l1 long, l2 long, n long").join(leaves.select("leaf"), "leaf")
+    distinct = saved(distinct.groupBy("leaf", "l1", "l2").agg(F.sum("n").alias("n"), F.min("tokens").alias("tokens")))
+    templates = leaf_templates(distinct, min_docs, min_tokens, depth, similarity)
     met = saved(seen.join(templates, ["l1", "l2"]).select("t1", "t2", "id", "th", "line"))
     recurring = (
         met.groupBy("t1", "t2", "id", "th").agg(F.min("line").alias("line"))
@@ -209,7 +134,8 @@ def drop_recurring_lines(
     )
     # read again, so that the join is free to split a template that a large share of lines has
     dropped = met.join(saved(recurring), ["t1", "t2"]).where(F.struct("id", "th", "line") != F.col("first"))
-    dropped = dropped.groupBy("id", "th").agg(F.collect_set("line").alias("_gone"))
+    lost, key, hashed = fresh(df, "lost"), fresh(df, "key"), fresh(df, "hash")
+    dropped = dropped.groupBy(F.col("id").alias(key), F.col("th").alias(hashed)).agg(F.collect_set("line").alias(lost))
 
     @F.pandas_udf("string")
     def without(t: pd.Series, gone: pd.Series) -> pd.Series:
@@ -222,13 +148,12 @@ def drop_recurring_lines(
             out.append("\n".join(line for k, line in enumerate(x.split("\n")) if k not in g))
         return pd.Series(out, dtype=object)
 
-    rows = df.withColumns({"_id": F.coalesce(F.col(id_column).cast("long"), F.lit(-(1 << 63))), "_th": F.xxhash64(F.coalesce(F.col(text).cast("binary"), F.lit(bytearray())))})
-    gone = dropped.withColumnRenamed("id", "_id").withColumnRenamed("th", "_th")
-    out = rows.join(gone, ["_id", "_th"], "left")
+    rows = df.withColumns({key: F.coalesce(F.col(id_column).cast("long"), F.lit(NONE)), hashed: F.xxhash64(F.coalesce(F.col(text).cast("binary"), F.lit(bytearray())))})
+    out = rows.join(dropped, [key, hashed], "left")
     count = F.when(F.col(text).isNull(), F.lit(0)).otherwise(F.length(text) - F.length(F.replace(F.col(text), F.lit("\n"), F.lit(""))) + 1)
     return out.select(
-        *[c for c in df.columns if c not in (text, "n_lines", "n_dropped")],
-        F.when(F.col("_gone").isNull(), F.col(text)).otherwise(without.asNondeterministic()(text, "_gone")).alias(text),
+        *[F.col(named(c)) for c in df.columns if c.lower() not in (text.lower(), "n_lines", "n_dropped")],
+        F.when(F.col(lost).isNull(), F.col(text)).otherwise(without.asNondeterministic()(text, lost)).alias(text),
         count.cast("long").alias("n_lines"),
-        F.when(F.col("_gone").isNull(), 0).otherwise(F.size("_gone")).cast("long").alias("n_dropped"),
+        F.when(F.col(lost).isNull(), 0).otherwise(F.size(lost)).cast("long").alias("n_dropped"),
     )
