@@ -61,19 +61,45 @@ class Forest:
         return row, node
 
 
-def _split_leaf(x: np.ndarray, most: int, spill: float, rng) -> list[np.ndarray]:
-    """Goes on splitting the rows of a leaf until each part has at most ``most``."""
-    parts, todo = [], [np.arange(len(x))]
-    while todo:
-        rows = todo.pop()
-        if len(rows) <= most:
-            parts.append(rows)
-            continue
-        p = x[rows] @ rng.standard_normal(x.shape[1])
-        order = np.argsort(p, kind="stable")
-        half, lap = len(rows) // 2, int(len(rows) * spill)
-        todo += [rows[order[: half + lap]], rows[order[half - lap :]]]
-    return parts
+CELL = ["tree", "cell", "label"]
+#: Further levels of a tree after which a cell that is still too large is compared in blocks.
+ROUNDS = 24
+
+
+def _projection(seed: int, level: int):
+    """Projections of vectors on the direction that each tree has at this level."""
+
+    @F.pandas_udf("double")
+    def projected(tree: pd.Series, x: pd.Series) -> pd.Series:
+        m = np.stack([np.frombuffer(b) for b in x])
+        out = np.zeros(len(m))
+        for t in np.unique(tree):
+            at = (tree == t).to_numpy()
+            out[at] = m[at] @ np.random.default_rng((seed, int(t), level)).standard_normal(m.shape[1])
+        return pd.Series(out)
+
+    return projected
+
+
+def _refined(rows: DataFrame, most: int, spill: float, seed: int) -> tuple[list[DataFrame], DataFrame | None]:
+    """Goes on splitting the cells (of one label) with more than ``most`` rows, a level a round, at the quantiles of
+    each cell's own projections, which Spark computes: ``(tables of cells that are small enough, the rest)``."""
+    done, level = [], 0
+    while True:
+        large = rows.groupBy(*CELL).agg(F.count(F.lit(1)).alias("held")).where(F.col("held") > most).drop("held")
+        large = saved(large)
+        done.append(rows.join(large, CELL, "left_anti"))
+        if large.isEmpty():
+            return done, None
+        if level == ROUNDS:
+            return done, rows.join(large, CELL, "left_semi")
+
+        big = saved(rows.join(large, CELL, "left_semi").withColumn("p", _projection(seed, level)("tree", "x")))
+        bounds = big.groupBy(*CELL).agg(F.percentile_approx("p", [0.5 - spill, 0.5 + spill], 1000).alias("b"))
+        sides = F.array(F.when(F.col("p") <= F.col("b")[1], 0), F.when(F.col("p") >= F.col("b")[0], 1))
+        split = big.join(saved(bounds), CELL).withColumn("side", F.explode(sides)).where("side is not null")
+        rows = saved(split.select("tree", F.xxhash64("cell", "side").alias("cell"), "label", "rep", "x"))
+        level += 1
 
 
 def link_near_vectors(
@@ -83,7 +109,7 @@ def link_near_vectors(
     label: str = "label",
     threshold: float = 0.93,
     trees: int = 8,
-    leaf_rows: int = 512,
+    leaf_rows: int = 2000,
     group_rows: int = 3000,
     spill: float = 0.06,
     sample_rows: int = 8192,
@@ -94,10 +120,15 @@ def link_near_vectors(
 
     Returns one row per id: ``vec_id``, ``n_links``, ``component_id`` and ``kept``.
 
-    Exact copies count as one vector with a weight. The others are routed down every tree;
-    within each leaf all vectors of a label are compared, and the verified links of all
-    trees are united into components. Links are then counted exactly inside each component,
-    in blocks, so a count misses a link only where the forest left a component in two.
+    Exact copies count as one vector with a weight. The others are routed down every tree of a
+    forest fitted on ``sample_rows`` vectors, with cells of some ``group_rows``; where a label has more
+    than ``leaf_rows`` in a cell, the cell is split on by its own quantiles, a level a round, so a
+    task never holds more than a leaf whatever the size of the table. Vectors that no
+    projection parts are compared in blocks. Within each leaf all vectors of a label are compared,
+    and the verified links of all trees are united into components. Links are then counted
+    exactly inside each component, in pairs of blocks, each of which is a task's work: that is
+    the square of a component's size, so a component of millions is costly though nothing of it
+    is ever in one place. A count misses a link only where the forest left a component in two.
 
     Vectors that are null, empty, all zero or hold null or non-finite components, and rows
     with a null label, link with nothing. Vectors of different lengths are never compared.
@@ -127,24 +158,19 @@ def link_near_vectors(
                     raw = np.array([r.tobytes() for r in x], dtype=object)
                     for t in range(forest.trees):
                         row, leaf = forest.leaves(x, t)
-                        yield pd.DataFrame({"cell": leaf + (t << forest.depth + 1), "label": f["label"].to_numpy()[row], "rep": f["rep"].to_numpy()[row], "x": raw[row]})
-
-        def compare(frame):
-            rng = np.random.default_rng(int(frame["cell"].iloc[0]) + seed)
-            out = []
-            for _, f in frame.groupby("label"):
-                f = f.sort_values("rep")
-                x, rep = np.stack([np.frombuffer(b) for b in f["x"]]), f["rep"].to_numpy()
-                for part in _split_leaf(x, leaf_rows, 2 * spill, rng):
-                    part = np.sort(part)
-                    i, j = np.nonzero(np.triu(x[part] @ x[part].T >= threshold, 1))
-                    low = local_components(len(part), i, j)
-                    linked = np.flatnonzero(low != np.arange(len(part)))
-                    out.append(pd.DataFrame({"a": rep[part[linked]], "b": rep[part[low[linked]]]}))
-            return pd.concat(out)
-
-        found = part.mapInPandas(route, "cell long, label string, rep long, x binary").groupBy("cell").applyInPandas(compare, "a long, b long")
-        edges = found if edges is None else edges.union(found)
+                        yield pd.DataFrame({"tree": t, "cell": leaf, "label": f["label"].to_numpy()[row], "rep": f["rep"].to_numpy()[row], "x": raw[row]})
+
+        routed = saved(part.mapInPandas(route, "tree int, cell long, label string, rep long, x binary"))
+        small, dense = _refined(routed, leaf_rows, spill, seed + d)
+        found = [_compared(rows, CELL, threshold) for rows in small]
+        if dense is not None:
+            sizes = dense.groupBy(*CELL).agg(F.ceil(F.count(F.lit(1)) / (leaf_rows // 2)).cast("int").alias("blocks"))
+            own = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
+            pairs = dense.join(saved(sizes), CELL).withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            pairs = pairs.select(*CELL, F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "rep", "x")
+            found.append(_compared(pairs, [*CELL, "low", "high"], threshold))
+        for more in found:
+            edges = more if edges is None else edges.union(more)
 
     if edges is None:
         return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
@@ -163,6 +189,20 @@ def link_near_vectors(
     )
 
 
+def _compared(rows: DataFrame, keys: list[str], threshold: float) -> DataFrame:
+    """(a, b) that join the rows of each key whose cosine is ``threshold`` or more."""
+
+    def compare(frames):
+        for f in per_key(frames, keys):
+            x, rep = np.stack([np.frombuffer(b) for b in f["x"]]), f["rep"].to_numpy()
+            i, j = np.nonzero(np.triu(x @ x.T >= threshold, 1))
+            low = local_components(len(rep), i, j)
+            linked = np.flatnonzero(low != np.arange(len(rep)))
+            yield pd.DataFrame({"a": rep[linked], "b": rep[low[linked]]})
+
+    return rows.repartition(*keys).sortWithinPartitions(*keys, "rep").mapInPandas(compare, "a long, b long")
+
+
 def _count_links(classes: DataFrame, comp: DataFrame, threshold: float, block_rows: int) -> DataFrame:
     """(rep, links): the weight of the other classes that a class links with, from comparing
     every two blocks of each component. Small components share a group."""

@@ -55,7 +55,7 @@ def got_links(df, **kw):
     return sorted(tuple(r) for r in near_vectors.link_near_vectors(df, **kw).select("vec_id", "n_links", "component_id", "kept").collect())
 
 
-@pytest.mark.parametrize("limits", [{}, {"group_rows": 40, "leaf_rows": 20, "trees": 30, "spill": 0.12, "block_rows": 16}])
+@pytest.mark.parametrize("limits", [{}, {"group_rows": 40, "leaf_rows": 40, "trees": 30, "spill": 0.12, "block_rows": 16}])
 def test_near_vectors_edges(spark, limits):
     rows = edge_vectors()
     want, _ = brute_links(rows)
@@ -67,17 +67,38 @@ def test_near_vectors_empty_and_none_usable(spark):
     assert got_links(frame(spark, [(1, None, "a"), (2, [0.0], "a")])) == [(1, 0, 1, True), (2, 0, 2, True)]
 
 
-def test_near_vectors_recall(spark):
-    """Of all links of the table, those whose ends share a component; counts of such are exact."""
+@pytest.mark.parametrize("limits", [{}, {"group_rows": 200, "leaf_rows": 60}, {"group_rows": 4000, "leaf_rows": 40}])
+def test_near_vectors_recall(spark, limits):
+    """Links planted among the table's vectors, at several depths: of all links, those whose ends share a
+    component; counts inside components are exact."""
     df = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
     rows = [(r["vec_id"], r["embedding"], None if r["label"] is None else str(r["label"])) for r in df.select("vec_id", "embedding", "label").collect()]
+    rng = np.random.default_rng(9)
+    width, labels = len(rows[0][1]), sorted({l for _, _, l in rows if l is not None})[:2]
+    for k in range(1200):
+        base = rng.standard_normal(width)
+        for c in range(2 if k % 4 else 1):
+            noise = rng.standard_normal(width) * rng.uniform(0.1, 0.25)
+            rows.append((10**6 + 2 * k + c, [float(v) for v in np.float32(base + c * noise)], labels[k % 2]))
+    # a tight group of a third of all rows, of which no two are equal
+    base = rng.standard_normal(width)
+    rows += [(2 * 10**6 + k, [float(v) for v in np.float32(base + 0.05 * rng.standard_normal(width))], labels[0]) for k in range(len(rows) // 2)]
     want, links = brute_links(rows)
-    got = {i: (n, c) for i, n, c, _ in got_links(df, group_rows=200)}
-    found = sum(got[a][1] == got[b][1] for a, b in links)
-    assert found >= 0.98 * len(links)
+    got = {i: (n, c) for i, n, c, _ in got_links(frame(spark, rows), **limits)}
+    loose = [x for x in links if x[1] < 2 * 10**6]
+    assert len(loose) > 800
+    assert sum(got[a][1] == got[b][1] for a, b in loose) >= 0.98 * len(loose)
+    assert sum(got[a][1] == got[b][1] for a, b in links) >= 0.98 * len(links)
     assert all(got[i][0] <= n for i, n, _, _ in want)
 
 
+def test_near_vectors_that_no_projection_parts(spark, monkeypatch):
+    monkeypatch.setattr(near_vectors, "ROUNDS", 1)
+    rng = np.random.default_rng(3)
+    rows = [(k, [float(v) for v in np.float32([1, 1, 1, 1] + 0.01 * rng.standard_normal(4))], "a") for k in range(300)]
+    assert got_links(frame(spark, rows), leaf_rows=20) == brute_links(rows)[0]
+
+
 # ------------------------------------------------------------------ top inner products
 
 
