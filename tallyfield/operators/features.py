@@ -10,7 +10,7 @@ IDS = ["game_id", "season", "week", "team", "opponent"]
 
 def lagged(df: DataFrame, columns: list[str], window: int = 5, span: int = 5) -> DataFrame:
     """For each column the mean of all earlier games of the team, of its last ``window`` games, and the
-    exponentially weighted mean of the last ``10 * span`` (weights below 1e-15 beyond), always
+    exponentially weighted mean of the last ``10 * span`` (at span 5, earlier games have a weight of 1.6e-9 together), always
     without the game itself."""
     w = Window.partitionBy("team").orderBy("season", "week", "game_id")
     alpha = 2 / (span + 1)

@@ -84,7 +84,7 @@ def games_long(games: DataFrame) -> DataFrame:
 
 def pair_to_wide(df: DataFrame, game_id: str = "game_id", location: str = "location", remove_opponent: bool = True, order_by=None, check: bool = True) -> DataFrame:
     """One row a game from its two team rows, values as ``home_x``/``away_x``. Of two neutral rows the
-    first (by ``order_by``, else by team) is the home side. ``check`` raises, after a job, unless every
+    first (by ``order_by``, else by team) is the home side. Every value column carries ``{"by": game_id, "side": ...}`` as metadata. ``check`` raises, after a job, unless every
     game has exactly two rows with known locations."""
     require_columns(df, [game_id, location])
     place = F.lower(F.col(location).cast("string"))
@@ -98,7 +98,7 @@ def pair_to_wide(df: DataFrame, game_id: str = "game_id", location: str = "locat
     side = F.when(F.col("_p") == "neutral", F.when(F.col("_n") == 1, "home").otherwise("away")).otherwise(F.col("_p"))
     rows = rows.withColumn("_s", side)
     kept = [c for c in values if not (remove_opponent and c == "opponent")]
-    return rows.groupBy(game_id).agg(*[F.max(F.when(F.col("_s") == s, F.col(c))).alias(f"{s}_{c}") for s in ("home", "away") for c in kept])
+    return rows.groupBy(game_id).agg(*[F.max(F.when(F.col("_s") == s, F.col(c))).alias(f"{s}_{c}", metadata={"by": game_id, "side": s}) for s in ("home", "away") for c in kept])
 
 
 def players_with_games(stats: DataFrame, long: DataFrame) -> DataFrame:

@@ -37,8 +37,16 @@ def epa_ratings(plays: DataFrame, side: str, scaled_wp: bool = False) -> DataFra
     return rows.groupBy("game_id", "season", "week", F.col(team).alias("team"), "home_team", "away_team").agg(*aggs)
 
 
-def epa(plays: DataFrame, scaled_wp: bool = False) -> DataFrame:
-    return epa_ratings(plays, "offense", scaled_wp).join(epa_ratings(plays, "defense", scaled_wp), KEYS, "left")
+def epa(plays: DataFrame, scaled_wp: bool = False, check: bool = False) -> DataFrame:
+    """Offense and defense of every team game. ``check`` raises, after a job, if the join drops or doubles a
+    row or leaves a team game without its other side."""
+    off, dfn = epa_ratings(plays, "offense", scaled_wp), epa_ratings(plays, "defense", scaled_wp)
+    if check:
+        sides = off.select(*KEYS, F.lit(1).alias("o"), F.lit(0).alias("d")).union(dfn.select(*KEYS, F.lit(0), F.lit(1)))
+        bad = sides.groupBy(*KEYS).agg(F.sum("o").alias("o"), F.sum("d").alias("d")).where("o <> 1 or d <> 1")
+        if not bad.isEmpty():
+            raise ValueError("team games without exactly one offense and one defense row")
+    return off.join(dfn, KEYS, "left")
 
 
 def turnovers(long: DataFrame, plays: DataFrame, pairing: str = "game") -> DataFrame:
@@ -53,18 +61,14 @@ def turnovers(long: DataFrame, plays: DataFrame, pairing: str = "game") -> DataF
         other = lost.select("game_id", F.col("posteam").alias("defteam"), F.col("defteam").alias("posteam"), *[F.col(f"{n}_lost").alias(f"{n}_won") for n in names])
         both = lost.join(other, ["game_id", "posteam", "defteam"], "left")
     elif pairing == "global":
-        # numbered by a sort across tasks; counts of the tasks, one number each, make the numbers dense
-        order = ["season", "week", "game_id", "posteam", "defteam"]
-        numbered = lost.orderBy(*order).withColumn("_id", F.monotonically_increasing_id())
-        part, own = F.shiftright("_id", 33), F.col("_id").bitwiseAND((1 << 33) - 1)
-        held = {r["p"]: r["n"] for r in numbered.groupBy(part.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()}
-        total, offsets = 0, []
-        for p in sorted(held):
-            offsets.append((p, total))
-            total += held[p]
-        table = lost.sparkSession.createDataFrame(offsets, "_p long, _o long") if offsets else lost.sparkSession.createDataFrame([], "_p long, _o long")
-        numbered = numbered.withColumn("_p", part).join(F.broadcast(table), "_p").withColumn("_n", own + F.col("_o"))
-        other = numbered.select((F.lit(total - 1) - F.col("_n")).alias("_n"), *[F.col(f"{n}_lost").alias(f"{n}_won") for n in names])
+        # numbered inside each season; the seasons' counts, a row each, make the numbers dense
+        order = ["week", "game_id", "posteam", "defteam"]
+        held = lost.groupBy("season").agg(F.count(F.lit(1)).alias("_c"))
+        seasons = Window.orderBy("season")
+        held = held.select("season", (F.sum("_c").over(seasons) - F.col("_c")).alias("_o"), F.sum("_c").over(Window.partitionBy()).alias("_total"))
+        numbered = lost.withColumn("_k", F.row_number().over(Window.partitionBy("season").orderBy(*order)))
+        numbered = numbered.join(F.broadcast(held), "season").withColumn("_n", F.col("_o") + F.col("_k"))
+        other = numbered.select((F.col("_total") + 1 - F.col("_n")).alias("_n"), *[F.col(f"{n}_lost").alias(f"{n}_won") for n in names])
         both = numbered.join(other, "_n", "left")
     else:
         raise ValueError("pairing must be game or global")

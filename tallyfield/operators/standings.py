@@ -122,12 +122,15 @@ def srs_data(games: DataFrame, resets=(True, 10, 20), tol: float = 1e-3, max_ite
     return base.join(wide, keys, "left")
 
 
-def season_standings(games: DataFrame, tol: float = 1e-3, max_iter: int = 100, ratings: bool = True) -> DataFrame:
+def season_standings(games: DataFrame, tol: float = 1e-3, max_iter: int = 100, ratings: bool = True, check: bool = False) -> DataFrame:
     """Regular-season tables with strength of victory (mean win share of beaten opponents) and of
-    schedule (of all opponents, ``schedule_share``), and the season's ratings before ``sov``."""
+    schedule (of all opponents, ``schedule_share``), and the season's ratings before ``sov``. ``check``
+    raises, after a job, if no regular-season game has been played."""
     require_columns(games, ["season", "season_type", "home_team", "away_team", "home_score", "away_score", "result"])
     rows = unpivot_sides(games.where((F.col("season_type") == "REG") & F.col("result").isNotNull()), invert=("result",))
     rows = rows.select("season", "team", "opponent", "team_score", "opponent_score", "result")
+    if check and rows.isEmpty():
+        raise ValueError("no regular-season game has been played")
     base = summary(rows, ["season", "team"]).drop("true_wins")
     share = base.select("season", F.col("team").alias("opponent"), F.col("wins").alias("w"), F.col("games").alias("g"))
     met = rows.join(share, ["season", "opponent"]).groupBy("season", "team").agg(

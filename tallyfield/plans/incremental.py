@@ -52,18 +52,21 @@ def season_types(season_level: str) -> list[str]:
     return known[season_level.upper()]
 
 
-def cached_stats(spark, path: str, source: DataFrame, compute, keys: list[str]) -> DataFrame:
+def cached_stats(spark, path: str, source: DataFrame, compute, keys: list[str], refresh: bool = False, recompute_all: bool = False) -> DataFrame:
     """The cached product if it has all of the source's keys; else the seasons with missing keys are
-    computed and replaced in it, and it is returned anew."""
+    computed and replaced in it, and it is returned anew. ``refresh`` computes the source's last season
+    in any case, as its rows may have changed; ``recompute_all`` computes everything."""
     from ..sources.archive import read_archive
 
-    prior = read_archive(spark, path)
-    if not should_rebuild(source, prior, keys):
-        return prior
+    prior = None if recompute_all else read_archive(spark, path)
     if prior is None or prior.isEmpty():
         compute(source).write.mode("overwrite").partitionBy("season").parquet(path)
-    else:
-        stale = missing_keys(source, prior, keys).select("season").distinct()
-        fresh = compute(source.join(F.broadcast(stale), "season", "left_semi"))
-        fresh.write.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy("season").parquet(path)
+        return spark.read.parquet(path)
+    stale = missing_keys(source, prior, keys).select("season").distinct()
+    if refresh:
+        stale = stale.union(source.agg(F.max("season").alias("season")).where("season is not null")).distinct()
+    if stale.isEmpty():
+        return prior
+    fresh = compute(source.join(F.broadcast(stale), "season", "left_semi"))
+    fresh.write.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy("season").parquet(path)
     return spark.read.parquet(path)

@@ -84,6 +84,34 @@ srs as (
 rated as (select season, week, team, round(mov, 4) "MOV", round(arg_max(sos, it), 4) "SOS", round(arg_max(srs, it), 4) "SRS", round(arg_max(osrs, it), 4) "OSRS", round(arg_max(dsrs, it), 4) "DSRS" from srs group by season, week, team, mov)"""
 
 
+def _modes(resets: list[int], max_iter: int) -> str:
+    """Summary of the season mode and the ratings of every mode, mode 0 being the season, n a window of n weeks."""
+    parts = [_GAMES_OF["season" if n == 0 else "roll"].format(n=n - 1).removeprefix("sl as (select ").removesuffix(")") for n in resets]
+    rows = " union all ".join(f"select {n} as mode, {x}" for n, x in zip(resets, parts))
+    srs = SRS.replace("order by season, week) sid", "order by mode, season, week) sid").replace("select sid, season, week, team, avg(result) mov", "select sid, mode, season, week, team, avg(result) mov")
+    srs = srs.replace("group by sid, season, week, team\n", "group by sid, mode, season, week, team\n").replace("select sid, season, week, team, mov, n_sos", "select sid, mode, season, week, team, mov, n_sos")
+    srs = srs.replace("select s.sid, s.season", "select s.sid, s.mode, s.season").replace("s.it < 100", f"s.it < {max_iter}")
+    srs = srs.replace("rated as (select season", "rated as (select mode, season").replace("group by season, week, team, mov)", "group by mode, season, week, team, mov)")
+    wide = ", ".join(f'max(case when mode = {n} then "{r}" end) "{r}{f"_{n}" if n else ""}"' for n in resets for r in ("MOV", "SOS", "SRS", "OSRS", "DSRS"))
+    base = SUMMARY.replace(", 6)", ", 4)").replace("count(*) filter (where result > 0) true_wins, ", "")
+    return f", {GRID}, sl as ({rows}), {srs} select * from (select season, week, team, {base} from sl where mode = 0 group by all) left join (select season, week, team, {wide} from rated group by all) using (season, week, team)"
+
+
+def _elo_resume() -> str:
+    """Games before 2000 in one fold; then another from each team's rating after its last one, a team without any
+    being unknown and starting at the mean of the known ones."""
+    chg = "20 * (case when result > 0 then 1.0 when result < 0 then 0.0 else 0.5 end - 1 / (1 + pow(10, (ra - rh) / 400.0)))"
+    fold = """select rn, season, [case when i = h then rh + chg when i = a then ra - chg else b[i] end for i in range(1, 26)], rh, ra from (select *, {chg} chg
+      from (select *, coalesce(b[h], list_avg(b)) rh, coalesce(b[a], list_avg(b)) ra
+        from (select pg.*, case when {el}.season is not null and {el}.season <> pg.season then [x * 0.6 + list_avg({el}.st) * (1 - 0.6) for x in {el}.st] else {el}.st end b from {el} join pg on pg.rn = {el}.rn + 1 where {where})))"""
+    games = _elo(0.0, False).split("el as (")[0]
+    return f"""{games} el as (select 0::bigint rn, null::int as season, [1500.0::double for i in range(25)] st, null::double hpre, null::double apre union all {fold.format(chg=chg, el="el", where="pg.season < 2000")}),
+seed as (select i, arg_max(st[i], rn) x from range(1, 26) t(i) left join (select el.rn, st, h, a from el join pg on pg.rn = el.rn) on h = i or a = i group by i),
+more as (select (select max(rn) from el) rn, (select max(season) from el)::int as season, (select list(x order by i) from seed) st, null::double hpre, null::double apre union all {fold.format(chg=chg, el="more", where="true")}),
+steps as (select * from el union all select * from more where hpre is not null)
+select game_id, pg.season, week, gameday, home_team, away_team, home_score, away_score, location, round(hpre, 6) home_elo_pre, round(apre, 6) away_elo_pre, round(st[h], 6) home_elo_post, round(st[a], 6) away_elo_post from steps join pg using (rn)"""
+
+
 def _elo(edge: float, margin: bool) -> str:
     e = f"case when location = 'Home' then {edge} else 0.0 end"
     mult = f"case when result = 0 then 1.0 else ln(abs(result) + 1) * 2.2 / (0.001 * abs(b[h] - b[a] + {e}) + 2.2) end" if margin else "1.0"
@@ -183,11 +211,16 @@ def queries() -> dict[str, str]:
         "weekly_standings_reg": f", {GRID.replace('result is not null', chr(39).join(['result is not null and season_type = ', 'REG', '']), 1)}, {season_sl} select season, week, team, {SUMMARY} from sl group by all",
         "srs_season": f", {GRID}, {season_sl}, {SRS} select * from (select season, week, team, {SUMMARY.replace(', 6)', ', 4)')} from sl group by all) left join rated using (season, week, team)",
         "srs_slice_weekly": f", {GRID}, {roll_sl}, {SRS} select * from rated",
+        "srs_multi_mode": _modes([0, 10, 20], 100),
+        "srs_17_modes": _modes([0, *range(5, 21)], 200),
+        "season_standings_ratings": f""", sl as (select season, 1 as week, team, opponent, team_score, opponent_score, result from long where result is not null and season_type = 'REG'), ss as (select season, team, {SUMMARY.replace(", 6)", ", 4)")} from sl group by all), {SRS}
+          select * exclude (true_wins) from ss left join (select * exclude (week) from rated) using (season, team) left join (select r.season, r.team, round(sum(s.wins) filter (where r.result > 0) / sum(s.games) filter (where r.result > 0), 4) sov, round(sum(s.wins) / sum(s.games), 4) schedule_share
+            from sl r join ss s on s.season = r.season and s.team = r.opponent group by 1, 2) using (season, team)""",
         "season_standings": f""", rg as (select * from long where result is not null and season_type = 'REG'), ss as (select season, team, {SUMMARY} from rg group by all)
           select * exclude (true_wins) from ss left join (select r.season, r.team, round(sum(s.wins) filter (where r.result > 0) / sum(s.games) filter (where r.result > 0), 6) sov, round(sum(s.wins) / sum(s.games), 6) schedule_share
             from rg r join ss s on s.season = r.season and s.team = r.opponent group by 1, 2) using (season, team)""",
         "elo_full": f", {_elo(0.0, False)} select * from hist",
-        "elo_resume": f", {_elo(0.0, False)} select * from hist",
+        "elo_resume": f", {_elo_resume()}",
         "elo_hfa_margin": f", {_elo(65.0, True)} select * from hist",
         "elo_latest": f", {_elo(0.0, False)}, ts as (select home_team team, season, week, game_id, home_elo_post e from hist union all select away_team, season, week, game_id, away_elo_post from hist) select team, arg_max(e, (season, week, game_id)) elo, max(season) season from ts group by team",
         "team_form_lag": f"select game_id, season, week, team, team_score, round(avg(team_score) {form.format('unbounded')}, 6) team_score_cum_lag, round(avg(team_score) {form.format(5)}, 6) team_score_roll_lag from long",
