@@ -14,11 +14,16 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share; a local one only where none is set."""
+    """The folder that the driver and all executors share; a temporary one only where none is set and
+    everything runs on one machine."""
     held = spark.sparkContext.getCheckpointDir()
     if held:
         return held
-    folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tallyfield-")
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        folder = tempfile.mkdtemp(prefix="tallyfield-")
     spark.sparkContext.setCheckpointDir(folder)
     return spark.sparkContext.getCheckpointDir()
 
