@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 IDS = ["game_id", "season", "week", "team", "opponent"]
 
@@ -11,29 +15,47 @@ IDS = ["game_id", "season", "week", "team", "opponent"]
 def lagged(df: DataFrame, columns: list[str], window: int = 5, span: int = 5) -> DataFrame:
     """For each column the mean of all earlier games of the team, of its last ``window`` games, and the
     exponentially weighted mean of the last ``10 * span`` (at span 5, earlier games have a weight of 1.6e-9 together), always
-    without the game itself."""
-    w = Window.partitionBy("team").orderBy("season", "week", "game_id")
-    alpha = 2 / (span + 1)
-    out = {}
-    for c in columns:
-        out[f"{c}_cum_lag"] = F.avg(c).over(w.rowsBetween(Window.unboundedPreceding, -1))
-        out[f"{c}_roll_lag"] = F.avg(c).over(w.rowsBetween(-window, -1))
-        past = F.collect_list(F.col(c).cast("double")).over(w.rowsBetween(-10 * span, -1))
-        rest = F.slice(past, 2, F.greatest(F.size(past) - 1, F.lit(0)))
-        out[f"{c}_ewma_lag"] = F.when(F.size(past) > 0, F.aggregate(rest, past[0], lambda s, x: s * (1 - alpha) + x * alpha))
-    return df.withColumns(out)
+    without the game itself; nulls are passed over. One group holds the games of one team and serves all columns."""
+    if not columns:
+        return df
+    alpha, names = 2 / (span + 1), [f"{c}_{kind}_lag" for c in columns for kind in ("cum", "roll", "ewma")]
+
+    def past(games: pa.Table) -> pa.Table:
+        order = [(k, "ascending") for k in ("season", "week", "game_id")]
+        games = games.take(pc.sort_indices(games, sort_keys=order, null_placement="at_start"))
+        values = np.column_stack([games[c].cast(pa.float64(), safe=False).to_numpy() for c in columns])
+        seen = ~np.isnan(values)
+        # row i of the cumulative tables has the games before game i
+        sums, counts = (np.vstack([np.zeros((1, len(columns))), np.cumsum(x, axis=0)[:-1]]) for x in (np.where(seen, values, 0.0), seen))
+        total, number, weighted = np.zeros_like(values), np.zeros_like(values), np.full_like(values, np.nan)
+        for back in range(min(10 * span, len(values) - 1), 0, -1):
+            x, to = values[:-back], weighted[back:]
+            to[:] = np.where(np.isnan(x), to, np.where(np.isnan(to), x, to * (1 - alpha) + x * alpha))
+        for back in range(min(window, len(values) - 1), 0, -1):
+            total[back:] += np.where(seen, values, 0.0)[:-back]
+            number[back:] += seen[:-back]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            kinds = (sums / counts, total / number, weighted)
+        for i, name in enumerate(names):
+            games = games.append_column(name, pa.array(kinds[i % 3][:, i // 3], from_pandas=True))
+        return games
+
+    schema = T.StructType([*df.schema.fields, *[T.StructField(n, T.DoubleType()) for n in names]])
+    return df.groupBy("team").applyInArrow(past, schema)
 
 
 def net(df: DataFrame, columns: list[str]) -> DataFrame:
-    """``net_x`` = the team's ``off_x`` less the opponent's ``def_x`` in the game, of lagged features."""
-    other = df.select("game_id", F.col("team").alias("opponent"), *[F.col(f"def_{c}").alias(f"_o_{c}") for c in columns])
-    joined = df.join(other, ["game_id", "opponent"], "left")
-    return joined.select(*df.columns, *[(F.col(f"off_{c}") - F.col(f"_o_{c}")).alias(f"net_{c}") for c in columns])
+    """``net_x`` = the team's ``off_x`` less the opponent's ``def_x`` in the game, of lagged features; null where the
+    opponent has no row. A game's two sides are the least and the greatest by team, so the plan below runs once."""
+    side, game = F.struct("team", *[F.col(f"def_{c}") for c in columns]), Window.partitionBy("game_id")
+    sides = df.withColumns({"_least": F.min(side).over(game), "_greatest": F.max(side).over(game)})
+    other = F.when(F.col("_least.team") == F.col("opponent"), F.col("_least")).when(F.col("_greatest.team") == F.col("opponent"), F.col("_greatest"))
+    return sides.withColumn("_other", other).select(*df.columns, *[(F.col(f"off_{c}") - F.col(f"_other.def_{c}")).alias(f"net_{c}") for c in columns])
 
 
 def model_long(long: DataFrame, elo: DataFrame, srs: DataFrame, epa: DataFrame, scores: DataFrame, series: DataFrame, turnover: DataFrame, redzone: DataFrame, window: int = 5, span: int = 5) -> DataFrame:
     """Features of every rated team game: ratings before it, and lagged play, score, series, turnover and
-    red-zone features. One window over (team) serves all of them."""
+    red-zone features. One group a team serves all of them."""
     sides = elo.select("game_id", F.explode(F.array(
         F.struct(F.col("home_team").alias("team"), F.col("home_elo_pre").alias("team_elo_pre"), F.col("away_elo_pre").alias("opponent_elo_pre")),
         F.struct(F.col("away_team").alias("team"), F.col("away_elo_pre").alias("team_elo_pre"), F.col("home_elo_pre").alias("opponent_elo_pre")),
