@@ -9,6 +9,7 @@ piece that ends where they start; the result is the model's own encoding.
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from functools import lru_cache
 
 import numpy as np
@@ -39,12 +40,15 @@ class PieceModel:
         plain = [i for i in range(n) if not (i in self.byte_of or i in self.silent or model.is_unknown(i) or model.is_unused(i))]
         self.automaton = ahocorasick.Automaton()
         for i in plain:
-            self.automaton.add_word(self.pieces[i], (i, len(self.pieces[i]), model.get_score(i)))
+            self.automaton.add_word(self.pieces[i], (i + 1, len(self.pieces[i]), model.get_score(i)))
         self.automaton.make_automaton()
         self.floor = min((model.get_score(i) for i in plain if model.get_score(i) > -1e8), default=0.0) - 10.0
         self.score = {self.pieces[i]: model.get_score(i) for i in plain}
         self.single = {self.pieces[i] for i in plain if len(self.pieces[i]) == 1}
-        self.following: dict = {}
+        # what an id adds to a decoded text; a byte piece waits for those beside it
+        self.spoken = [None if i in self.byte_of else "" if i in self.silent else self.pieces[i].replace(SPACE, " ") for i in range(n)]
+        self.following: dict = defaultdict(dict)
+        self.pairs = 0
         # where no piece has a space after another character, words are segmented on their own
         spaced = any(SPACE in self.pieces[i].lstrip(SPACE) for i in plain)
         self.split = re.compile("(?s).+" if spaced else f"(?s){SPACE}+[^{SPACE}]*|[^{SPACE}]+").findall
@@ -63,14 +67,20 @@ class PieceModel:
                 return parts
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
 
-    def follows(self, first: str, second: str) -> bool:
-        """Whether merging leaves the two pieces as they are, one after the other (first may be empty)."""
-        known = self.following.get((first, second))
-        if known is None:
-            known = self.merged(first + second) == ([first, second] if first else [second])
-            if len(self.following) >= CACHED_PAIRS:
-                self.following.clear()
-            self.following[first, second] = known
+    def named(self, state: int) -> str:
+        """The piece of a state: 0 is the start, then the pieces by id, then characters without a piece."""
+        n = len(self.pieces)
+        return "" if not state else self.pieces[state - 1] if state <= n else chr(state - 1 - n)
+
+    def follows(self, first: int, second: int) -> bool:
+        """Whether merging leaves the pieces of two states as they are, one after the other."""
+        a, b = self.named(first), self.named(second)
+        known = self.merged(a + b) == ([a, b] if first else [b])
+        if self.pairs >= CACHED_PAIRS:
+            self.following.clear()
+            self.pairs = 0
+        self.pairs += 1
+        self.following[first][second] = known
         return known
 
     def segment(self, chunk: str) -> list[int]:
@@ -78,39 +88,32 @@ class PieceModel:
         and those behind its output links) relax the best score, if they may follow the piece that the
         best way to their start ends with; a character that is no piece may stand for itself at
         the cost ``floor`` and becomes its bytes. Ties go to the longer last piece."""
-        n = len(chunk)
-        best, back = [0.0] + [None] * n, [(None, "")] + [None] * n
-        at = 0
-
-        def relax(end: int, i, piece: str, score: float) -> None:
-            start = end - len(piece)
-            if best[start] is None:
-                return
-            total = best[start] + score
-            held = best[end]
-            if held is None or total > held or total == held and len(piece) > len(back[end][1]):
-                if self.follows(back[start][1], piece):
-                    best[end], back[end] = total, (i, piece)
-
-        def fill(end: int) -> None:
-            nonlocal at
-            while at < end:  # positions that no piece ends at, or none more
-                at += 1
-                if chunk[at - 1] not in self.single:
-                    relax(at, None, chunk[at - 1], self.floor)
-
-        for end, (i, size, score) in self.automaton.iter(chunk):
-            fill(end)
-            relax(end + 1, i, chunk[end + 1 - size : end + 1], score)
-        fill(n)
-        out = []
+        n, following = len(chunk), self.following
+        best, back, sizes, after = [0.0] + [None] * n, [0] * (n + 1), [0] * (n + 1), [None] * (n + 1)
+        after[0] = following[0]
+        found = self.automaton.iter(chunk)
+        if not self.single.issuperset(chunk):
+            alone = [(k, (len(self.pieces) + 1 + ord(c), 1, self.floor)) for k, c in enumerate(chunk) if c not in self.single]
+            found = sorted([*found, *alone], key=lambda x: x[0])
+        for end, (state, size, score) in found:
+            end += 1
+            start = end - size
+            before = best[start]
+            if before is None:
+                continue
+            total, held = before + score, best[end]
+            if held is None or total > held or total == held and size > sizes[end]:
+                known = after[start].get(state)
+                if self.follows(back[start], state) if known is None else known:
+                    best[end], back[end], sizes[end], after[end] = total, state, size, following[state]
+        out, pieces = [], len(self.pieces)
         while n:
-            i, piece = back[n]
-            if i is None:
-                out += [self.bytes.get(b, self.unknown) for b in reversed(piece.encode("utf-8", "surrogatepass"))]
+            state = back[n]
+            if state > pieces:
+                out += [self.bytes.get(b, self.unknown) for b in reversed(self.named(state).encode("utf-8", "surrogatepass"))]
             else:
-                out.append(i)
-            n -= len(piece)
+                out.append(state - 1)
+            n -= sizes[n]
         return out[::-1]
 
     def encode(self, text: str) -> np.ndarray:
@@ -139,19 +142,20 @@ class PieceModel:
 
     def decode(self, ids) -> str:
         out, raw = [], bytearray()
-        for i in map(int, ids):
-            b = self.byte_of.get(i)
-            if b is not None:
-                raw.append(b)
-                continue
+        said = [self.spoken[i] for i in np.asarray(ids).tolist()]
+        if None in said:
+            for i, x in zip(map(int, ids), said):
+                if x is None:
+                    raw.append(self.byte_of[i])
+                    continue
+                if raw:
+                    out.append(raw.decode("utf-8", "replace"))
+                    raw.clear()
+                out.append(x)
             if raw:
                 out.append(raw.decode("utf-8", "replace"))
-                raw.clear()
-            if i not in self.silent:
-                out.append(self.pieces[i].replace(SPACE, " "))
-        if raw:
-            out.append(raw.decode("utf-8", "replace"))
-        text = "".join(out)
+            said = out
+        text = "".join(said)
         return text[1:] if text.startswith(" ") else text
 
 
