@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import elo, features, games, ids, plays, scores, standings
+from ..operators import elo, features, games, ids, plays, scores, standings, stats
 from ..session import ship_package
 from ..sources import league
 from . import incremental, oracle
@@ -70,6 +70,11 @@ QUERIES = {
     "score_patches": lambda x: scores.corrected(scores.stat_columns(x.stats), PATCHES),
     "scores": lambda x: scores.scores(x.long, x.stats, x.plays, PATCHES),
     "series_weekly": lambda x: _rounded(plays.series(x.plays)),
+    "series_ids": lambda x: _rounded(plays.series_with_ids(x.plays, x.schedules)),
+    "stats_week_team_all": lambda x: ids.add_game_ids(stats.stats_by_level(x.stats, x.plain, league.STATS, "week", "team", "ALL"), x.schedules),
+    "stats_season_team_reg": lambda x: stats.stats_by_level(x.stats, x.plain, league.STATS, "season", "team", "REG"),
+    "stats_week_player_post": lambda x: stats.stats_by_level(x.players, x.plain, ["attempts", "yards"], "week", "player", "POST"),
+    "stats_season_player_both": lambda x: stats.stats_by_level(x.players, x.plain, ["attempts", "yards"], "season", "player", "REG+POST"),
     "series_season": lambda x: _rounded(plays.series(x.plays, weekly=False)),
     "weekly_standings_season": lambda x: _rounded(standings.weekly_standings(x.plain, ratings=False)),
     "weekly_standings_roll10": lambda x: _rounded(standings.weekly_standings(x.plain, reset=10, ratings=False)),
@@ -86,8 +91,8 @@ QUERIES = {
     "elo_latest": lambda x: _rounded(elo.latest_ratings(_elo(x))),
     "team_form_lag": lambda x: _rounded(features.lagged(x.long.select("game_id", "season", "week", "team", "team_score"), ["team_score"]).drop("team_score_ewma_lag")),
     "team_ewma_lag": lambda x: _rounded(features.lagged(x.long.select("game_id", "season", "week", "team", "team_score"), ["team_score"]).select("game_id", "team", "team_score_ewma_lag")),
-    "model_long": lambda x: _rounded(_model_long(x), 4),
-    "model_wide": lambda x: _rounded(features.model_wide(_model_long(x), x.plain.select("game_id", "season", "week", "week_seq", "home_team", "away_team", "result")), 4),
+    "model_long": lambda x: _rounded(_model_long(x), 4, shift=1e-9),
+    "model_wide": lambda x: _rounded(features.model_wide(_model_long(x), x.plain.select("game_id", "season", "week", "week_seq", "home_team", "away_team", "result")), 4, shift=1e-9),
 }
 
 

@@ -156,11 +156,70 @@ def _poisoned(x: str) -> str:
     return f"case when count(*) filter (where {x} is null) over w > 0 then null else sum({x}) over w end"
 
 
+_SIDES = ("off", "def")
+_FACTS = {
+    "e": [f"{s}_{n}_{m}" for s in _SIDES for n in ("total", "pass", "rush", "penalty", "kick", "special") for m in ("plays", "epa_sum", "epa_mean")],
+    "s": [*_STAT_LIST, "td_off", "td_def", "td_total", "two_pt_att", "two_pt_made", "two_pt_def", "points8", "points7", "points6", "points3", "points2", "points_total"],
+    "r": [f"{s}_{c}" for s in _SIDES for c in ("n", "scr", "scr_1", "scr_2", "scr_3", "scr_4")],
+    "t": ["turnover_diff", "turnover_won", "turnover_lost", "interception_won", "interception_lost", "fumble_won", "fumble_lost"],
+    "z": [f"{s}_red_zone_{c}" for s in _SIDES for c in ("app_perc", "eff")],
+}
+_RATES = ["games", "wins", "losses", "ties", "pf", "pa", "pd", "win_pct", "MOV", "SOS", "SRS", "OSRS", "DSRS"]
+
+
+def _fine(sql: str) -> str:
+    """The SQL of a product without its rounding, but for noise."""
+    return sql.replace(", 6)", ", 12)").replace(", 4)", ", 12)")
+
+
+def _held(sql: str, name: str, last: str) -> str:
+    """A query, whose last select begins with ``last``, as a table of the name."""
+    head, mark, tail = sql.rpartition(last)
+    return f"{head.rstrip().removesuffix(',')}, {name} as ({mark}{tail})"
+
+
+def _model(scores: str, turnovers: str, redzone: str) -> tuple[str, list[str]]:
+    """CTEs up to ``ml``, the unrounded features of rated team games, and the names of the features."""
+    facts = [c for names in _FACTS.values() for c in names]
+    lags = [f"{c}_{kind}_lag" for c in facts for kind in ("cum", "roll", "ewma")]
+    nets = [c[4:] for c in lags if c.startswith("off_") and f"def_{c[4:]}" in lags]
+    over = "over (partition by team order by season, week, game_id rows between {} preceding and 1 preceding)"
+    means = ", ".join(f"avg({c}) {over.format('unbounded')} {c}_cum_lag, avg({c}) {over.format(5)} {c}_roll_lag, list({c}::double) filter (where {c} is not null) {over.format(50)} {c}_p" for c in facts)
+    folds = ", ".join(f"case when len({c}_p) > 0 then list_reduce({c}_p, lambda s, x: s * (1 - 2 / 6.0::double) + x * (2 / 6.0::double)) end {c}_ewma_lag" for c in facts)
+    before = ", ".join(f'lag("{c}") over (partition by team order by season, week) "srs_{c}_lag"' for c in _RATES)
+    ids = "game_id, season, week, team, opponent, week_seq, location, result"
+    values = ["team_elo_pre", "opponent_elo_pre", *[f"srs_{c}_lag" for c in _RATES]]
+    e = f"select * from ({_epa('off')}) left join ({_epa('def')}) using (game_id, season, week, team, home_team, away_team)"
+    parts = "".join([
+        f", {_fine(_elo(0.0, False))}, ",
+        "es as (select game_id, home_team team, home_elo_pre team_elo_pre, away_elo_pre opponent_elo_pre from hist union all select game_id, away_team, away_elo_pre, home_elo_pre from hist)",
+        _held(_fine(_modes([0], 100)), "sd", "select * from (select season, week, team, count(*) games"),
+        f", sb as (select season, week, team, {before} from sd), fe as ({_fine(e)}), fr as ({_fine(_series('season, week'))})",
+        _held(_fine(scores), "fs", "select *, two_pt_made points8"), _held(_fine(turnovers), "ft", _TURN_OUT[:60]), _held(_fine(redzone), "fz", _RED_OUT[:60]),
+        ", fl as (select l.game_id, l.season, l.week, l.team, l.opponent, l.week_seq, l.location, l.result, ", ", ".join(f'"{c}"' for c in values), ", ",
+        ", ".join(f"{t}.{c}" for t, names in _FACTS.items() for c in names),
+        """ from long l left join es on es.game_id = l.game_id and es.team = l.team left join sb on sb.season = l.season and sb.week = l.week and sb.team = l.team
+          left join fe e on e.game_id = l.game_id and e.team = l.team left join fs s on s.game_id = l.game_id and s.team = l.team left join fr r on r.season = l.season and r.week = l.week and r.team = l.team
+          left join ft t on t.game_id = l.game_id and t.team = l.team left join fz z on z.game_id = l.game_id and z.team = l.team)""",
+        f", fp as (select *, {means} from fl), fg as (select *, {folds} from fp)",
+        ", ml as (select ", ", ".join(f'g."{c}"' for c in [*ids.split(", "), *values, *lags]), ", ", ", ".join(f"g.off_{c} - o.def_{c} net_{c}" for c in nets),
+        " from fg g left join fg o on o.game_id = g.game_id and o.team = g.opponent where g.team_elo_pre is not null)",
+    ])
+    return parts, [*values, *lags, *[f"net_{c}" for c in nets]]
+
+
+def _round4(column: str, name: str) -> str:
+    whole = any(f"srs_{c}_lag" in column for c in ("games", "wins", "losses", "ties"))
+    return f'{column} "{name}"' if whole else f'round({column} + 1e-9::double, 4) "{name}"'
+
+
 def queries() -> dict[str, str]:
     lag0 = "coalesce(lag({x}) over (partition by season, team order by week, gameday, game_id), 0)"
     season_sl, roll_sl = _GAMES_OF["season"], _GAMES_OF["roll"].format(n=9)
     form = "over (partition by team order by season, week, game_id rows between {} preceding and 1 preceding)"
     past = f"list(team_score) filter (where team_score is not null) {form.format(50)}"
+    pw = f""", pw as (select (1995 + r // 12)::int as season, (r % 12 + 1)::int as week, o_custkey player_id, n_name opponent_team, count(*) attempts, sum(cents)::bigint yards
+            from (select {_R} r, o_custkey, c_nationkey k, round(o_totalprice * 100)::bigint cents from orders join customer on o_custkey = c_custkey) join nation on n_nationkey = ((r - k) % 25 + 25) % 25 group by r, k, o_custkey, n_name)"""
     out = {
         "games_clean": """select game_id, season, week, week_seq, game_type, season_type, gameday, gametime, location, case home_team when 'NATION_0' then 'NATION_00' else home_team end home_team,
           case away_team when 'NATION_0' then 'NATION_00' else away_team end away_team, home_score, away_score, result,
@@ -177,8 +236,7 @@ def queries() -> dict[str, str]:
         "pair_pivot_wide": """select game_id, case when location = 'Neutral' then least(home_team, away_team) else home_team end home_team, case when location = 'Neutral' then greatest(home_team, away_team) else away_team end away_team,
           case when location = 'Neutral' and away_team < home_team then away_score else home_score end home_team_score, case when location = 'Neutral' and away_team < home_team then home_score else away_score end away_team_score,
           case when location = 'Neutral' and away_team < home_team then -result else result end home_result, case when location = 'Neutral' and away_team < home_team then result else -result end away_result from games""",
-        "player_join": f""", pw as (select (1995 + r // 12)::int as season, (r % 12 + 1)::int as week, o_custkey player_id, n_name opponent_team, count(*) attempts, sum(cents)::bigint yards
-            from (select {_R} r, o_custkey, c_nationkey k, round(o_totalprice * 100)::bigint cents from orders join customer on o_custkey = c_custkey) join nation on n_nationkey = ((r - k) % 25 + 25) % 25 group by r, k, o_custkey, n_name)
+        "player_join": f"""{pw}
           select game_id, pw.* from pw left join long l on l.season = pw.season and l.week = pw.week and l.opponent = pw.opponent_team""",
         "ids_cascade_game_team": "select l.game_id, l.season, l.week, l.team, l.opponent, l.location, pat_made from stats s join long l using (season, week, team)",
         "ids_cascade_week_team": "select l.game_id, l.season, l.week, l.team, l.opponent, l.location, passing_tds from stats s join long l using (season, week, team)",
@@ -206,6 +264,11 @@ def queries() -> dict[str, str]:
             two_pt_made * 8 + pat_made * 7 + (td_total - two_pt_made - pat_made) * 6 + fg_made * 3 + (safeties_def + two_pt_def) * 2 points_total from sc""",
         "series_weekly": _series("season, week"),
         "series_season": _series("season"),
+        "series_ids": f"select l.game_id, l.season, l.week, l.team, l.opponent, l.location, s.* exclude (season, week, team) from ({_series('season, week')}) s join long l using (season, week, team)",
+        "stats_week_team_all": f"select l.game_id, l.season, l.week, l.team, l.opponent, l.location, l.season_type, 1::bigint games, {', '.join(f'{c}::bigint {c}' for c in STATS)} from stats s join long l using (season, week, team)",
+        "stats_season_team_reg": f"select season, team, season_type, count(distinct week) games, {', '.join(f'sum({c})::bigint {c}' for c in STATS)} from stats join (select distinct season, week, season_type from games) using (season, week) where season_type = 'REG' group by all",
+        "stats_week_player_post": f"{pw} select season, week, player_id, season_type, 1::bigint games, sum(attempts)::bigint attempts, sum(yards)::bigint yards from pw join (select distinct season, week, season_type from games) using (season, week) where season_type = 'POST' group by all",
+        "stats_season_player_both": f"{pw} select season, player_id, 'REG+POST' season_type, count(distinct week) games, sum(attempts)::bigint attempts, sum(yards)::bigint yards from pw where season between 1995 and 2001 group by all",
         "weekly_standings_season": f", {GRID}, {season_sl} select season, week, team, {SUMMARY} from sl group by all",
         "weekly_standings_roll10": f", {GRID}, {roll_sl} select season, week, team, {SUMMARY} from sl group by all",
         "weekly_standings_reg": f", {GRID.replace('result is not null', chr(39).join(['result is not null and season_type = ', 'REG', '']), 1)}, {season_sl} select season, week, team, {SUMMARY} from sl group by all",
@@ -226,4 +289,8 @@ def queries() -> dict[str, str]:
         "team_form_lag": f"select game_id, season, week, team, team_score, round(avg(team_score) {form.format('unbounded')}, 6) team_score_cum_lag, round(avg(team_score) {form.format(5)}, 6) team_score_roll_lag from long",
         "team_ewma_lag": f"select game_id, team, round(case when len(p) > 0 then list_reduce(p, lambda s, x: s * (1 - 2 / 6.0::double) + x * (2 / 6.0::double)) end, 6) team_score_ewma_lag from (select *, {past} p from long)",
     }
+    model, names = _model(out["scores"], out["turnovers"], out["redzone"])
+    out["model_long"] = f"{model} select game_id, season, week, team, opponent, week_seq, location, round(result + 1e-9::double, 4) result, {', '.join(_round4(f'ml.{chr(34)}{c}{chr(34)}', c) for c in names)} from ml"
+    sided = ", ".join(_round4(f'{side}."{c}"', f"{side}_{c}") for side in ("home", "away") for c in names)
+    out["model_wide"] = f"{model} select g.game_id, g.season, g.week, g.week_seq, g.home_team, g.away_team, round(g.result + 1e-9::double, 4) result, {sided} from games g left join ml home on home.game_id = g.game_id and home.team = g.home_team left join ml away on away.game_id = g.game_id and away.team = g.away_team"
     return {name: f"{BASE} {sql}" for name, sql in out.items()}
