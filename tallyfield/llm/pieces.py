@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from .common import slices
 
 SPACE = "▁"
-CACHED_CHARS, CACHED_WORDS, CACHED_PAIRS = 48, 200_000, 400_000
+CACHED_CHARS, CACHED_WORDS, CACHED_PAIRS = 48, 400_000, 1_000_000
 
 
 class PieceModel:
@@ -49,9 +49,11 @@ class PieceModel:
         self.spoken = [None if i in self.byte_of else "" if i in self.silent else self.pieces[i].replace(SPACE, " ") for i in range(n)]
         self.following: dict = defaultdict(dict)
         self.pairs = 0
-        # where no piece has a space after another character, words are segmented on their own
+        # where no piece has a space after another character, words are segmented on their own, and
+        # so are a word's parts beside characters without a piece
         spaced = any(SPACE in self.pieces[i].lstrip(SPACE) for i in plain)
-        self.split = re.compile("(?s).+" if spaced else f"(?s){SPACE}+[^{SPACE}]*|[^{SPACE}]+").findall
+        known = re.escape("".join(sorted({c for p in self.score for c in p} - {SPACE})))
+        self.split = re.compile("(?s).+" if spaced or not known else f"(?s){SPACE}*[{known}]+|{SPACE}+|[^{SPACE}{known}]+").findall
         self.cache: dict = {}
 
     def merged(self, text: str) -> list[str]:
