@@ -1,4 +1,4 @@
-"""The ten operators as queries over their tables, with production parameters."""
+"""The training-data operators as queries over their tables, with production parameters."""
 
 from __future__ import annotations
 
@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard_join, language, line_templates, lm, near_vectors, packing, pieces, suffix_repeats, token_scan, top_products
+from . import alignment, jaccard_join, language, line_templates, lm, near_vectors, packing, pieces, suffix_repeats, token_scan, top_products, whitening
 from ..session import ship_package
 from .common import shared_dir
 
@@ -81,12 +81,9 @@ def op7_log_bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_repeats.repeat_report(table(spark, sf_dir, "documents"))
-
-
-def suffix_repeats_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The columns of op8's result that SQL can say; the further ones follow the cuts of phrases."""
-    return op8_suffix_repeats(spark, sf_dir).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    """What SQL can say of ``repeat_report``; its further columns follow the cuts of phrases."""
+    report = suffix_repeats.repeat_report(table(spark, sf_dir, "documents"))
+    return report.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
 def op9_complement_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,6 +94,15 @@ def op10_language_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents")).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op12_range_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_event_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, names = table(spark, sf_dir, "documents"), ("byte_bpe_50k.json", "piece_bpe_32k.model")
+    return alignment.align_tokens(docs, *map(tokenizer_path, names), keep_groups=False).withColumnRenamed("groups", "groups_sha256")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     top = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     if top not in sys.path:
@@ -109,7 +115,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict:
     out = [
         op1_line_templates, op2_vector_forest, op3_piece_viterbi, op4_jaccard_join, op5_pivot_top_k, op6_token_counts,
-        op7_log_bilinear, op8_suffix_repeats, op9_complement_packing, op10_language_profiles, suffix_repeats_digest, pipeline,
+        op7_log_bilinear, op8_suffix_repeats, op9_complement_packing, op10_language_profiles, op12_range_whitening, op13_event_alignment, pipeline,
     ]
     return {f.__name__: f for f in out}
 

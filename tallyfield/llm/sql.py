@@ -77,5 +77,5 @@ ORACLE: dict[str, str] = {
     "op2_vector_forest": _OP2,
     "op4_jaccard_join": _OP4,
     "op5_pivot_top_k": _OP5,
-    "suffix_repeats_digest": _REPEATS,
+    "op8_suffix_repeats": _REPEATS,
 }

@@ -167,4 +167,4 @@ def test_pipeline_stages(spark):
 
 def test_every_operator_is_registered():
     names = set(registry.queries())
-    assert {n.split("_")[0] for n in names} == {f"op{k}" for k in range(1, 11)} | {"pipeline"}
+    assert {n.split("_")[0] for n in names} == {f"op{k}" for k in range(1, 14)} | {"pipeline"}
