@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import alignment, jaccard_join, language, line_templates, lm, near_vectors, packing, pieces, suffix_repeats, token_scan, top_products, whitening
+from . import alignment, jaccard_join, language, line_templates, lm, near_vectors, packing, pieces, private_spans, suffix_repeats, token_scan, top_products, whitening
 from ..session import ship_package
 from .common import shared_dir
 
@@ -94,6 +94,15 @@ def op10_language_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents")).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op11_span_field(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and digest of the patterns' spans, and all spans, as kind:start:end."""
+    found = private_spans.find_private(table(spark, sf_dir, "documents"))
+    base = F.filter("private", lambda s: s["base"])
+    said = lambda spans: F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])))
+    count = lambda kind: F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select("doc_id", *map(count, private_spans.KINDS), F.sha2(said(base), 256).alias("base_sha256"), said(F.col("private")).alias("spans"))
+
+
 def op12_range_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
@@ -115,7 +124,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict:
     out = [
         op1_line_templates, op2_vector_forest, op3_piece_viterbi, op4_jaccard_join, op5_pivot_top_k, op6_token_counts,
-        op7_log_bilinear, op8_suffix_repeats, op9_complement_packing, op10_language_profiles, op12_range_whitening, op13_event_alignment, pipeline,
+        op7_log_bilinear, op8_suffix_repeats, op9_complement_packing, op10_language_profiles, op11_span_field, op12_range_whitening, op13_event_alignment, pipeline,
     ]
     return {f.__name__: f for f in out}
 
