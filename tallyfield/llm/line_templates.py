@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import re
 from collections import Counter
 
@@ -10,10 +11,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, named, saved, slices
+from .common import fresh, named, release, saved, slices
 from .suffix_repeats import NONE, keyed_rows
 
-FIELD = b"<*>"
+#: Stands for a token with a digit, or another that varies. A literal "0" in a text has a digit itself, so nothing
+#: but a field looks like this.
+FIELD = b"0"
 _digit = re.compile(rb"[0-9]")
 
 
@@ -39,30 +42,53 @@ def leaf_of(tokens: list[bytes], depth: int) -> int:
     return _hash(str(len(tokens)).encode(), *tokens[:depth])
 
 
-def leaf_templates(distinct: DataFrame, min_docs: int, min_tokens: int, depth: int, similarity: float) -> DataFrame:
-    """(l1, l2, t1, t2): the template of each distinct line (l1, l2, leaf, tokens string, n) that has one.
+#: Levels of the tree by a place's value, below the leading tokens.
+LEVELS = 2
+
+
+def _skeletons(lines: DataFrame, depth: int, min_docs: int) -> DataFrame:
+    """(leaf, kept, place): what the lines of a leaf have in common. In each place behind the leading tokens the token
+    that half of the leaf's documents or more have there is kept, else it is a field; ``place`` is the one with
+    the fewest different tokens, but more than one. Leaves of fewer than ``min_docs`` documents are left out."""
+    words = lines.select("leaf", "n", F.posexplode("t").alias("pos", "token")).where(F.col("pos") >= depth)
+    counts = words.groupBy("leaf", "pos", "token").agg(F.sum("n").alias("k"))
+    places = counts.groupBy("leaf", "pos").agg(F.max(F.struct("k", "token")).alias("top"), F.sum("k").alias("total"), F.count(F.lit(1)).alias("kinds"))
+    kept = F.when(2 * F.col("top.k") >= F.col("total"), F.col("top.token")).otherwise(FIELD.decode())
+    several = F.min(F.when(F.col("kinds") > 1, F.struct("kinds", "pos")))
+    held = places.where(F.col("total") >= min_docs).groupBy("leaf")
+    return held.agg(F.transform(F.sort_array(F.collect_list(F.struct("pos", kept.alias("x")))), lambda x: x["x"]).alias("kept"), several["pos"].alias("place"))
+
 
-    Below the leading tokens, a token is fixed if lines of its leaf hold it in its place
-    ``min_docs`` times or more, else it is a value of a variable field. A line whose tokens are to
-    a share of ``similarity`` left as they are, and at least half of them fixed, belongs to the
-    template that its fixed tokens spell. This looks at counts only: no order of lines matters, and
-    no leaf, token or template has to lie in one task.
+def leaf_templates(distinct: DataFrame, min_docs: int, min_tokens: int, depth: int, similarity: float) -> DataFrame:
+    """(t1, t2, l1, l2): the template of each distinct line (leaf, l1, l2, tokens string, n documents) that has one.
+
+    Below the leading tokens, the tokens that half of a leaf's documents share are kept and all other
+    places are variable fields: whatever values a field takes, and however often each of them recurs, it
+    stays a field, so a larger corpus of the same lines has the same templates. A line that agrees with
+    this to a share of ``similarity`` of its tokens, and has no more fields than other tokens, has that template. The
+    others go one level down the tree, to a leaf for each token in the place with the fewest different ones,
+    and are looked at again; after ``LEVELS`` levels a line is its own template, so equal lines still recur.
+    All of this rests on counts: no order of lines matters, and no leaf, token or template has to lie in one task.
     """
-    tokens = F.split("tokens", " ")
-    lines = distinct.withColumn("size", F.size(tokens))
-    words = lines.where((F.col("size") >= min_tokens) & (F.col("size") > depth))
-    words = saved(words.select("l1", "l2", "leaf", "n", F.posexplode(tokens).alias("pos", "token")).where(F.col("pos") >= depth))
-    fixed = words.where(F.col("token") != FIELD.decode()).groupBy("leaf", "pos", "token").agg(F.sum("n").alias("k")).where(F.col("k") >= min_docs)
-    fixed = saved(fixed.select("leaf", "pos", "token", F.lit(True).alias("fixed")))
-    spelt = words.join(fixed, ["leaf", "pos", "token"], "left").select("l1", "l2", "pos", F.when(F.col("fixed"), F.col("token")).otherwise(FIELD.decode()).alias("token"))
-    spelt = spelt.groupBy("l1", "l2").agg(F.transform(F.sort_array(F.collect_list(F.struct("pos", "token"))), lambda x: x["token"]).alias("tail"))
-    whole = lines.join(spelt, ["l1", "l2"], "left")
-    template = F.when(F.col("tail").isNull(), tokens).otherwise(F.concat(F.slice(tokens, 1, depth), "tail"))
-    open_ = lambda x: F.size(F.filter(x, lambda t: t == FIELD.decode()))
-    out = whole.select("l1", "l2", "size", template.alias("t"), (F.col("size") - (open_(template) - open_(tokens))).alias("same"))
-    out = out.where((F.col("same") >= similarity * F.col("size")) & (2 * open_(F.col("t")) <= F.col("size")))
+    field = F.lit(FIELD.decode())
+    open_ = lambda x: F.size(F.filter(x, lambda t: t == field))
     spelling = F.concat_ws(" ", "t")
-    return out.select("l1", "l2", F.xxhash64(spelling).alias("t1"), F.xxhash64(F.lit(1), spelling).alias("t2"))
+    out = lambda rows: rows.where(2 * open_(F.col("t")) <= F.size("t")).select(F.xxhash64(spelling).alias("t1"), F.xxhash64(F.lit(1), spelling).alias("t2"), "l1", "l2")
+    lines = distinct.select("leaf", "l1", "l2", "n", F.split("tokens", " ").alias("t"))
+    short = (F.size("t") < min_tokens) | (F.size("t") <= depth)
+    found, rest = [out(lines.where(short))], lines.where(~short)
+    for _ in range(1 + LEVELS):
+        alike = F.concat(F.slice("t", 1, depth), F.zip_with(F.slice(F.col("t"), F.lit(depth + 1), F.size("t")), "kept", lambda x, y: F.when(x == y, x).otherwise(field)))
+        spelt = rest.join(_skeletons(rest, depth, min_docs), "leaf").withColumn("alike", alike)
+        same = F.size("t") - (open_(F.col("alike")) - open_(F.col("t")))
+        belongs = (same >= similarity * F.size("t")) & (2 * open_(F.col("alike")) <= F.size("t"))
+        spelt = saved(spelt.select("leaf", "l1", "l2", "n", "t", "alike", "place", belongs.alias("belongs")))
+        found.append(out(spelt.where("belongs").select("l1", "l2", F.col("alike").alias("t"))))
+        rest = spelt.where("not belongs").select(F.xxhash64("leaf", "place", F.get("t", F.col("place"))).alias("leaf"), "l1", "l2", "n", "t")
+        if rest.isEmpty():
+            break
+    found.append(out(rest))
+    return functools.reduce(DataFrame.union, found)
 
 
 def drop_recurring_lines(
@@ -78,9 +104,9 @@ def drop_recurring_lines(
     """The table with recurring lines dropped from ``text``, and the counts ``n_lines`` and
     ``n_dropped`` added, in place of columns of these names.
 
-    Tokens with a digit are variable fields. A line falls through the tree by its number of tokens
-    and its first ``depth`` tokens to a leaf, where the tokens that seldom stand in their place become
-    variable fields (see ``leaf_templates``). A template that occurs in ``min_docs`` documents or
+    Tokens with a digit are variable fields; tokens are cut at ASCII white space. A line falls through the tree by its number of tokens
+    and its first ``depth`` tokens to a leaf, where the places whose tokens vary become variable
+    fields (see ``leaf_templates``). A template that occurs in ``min_docs`` documents or
     more recurs: its first line (by id, then position) stays, all its others go, copies in
     the same document too. With ``short_lines``, lines of fewer than ``min_tokens`` tokens have a
     leaf by all their tokens, and so recur only as equals after masking; without it they are
@@ -101,25 +127,25 @@ def drop_recurring_lines(
         for f in slices(frames, "t"):
             rows = []
             for doc, th, t in zip(f["id"], f["th"], f["t"]):
+                held = set()
                 for k, line in enumerate(t.split(b"\n")):
                     tokens = masked(line)
                     if len(tokens) >= least:
-                        rows.append((doc, th, k, leaf(tokens), *_pair(b" ".join(tokens))))
-            yield pd.DataFrame(rows, columns=["id", "th", "line", "leaf", "l1", "l2"])
+                        key = _pair(b" ".join(tokens))
+                        rows.append((doc, th, k, leaf(tokens), *key, key not in held))
+                        held.add(key)
+            yield pd.DataFrame(rows, columns=["id", "th", "line", "leaf", "l1", "l2", "first"])
 
-    seen = saved(docs.mapInPandas(scan, "id long, th long, line int, leaf long, l1 long, l2 long"))
-    # a leaf can only hold a recurring template if its lines come from enough places
-    leaves = seen.groupBy("leaf", "l1", "l2").agg(F.count(F.lit(1)).alias("n")).groupBy("leaf").agg(F.sum("n").alias("n"))
-    leaves = saved(leaves.where(F.col("n") >= min_docs))
+    seen = saved(docs.mapInPandas(scan, "id long, th long, line int, leaf long, l1 long, l2 long, first boolean"))
+    # a leaf can only hold a recurring template if enough documents have lines in it
+    leaves = saved(seen.where("first").groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_docs))
 
     def lines(frames):
         for f in slices(frames, "t"):
             held: Counter = Counter()
             for t in f["t"]:
-                for line in t.split(b"\n"):
-                    tokens = masked(line)
-                    if len(tokens) >= least:
-                        held[(leaf(tokens), b" ".join(tokens))] += 1
+                lines_of = {tuple(tokens) for line in t.split(b"\n") if len(tokens := masked(line)) >= least}
+                held.update((leaf(list(tokens)), b" ".join(tokens)) for tokens in lines_of)
             rows = [(k, t.decode(), *_pair(t), n) for (k, t), n in held.items()]
             yield pd.DataFrame(rows, columns=["leaf", "tokens", "l1", "l2", "n"])
 
@@ -127,6 +153,7 @@ def drop_recurring_lines(
     distinct = saved(distinct.groupBy("leaf", "l1", "l2").agg(F.sum("n").alias("n"), F.min("tokens").alias("tokens")))
     templates = leaf_templates(distinct, min_docs, min_tokens, depth, similarity)
     met = saved(seen.join(templates, ["l1", "l2"]).select("t1", "t2", "id", "th", "line"))
+    release(leaves, distinct)
     recurring = (
         met.groupBy("t1", "t2", "id", "th").agg(F.min("line").alias("line"))
         .groupBy("t1", "t2").agg(F.count(F.lit(1)).alias("docs"), F.min(F.struct("id", "th", "line")).alias("first"))

@@ -10,17 +10,30 @@ def _components(nodes: str, links: str) -> str:
     return f"reach(node, other) as (select id, id from {nodes} union select r.node, l.b from reach r join {links} l on l.a = r.other), low as (select node, min(other) component_id from reach group by node)"
 
 
-_OP1 = """
+def _level(k: int) -> str:
+    """One level of the template tree over the lines of ``rest{k}``: what a leaf's documents share, who agrees, who goes on."""
+    return f"""
+words{k} as (select leaf, n, unnest(tokens) token, generate_subscripts(tokens, 1) p from rest{k}),
+counts{k} as (select leaf, p, token, sum(n) k from words{k} where p > 3 group by all),
+places{k} as (select leaf, p, arg_max(token, (k, token)) top, max(k) k, sum(k) total, count(*) kinds from counts{k} group by leaf, p having sum(k) >= 5),
+kept{k} as (select leaf, list(case when 2 * k >= total then top else '0' end order by p) kept, arg_min(p, (kinds, p)) filter (where kinds > 1) place from places{k} group by leaf),
+alike{k} as (select r.*, place, tokens[1:3] || [case when tokens[i + 3] = kept[i] then kept[i] else '0' end for i in range(1, len(kept) + 1)] alike from rest{k} r join kept{k} using (leaf)),
+judged{k} as (select *, len(tokens) - ({_OPEN.format("alike")} - {_OPEN.format("tokens")}) >= 0.7 * len(tokens) and 2 * {_OPEN.format("alike")} <= len(tokens) belongs from alike{k}),
+rest{k + 1} as (select leaf || '/' || place::varchar || ' ' || tokens[place] leaf, line_key, tokens, n from judged{k} where not belongs),"""
+
+
+_OPEN = "len([x for x in {} if x = '0'])"
+_OP1 = f"""
 with texts as (select doc_id, text, unnest(string_split(text, chr(10))) line, generate_subscripts(string_split(text, chr(10)), 1) - 1 k from documents where text is not null),
-masked as (select doc_id, k, line, [case when regexp_matches(t, '[0-9]') then '<*>' else t end for t in regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+')] tokens from texts),
+masked as (select doc_id, k, line, [case when regexp_matches(t, '[0-9]') then '0' else t end for t in regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+')] tokens from texts),
 lines as (select *, array_to_string(tokens, ' ') line_key, len(tokens)::varchar || ' ' || array_to_string(case when len(tokens) < 4 then tokens else tokens[1:3] end, ' ') leaf from masked where len(tokens) > 0),
-leaves as (select leaf from lines group by leaf having count(*) >= 5),
-kinds as (select leaf, line_key, any_value(tokens) tokens, count(*) n from lines semi join leaves using (leaf) group by leaf, line_key),
-words as (select leaf, line_key, n, unnest(tokens) token, generate_subscripts(tokens, 1) p from kinds where len(tokens) >= 4),
-fixed as (select leaf, p, token from words where p > 3 and token <> '<*>' group by all having sum(n) >= 5),
-spelt as (select leaf, line_key, list(case when w.p <= 3 or f.token is not null then w.token else '<*>' end order by w.p) template from words w left join fixed f using (leaf, p, token) group by leaf, line_key),
-templates as (select k.leaf, k.line_key, coalesce(template, tokens) t, len(tokens) size, len([x for x in tokens if x = '<*>']) own, len([x for x in coalesce(template, tokens) if x = '<*>']) open from kinds k left join spelt using (leaf, line_key)),
-met as (select doc_id, k, array_to_string(t, ' ') template from lines join templates using (leaf, line_key) where size - (open - own) >= 0.7 * size and 2 * open <= size),
+kinds as (select leaf, line_key, any_value(tokens) tokens, count(distinct doc_id) n from lines group by leaf, line_key),
+leaves as (select leaf from kinds group by leaf having sum(n) >= 5),
+rest0 as (select leaf, line_key, tokens, n from kinds semi join leaves using (leaf) where len(tokens) >= 4),
+{"".join(_level(k) for k in range(3))}
+templates as (select line_key, alike t from judged0 where belongs union all select line_key, alike from judged1 where belongs union all select line_key, alike from judged2 where belongs
+  union all select line_key, tokens from rest3 union all select line_key, tokens from kinds where len(tokens) < 4),
+met as (select doc_id, k, array_to_string(t, ' ') template from lines join templates using (line_key) where 2 * {_OPEN.format("t")} <= len(t)),
 recurring as (select template, min(struct_pack(doc_id := doc_id, k := k)) first from met group by template having count(distinct doc_id) >= 5),
 gone as (select doc_id, k from met join recurring using (template) where first <> struct_pack(doc_id := doc_id, k := k)),
 kept as (select x.doc_id, string_agg(line, chr(10) order by x.k) filter (where g.k is null) rest, count(*) n_lines, count(g.k) n_dropped
