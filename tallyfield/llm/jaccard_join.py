@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, local_components, mix64, per_key, saved, shingle_set, slices
+from .common import components, local_components, mix64, named, per_key, release, saved, shingle_set, slices
 
 
 BUCKETS = 32
@@ -101,7 +101,7 @@ def overlap(one: np.ndarray, flat: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return np.diff(np.concatenate([[0], np.cumsum(hit)])[ends])
 
 
-def metric_join(sets: list[np.ndarray], part: int, share: int, leaf: int = 200, pivots: int = 8) -> np.ndarray:
+def metric_join(sets: list[np.ndarray], part: int, share: int, leaf: int = 64, pivots: int = 8) -> np.ndarray:
     """For each set the smallest index reachable by links. Splits by pivots, recursively."""
     size = np.array([len(s) for s in sets], dtype=np.int64)
     radius = 1 - part / share + 1e-9
@@ -141,11 +141,12 @@ def metric_join(sets: list[np.ndarray], part: int, share: int, leaf: int = 200,
             if len(rows) > 1:
                 all_pairs(rows)
             continue
-        # pivots far from one another: each is the document farthest from the ones before
+        # pivots far from one another: each is the document farthest from the ones before, until every
+        # document links with one or there is one for each eight documents
         nearest, table, chosen = np.full(len(rows), np.inf), [], []
-        for _ in range(pivots):
+        while len(chosen) < max(pivots, len(rows) // 8):
             at = int(np.argmax(nearest)) if chosen else 0
-            if chosen and nearest[at] <= 0:
+            if chosen and nearest[at] <= (radius if len(chosen) >= pivots else 0):
                 break
             chosen.append(at)
             table.append(to_pivot(rows[at], rows))
@@ -171,7 +172,7 @@ def metric_join(sets: list[np.ndarray], part: int, share: int, leaf: int = 200,
 
 
 def _keyed(docs: DataFrame, words: int, part: int, share: int, frequent: np.ndarray) -> DataFrame:
-    """Per document the size of its set, two hashes of the set, its sketch and its first shingles."""
+    """Per row the size of its set, a number that stands for the set, its sketch and its first shingles."""
 
     def build(frames):
         for f in slices(frames, "t"):
@@ -180,17 +181,18 @@ def _keyed(docs: DataFrame, words: int, part: int, share: int, frequent: np.ndar
                 s = shingle_set(t, words)
                 whole = s.sum(dtype=np.uint64).view(np.int64), mix64(s).sum(dtype=np.uint64).view(np.int64)
                 rows.append((len(s), *map(int, whole), sketch(s), first_shingles(s, frequent, part, share).view(np.int64)))
-            yield pd.concat([f[["id"]].astype("Int64"), pd.DataFrame(rows, columns=["n", "h1", "h2", "sketch", "keys"])], axis=1)
+            yield pd.concat([f[["id"]].astype("Int64"), f[["th"]], pd.DataFrame(rows, columns=["n", "h1", "h2", "sketch", "keys"])], axis=1)
 
-    return docs.mapInPandas(build, "id long, n long, h1 long, h2 long, sketch binary, keys array<long>")
+    out = docs.mapInPandas(build, "id long, th long, n long, h1 long, h2 long, sketch binary, keys array<long>")
+    return out.select("id", "th", "n", F.xxhash64("n", "h1", "h2").alias("node"), "sketch", "keys")
 
 
-def _shingled(docs: DataFrame, words: int) -> DataFrame:
+def _shingled(texts: DataFrame, words: int) -> DataFrame:
     def build(frames):
         for f in slices(frames, "t"):
-            yield pd.DataFrame({"id": f["id"].astype("Int64"), "s": [shingle_set(t, words).tobytes() for t in f["t"]]})
+            yield pd.DataFrame({"id": f["node"], "s": [shingle_set(t, words).tobytes() for t in f["t"]]})
 
-    return docs.mapInPandas(build, "id long, s binary")
+    return texts.mapInPandas(build, "id long, s binary")
 
 
 def frequent_shingles(docs: DataFrame, words: int, sample_docs: int, most: int) -> np.ndarray:
@@ -208,28 +210,24 @@ def frequent_shingles(docs: DataFrame, words: int, sample_docs: int, most: int)
     return np.sort(counts.orderBy(F.desc("n"), "s").limit(most).select("s").toPandas()["s"].to_numpy(dtype=np.int64).view(np.uint64))
 
 
-def _meetings(rows: DataFrame, part: int, share: int, group_rows: int) -> DataFrame:
-    """Pairs (a, b) that join the neighbours among the documents of each key. A group beyond
-    ``group_rows`` is joined as a whole, which makes its region larger but loses no link."""
+def _meetings(rows: DataFrame, part: int, share: int) -> DataFrame:
+    """Pairs (a, b) that join the neighbours among the sets of each key. Keys of more rows than a task
+    may hold don't come here."""
 
-    def pairs(f, whole):
+    def pairs(f):
         key, ids, n = f["key"].to_numpy(), f["id"].to_numpy(), f["n"].to_numpy()
         known = Sketches(n, f["sketch"].to_list(), part, share)
         starts = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
         sizes = np.diff(np.append(starts, len(f)))
         # small groups: every two rows, a step between them at a time
-        small = np.repeat((sizes <= 12) & (key[starts] != whole), sizes)
+        small = np.repeat(sizes <= 12, sizes)
         for step in range(1, 12):
             i = np.flatnonzero(small[:-step] & (key[step:] == key[:-step]))
             if not len(i):
                 break
             i = i[known.near(i, i + step)]
             yield ids[i], ids[i + step]
-        large = (sizes > 12) | (key[starts] == whole)
-        for at, size in zip(starts[large], sizes[large]):
-            if size > group_rows or key[at] == whole:
-                yield np.full(size - 1, ids[at]), ids[at + 1 : at + size]
-                continue
+        for at, size in zip(starts[sizes > 12], sizes[sizes > 12]):
             i, j = [], []
             for k in range(size - 1):
                 other = np.arange(at + k + 1, at + size)
@@ -240,12 +238,8 @@ def _meetings(rows: DataFrame, part: int, share: int, group_rows: int) -> DataFr
             moved = np.flatnonzero(low != np.arange(size))
             yield ids[at + moved], ids[at + low[moved]]
 
-    def edges(f, whole):
-        found = list(pairs(f, whole))
-        return pd.DataFrame({"a": np.concatenate([x for x, _ in found]), "b": np.concatenate([y for _, y in found])}) if found else pd.DataFrame({"a": [], "b": []})
-
     def run(frames):
-        rest, whole = None, None  # whole: the key of a group too large to hold, of which one row stays
+        rest = None
         for f in frames:
             f = f if rest is None else pd.concat([rest, f], ignore_index=True)
             if not len(f):
@@ -253,14 +247,14 @@ def _meetings(rows: DataFrame, part: int, share: int, group_rows: int) -> DataFr
             key = f["key"].to_numpy()
             cut = len(key) - int(np.argmax(key[::-1] != key[-1])) if (key != key[-1]).any() else 0
             if cut:
-                yield edges(f.iloc[:cut], whole)
+                yield edges(f.iloc[:cut])
             rest = f.iloc[cut:]
-            if len(rest) > group_rows:
-                whole = key[-1]
-                yield edges(rest, whole)
-                rest = rest.iloc[:1]
         if rest is not None and len(rest):
-            yield edges(rest, whole)
+            yield edges(rest)
+
+    def edges(f):
+        found = list(pairs(f))
+        return pd.DataFrame({"a": np.concatenate([x for x, _ in found]), "b": np.concatenate([y for _, y in found])}) if found else pd.DataFrame({"a": [], "b": []})
 
     return rows.repartition("key").sortWithinPartitions("key", "id").mapInPandas(run, "a long, b long")
 
@@ -284,35 +278,37 @@ def jaccard_groups(
     Words are maximal runs without the bytes 0x20 and 0x09-0x0D, A-Z lower-cased. A text of
     fewer words than a shingle has its whole sequence as one shingle; null, empty and blank
     texts have none and link with nothing. Every text is read whole. Rows with a null id stay,
-    with null component. Rows that share an id are one node: their links add up. Other columns
-    are ignored; an empty table gives an empty result. A task compares the documents of a region
-    or cell, of at most ``cell_rows`` rows and ``cell_shingles`` shingles, or two blocks of it.
+    with null component. Rows that share an id are one node: whatever one of their texts links with, all
+    of them reach. Sets are told apart by 64-bit hashes. Other columns are ignored; an empty table gives an
+    empty result. A task compares the sets of a region or cell, of at most ``cell_rows`` sets and
+    ``cell_shingles`` shingles, or two blocks of it.
     """
-    docs = df.select(F.col(id_column).cast("long").alias("id"), F.col(text).cast("binary").alias("t"))
+    text_bytes = F.col(named(text)).cast("binary")
+    docs = df.select(F.col(named(id_column)).cast("long").alias("id"), text_bytes.alias("t"), F.xxhash64(text_bytes).alias("th"))
     often = frequent_shingles(docs, words, sample_docs, frequent)
     keyed = saved(_keyed(docs, words, part, share, often))
 
-    # equal sets are one class, held by its smallest document
-    whole = keyed.where("n > 0 and id is not null").select("id", "n", "h1", "h2")
-    classes = saved(whole.groupBy("n", "h1", "h2").agg(F.min("id").alias("rep")))
-    same = whole.join(classes, ["n", "h1", "h2"]).where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
-    reps = classes.groupBy("rep").agg(F.sum("n").alias("n"))
-
-    spread = keyed.where("n > 0 and id is not null").select("id", F.explode("keys").alias("key"))
-    # keys with the same documents say the same: one of them is enough
-    several = spread.groupBy("key").agg(F.count(F.lit(1)).alias("held"), F.sum(F.xxhash64("id").cast("decimal(20,0)")).alias("who")).where("held > 1")
-    telling = several.groupBy("held", "who").agg(F.min("key").alias("key")).select("key")
-    met = spread.join(saved(telling), "key")
-    known = keyed.select("id", "n", "sketch").dropDuplicates(["id"])
-    region = saved(components(_meetings(met.join(known, "id"), part, share, cell_rows)))
-
-    # only regions that hold two different sets have anything to compare
-    inside = region.join(reps, region["node"] == reps["rep"])
+    # every different set is one node, whatever rows have it; the first of these brings its text
+    placed = keyed.where("n > 0 and id is not null")
+    nodes = saved(placed.groupBy("node").agg(F.min(F.struct("id", "th")).alias("row"), *[F.first(c).alias(c) for c in ("n", "sketch", "keys")]))
+
+    spread = saved(nodes.select(F.col("node").alias("id"), F.explode("keys").alias("key")))
+    # keys with the same sets say the same: one of them is enough
+    several = spread.groupBy("key").agg(F.count(F.lit(1)).alias("held"), F.min("id").alias("low"), F.sum(F.xxhash64("id").cast("decimal(20,0)")).alias("who")).where("held > 1")
+    telling = saved(several.groupBy("held", "who", "low").agg(F.min("key").alias("key")))
+    # a key of very many sets makes one region of them, by links to the least: it is dealt like any rows
+    many = spread.join(telling.where(F.col("held") > cell_rows).select("key", "low"), "key").select(F.col("id").alias("a"), F.col("low").alias("b"))
+    met = spread.join(telling.where(F.col("held") <= cell_rows).select("key"), "key").join(nodes.select(F.col("node").alias("id"), "n", "sketch"), "id")
+    region = saved(components(_meetings(met, part, share).union(many)))
+    release(spread, telling)
+
+    inside = region.join(nodes.select("node", "n", "row"), "node")
     load = F.greatest(F.count(F.lit(1)) / cell_rows, F.sum("n") / cell_shingles)
     several = inside.groupBy("component").agg(F.count(F.lit(1)).alias("held"), load.alias("load")).where("held > 1")
-    inside = saved(inside.join(several, "component").select(F.col("node").alias("id"), F.col("component").alias("region"), "held", "load"))
-    texts = docs.join(inside.select("id").distinct(), "id", "left_semi")
-    sets = saved(_shingled(texts, words).join(inside, "id"))
+    inside = saved(inside.join(several, "component").select(F.col("node").alias("id"), F.col("component").alias("region"), "held", "load", "row"))
+    texts = docs.join(inside.select("row.id", "row.th", F.col("id").alias("node")), ["id", "th"]).dropDuplicates(["node"])
+    sets = saved(_shingled(texts, words).join(inside.drop("row"), "id"))
+    release(region, inside)
 
     def join(frames):
         for f in per_key(frames, ["region"]):
@@ -324,11 +320,17 @@ def jaccard_groups(
     small = sets.where("load <= 1")
     links = small.repartition("region").sortWithinPartitions("region", "id").mapInPandas(join, "a long, b long")
     links = links.union(_large_regions(sets.where("load > 1"), part, share, cell_rows, cell_shingles, open_rows))
-    comp = saved(components(links.union(same)))
-    return (
-        keyed.join(comp.withColumnRenamed("node", "id"), "id", "left")
-        .select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"))
-    )
+    groups = saved(components(links))
+    owned = placed.select("id", "node").distinct().join(groups, "node", "left").select("id", F.coalesce("component", "node").alias("group")).distinct()
+    owned = saved(owned)
+    release(nodes, sets, groups)
+    # an id with texts of several groups joins these
+    shared = owned.groupBy("id").agg(F.min("group").alias("b"), F.max("group").alias("c")).where("b < c").select("id", "b")
+    joined = components(owned.join(shared, "id").select(F.col("group").alias("a"), "b")).withColumnRenamed("node", "group")
+    merged = owned.join(joined, "group", "left").select("id", F.coalesce("component", "group").alias("group"))
+    least = merged.groupBy("group").agg(F.min("id").alias("component"))
+    found = merged.distinct().join(least, "group").select("id", "component")
+    return keyed.join(found, "id", "left").select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"))
 
 
 def _measured(members: DataFrame, pivots: DataFrame) -> DataFrame:

@@ -82,6 +82,46 @@ def test_jaccard_near_copies(spark, limits):
     assert got_groups(df, words=2, part=80, **limits) == brute_jaccard(rows, 2, 80)
 
 
+def test_jaccard_rows_that_share_ids_join_what_they_link_with(spark):
+    rng = random.Random(12)
+    text = lambda: [f"t{rng.randint(0, 10**6)}" for _ in range(80)]
+    near = lambda t: " ".join([*t[:40], "changed", *t[41:]])
+    a, b, c, d = text(), text(), text(), text()
+    rows = [(14, " ".join(a)), (14, " ".join(b)), (20, near(a)), (21, near(b)), (30, near(c)), (14, ""), (9, "x"), (None, " ".join(a))]
+    # one id with very many texts, two of which others have too
+    rows += [(40, " ".join(text())) for _ in range(30)] + [(40, " ".join(c)), (40, near(d)), (35, " ".join(d))]
+    want = brute_jaccard(rows)
+    got = {(r["doc_id"], r["component_id"]) for r in jaccard_join.jaccard_groups(documents(spark, rows)).collect()}
+    assert {(14, 14), (20, 14), (21, 14), (30, 30), (40, 30), (35, 30), (9, 9), (None, None)} == got
+    assert got_groups(documents(spark, rows)) == want
+    assert got_groups(documents(spark, rows), cell_rows=2) == want
+
+
+def test_jaccard_a_shingle_that_most_texts_begin_with(spark):
+    """A key of more texts than a task may hold: no link is lost, and cells by pivots divide its region."""
+    rng = random.Random(13)
+    rows = []
+    for k in range(150):
+        t = "common first words " + " ".join(f"r{rng.randint(0, 10**5)}" for _ in range(60))
+        rows += [(3 * k, t), (3 * k + 1, t + " more"), (3 * k + 2, t)]
+    assert got_groups(documents(spark, rows), cell_rows=20, frequent=0) == brute_jaccard(rows)
+
+
+def test_pivots_divide_a_region_before_anything_is_compared(monkeypatch):
+    rng = random.Random(14)
+    rows = []
+    for k in range(25):
+        base = [f"{k}-{rng.randint(0, 50)}" for _ in range(60)] + [f"all{j}" for j in range(20)]
+        rows += [(len(rows) + j, " ".join(base[:70] + [f"n{rng.randint(0, 99)}"] + base[70:])) for j in range(10)]
+    sets = [shingle_set(t.encode(), 1) for _, t in rows]
+    largest = []
+    real = np.triu
+    monkeypatch.setattr(jaccard_join.np, "triu", lambda m, k: (largest.append(len(m)), real(m, k))[1])
+    found = jaccard_join.metric_join(sets, 80, 100)
+    assert max(largest, default=0) <= 64 < len(rows)
+    assert [int(x) for x in found] == [c for _, _, c in sorted(brute_jaccard(rows, 1, 80))]
+
+
 def test_metric_join_is_exact_when_it_splits():
     rows = near_copies(300, 9)
     sets = [shingle_set(t.encode(), 3) for _, t in rows]
