@@ -126,18 +126,23 @@ def srs_ratings(rows: DataFrame, keys: list[str], tol: float = 1e-3, max_iter: i
     return rows.select(*keys, "team", "opponent", "team_score", "opponent_score", "result").groupBy(*keys).applyInPandas(rate, schema)
 
 
-def ending_windows(games: DataFrame, modes: list[int]) -> DataFrame:
+def ending_windows(games: DataFrame, modes: list[int], slices: DataFrame | None = None) -> DataFrame:
     """(e, idx, season, week, home_team, away_team, home_score, away_score, result): for each played week ``e`` the
     games of the widest window that ends with it, and of its season where mode 0 is asked for. All modes are
-    ends of this one window, so a game is copied once for each week it reaches, not for each mode."""
-    grid = F.broadcast(week_grid(games))
+    ends of this one window, so a game is copied once for each week it reaches, not for each mode.
+    ``slices`` (season, week) are the weeks wanted, all without it."""
+    weeks = week_grid(games)
+    grid = F.broadcast(weeks)
     reach = F.col("idx") + max([1, *modes]) - 1
     to = F.least(F.greatest(reach, F.col("last")) if 0 in modes else reach, F.col("top"))
     rows = games.where(F.col("result").isNotNull()).join(grid, ["season", "week"])
-    return rows.select(F.explode(F.sequence(F.col("idx"), to)).alias("e"), "idx", "season", "week", "home_team", "away_team", *[F.col(c).cast("double").alias(c) for c in ("home_score", "away_score", "result")])
+    out = rows.select(F.explode(F.sequence(F.col("idx"), to)).alias("e"), "idx", "season", "week", "home_team", "away_team", *[F.col(c).cast("double").alias(c) for c in ("home_score", "away_score", "result")])
+    if slices is None:
+        return out
+    return out.join(F.broadcast(weeks.join(slices, ["season", "week"]).select(F.col("idx").alias("e"))), "e", "left_semi")
 
 
-def rated_windows(games: DataFrame, modes: list[int], shown: int | None, tol: float, max_iter: int) -> DataFrame:
+def rated_windows(games: DataFrame, modes: list[int], shown: int | None, tol: float, max_iter: int, slices: DataFrame | None = None) -> DataFrame:
     """Per week and team the ratings of every mode, with a mode's length as a suffix (none for mode 0 and for a single
     one), and the table of the mode ``shown``. One group a week rates each mode as a suffix of its window."""
     types, tables = dict(games.dtypes), ["games", "wins", "true_wins", "losses", "ties", "pf", "pa", "pd", "win_pct"]
@@ -177,7 +182,7 @@ def rated_windows(games: DataFrame, modes: list[int], shown: int | None, tol: fl
             there = shown_of[:, 0] > 0
         return held[there]
 
-    return ending_windows(games, modes).groupBy("e").applyInPandas(run, schema)
+    return ending_windows(games, modes, slices).groupBy("e").applyInPandas(run, schema)
 
 
 def weekly_standings(games: DataFrame, season_type: str = "ALL", reset=True, tol: float = 1e-3, max_iter: int = 100, ratings: bool = True) -> DataFrame:
@@ -190,11 +195,12 @@ def weekly_standings(games: DataFrame, season_type: str = "ALL", reset=True, tol
     return rated_windows(games, [mode], mode, tol, max_iter) if ratings else period_tables(games, mode)
 
 
-def srs_data(games: DataFrame, resets=(True, 10, 20), tol: float = 1e-3, max_iter: int = 100) -> DataFrame:
+def srs_data(games: DataFrame, resets=(True, 10, 20), tol: float = 1e-3, max_iter: int = 100, slices: DataFrame | None = None) -> DataFrame:
     """All reset modes in one pass: table and ratings of the season mode, and each rolling mode's ratings
-    with its length as a suffix. Without the season mode the teams of any window have rows."""
+    with its length as a suffix. Without the season mode the teams of any window have rows. ``slices`` (season,
+    week) limits the weeks computed; the games have to reach as far back as these look."""
     modes = sorted({reset_mode(r) for r in resets})
-    out = rated_windows(games, modes, 0 if 0 in modes else None, tol, max_iter)
+    out = rated_windows(games, modes, 0 if 0 in modes else None, tol, max_iter, slices)
     if len(modes) == 1 and modes[0]:
         out = out.withColumnsRenamed({r: f"{r}_{modes[0]}" for r in RATINGS})
     return out.drop("true_wins")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.incremental import cached_stats, season_types, stats_path
+from .ids import add_game_ids
 
 ENTITIES = {"team": "team", "player": "player_id"}
 
@@ -27,10 +28,18 @@ def stats_by_level(rows: DataFrame, games: DataFrame, measures: list[str], sum_l
     return typed.groupBy(*keys).agg(F.count_distinct("week").alias("games"), *[F.coalesce(F.sum(m), F.lit(0)).cast("long").alias(m) for m in measures])
 
 
-def level_stats(spark, folder: str, rows: DataFrame, games: DataFrame, measures: list[str], sum_level: str, stat_level: str, season_level: str, **rebuild) -> DataFrame:
-    """The product of a level kept in ``folder``: seasons with new keys are recomputed and replaced
-    (``refresh`` and ``recompute_all`` as in ``cached_stats``)."""
-    keys = ["season", *(["week"] if sum_level.lower() == "week" else []), ENTITIES[stat_level.lower()]]
-    source = of_types(rows, games, season_level)
-    compute = lambda r: stats_by_level(r, games, measures, sum_level, stat_level, season_level)
-    return cached_stats(spark, stats_path(folder, sum_level, stat_level, season_level), source, compute, keys, **rebuild)
+def level_stats(
+    spark, folder: str, rows: DataFrame, games: DataFrame, measures: list[str], sum_level: str, stat_level: str, season_level: str, schedules: DataFrame | None = None, **rebuild
+) -> DataFrame:
+    """The product of a level kept in ``folder``: seasons whose rows changed, by content, are recomputed and replaced,
+    at season level too (``refresh`` and ``recompute_all`` as in ``cached_stats``). Rows of weeks without a
+    played game don't make a season stale. With ``schedules``, weekly rows of teams carry the ids of their games."""
+    source = of_types(rows, games, season_level).select("season", "week", ENTITIES[stat_level.lower()], "season_type", *measures)
+    played = games if "result" not in games.columns else games.where(F.col("result").isNotNull())
+    counted = source.join(F.broadcast(played.select("season", "week").distinct()), ["season", "week"], "left_semi")
+
+    def compute(r: DataFrame) -> DataFrame:
+        out = stats_by_level(r, games, measures, sum_level, stat_level, season_level)
+        return out if schedules is None or (sum_level.lower(), stat_level.lower()) != ("week", "team") else add_game_ids(out, schedules)
+
+    return cached_stats(spark, stats_path(folder, sum_level, stat_level, season_level), source, compute, counted, **rebuild)

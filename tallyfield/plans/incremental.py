@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .fingerprints import fingerprints
+
 LEVELS = {"sum_level": ("week", "season"), "stat_level": ("player", "team"), "season_level": ("ALL", "REG", "POST", "REG+POST")}
 
 
@@ -52,21 +54,31 @@ def season_types(season_level: str) -> list[str]:
     return known[season_level.upper()]
 
 
-def cached_stats(spark, path: str, source: DataFrame, compute, keys: list[str], refresh: bool = False, recompute_all: bool = False) -> DataFrame:
-    """The cached product if it has all of the source's keys; else the seasons with missing keys are
-    computed and replaced in it, and it is returned anew. ``refresh`` computes the source's last season
-    in any case, as its rows may have changed; ``recompute_all`` computes everything."""
-    from ..sources.archive import read_archive
+def cached_stats(spark, path: str, source: DataFrame, compute, counted: DataFrame | None = None, refresh: bool = False, recompute_all: bool = False) -> DataFrame:
+    """The product kept at ``path`` by season, brought up to date: seasons whose source rows aren't what they were,
+    by fingerprints kept beside the product, are computed from all their rows and replaced, others stay
+    untouched; seasons that the source no longer has go. ``counted`` are the source's rows that tell whether a season
+    is fresh (all by default). ``refresh`` computes the source's last season in any case, ``recompute_all``
+    everything. The fingerprints are written last, so a run that ends early is done again."""
+    from ..sources.archive import read_archive, remove_paths
 
+    marks, old = f"{path}.marks", None
+    new = fingerprints(source if counted is None else counted, ["season"]).collect()
     prior = None if recompute_all else read_archive(spark, path)
-    if prior is None or prior.isEmpty():
-        compute(source).write.mode("overwrite").partitionBy("season").parquet(path)
-        return spark.read.parquet(path)
-    stale = missing_keys(source, prior, keys).select("season").distinct()
-    if refresh:
-        stale = stale.union(source.agg(F.max("season").alias("season")).where("season is not null")).distinct()
-    if stale.isEmpty():
-        return prior
-    fresh = compute(source.join(F.broadcast(stale), "season", "left_semi"))
-    fresh.write.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy("season").parquet(path)
+    if prior is not None and not prior.isEmpty():
+        held = read_archive(spark, marks)
+        old = None if held is None else held.collect()
+    kept = {r["season"]: tuple(r) for r in old or []}
+    stale = {r["season"] for r in new if kept.get(r["season"]) != tuple(r)}
+    gone = set(kept) - {r["season"] for r in new}
+    if refresh and new:
+        stale.add(max((r["season"] for r in new if r["season"] is not None), default=None))
+    if old is None or stale:
+        rows = source if old is None else source.where(F.col("season").isin([s for s in stale if s is not None]) | F.lit(None in stale) & F.col("season").isNull())
+        writer = compute(rows).write.option("partitionOverwriteMode", "static" if old is None else "dynamic")
+        writer.mode("overwrite").partitionBy("season").parquet(path)
+    if gone:
+        remove_paths(spark, [f"{path}/season={'__HIVE_DEFAULT_PARTITION__' if s is None else s}" for s in gone])
+    if old is None or stale or gone:
+        spark.createDataFrame([tuple(r) for r in new], "season int, _rows long, _sum string, _folded long").coalesce(1).write.mode("overwrite").parquet(marks)
     return spark.read.parquet(path)

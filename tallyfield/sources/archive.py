@@ -37,3 +37,23 @@ def publish(df: DataFrame, path: str, formats=("parquet",), partition_by=("seaso
 def publish_by_group(df: DataFrame, path: str, group_vars: list[str], formats=("parquet",)) -> dict:
     """One folder per combination of the group columns."""
     return publish(df, path, formats, tuple(group_vars))
+
+
+def remove_paths(spark: SparkSession, paths: list[str]) -> None:
+    """Deletes folders of a product, wherever it is stored."""
+    for name in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def folder_state(spark: SparkSession, path: str) -> str:
+    """Names, lengths and times of the files at the path, as one hash: equal where nothing was written since."""
+    import hashlib
+
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    held, files = [], system.listFiles(root, True)
+    while files.hasNext():
+        f = files.next()
+        held.append(f"{f.getPath()} {f.getLen()} {f.getModificationTime()}")
+    return hashlib.sha256("\n".join(sorted(held)).encode()).hexdigest()
