@@ -6,12 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import elo, features, games, ids, plays, scores, standings, stats
-from ..session import ship_package
+from ..session import shared_folder, ship_package
 from ..sources import league
 from . import incremental, oracle
-
-# names of the league's teams for the correction and recoding queries
-PATCHES = ((1996, 3, "NATION_4", {"rushing_tds": 1, "pat_att": 2, "pat_made": 2}), (1998, 7, "NATION_11", {"passing_tds": 3, "td_special": 0}))
+from .products import PATCHES, Run
 
 
 def _rounded(df: DataFrame, digits: int = 6, shift: float = 0.0) -> DataFrame:
@@ -24,7 +22,7 @@ class League:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         ship_package(spark)
-        self.spark, self.schedules = spark, league.schedules(spark, sf_dir)
+        self.spark, self.sf_dir, self.schedules = spark, sf_dir, league.schedules(spark, sf_dir)
         self.games = games.clean_games(self.schedules, team_codes={"NATION_0": "NATION_00"})
         self.plain = games.clean_games(self.schedules)
         self.long = games.games_long(self.plain)
@@ -32,6 +30,12 @@ class League:
         self.stats = league.team_week_stats(spark, sf_dir)
         self.players = league.player_weeks(spark, sf_dir)
 
+    def written(self, name: str) -> DataFrame:
+        """A product of a run of its own: it and all that it needs are derived once, written and read."""
+        run = Run(self.spark, self.sf_dir, shared_folder(self.spark, "run"))
+        run.build([name])
+        return run.read(name)
+
 
 def _elo(x: League, prior=None, games=None, **params) -> DataFrame:
     return elo.elo_history(x.schedules if games is None else games, prior, **{"home_advantage": 0.0, **params})
@@ -76,33 +80,26 @@ QUERIES = {
     "stats_week_player_post": lambda x: stats.stats_by_level(x.players, x.plain, ["attempts", "yards"], "week", "player", "POST"),
     "stats_season_player_both": lambda x: stats.stats_by_level(x.players, x.plain, ["attempts", "yards"], "season", "player", "REG+POST"),
     "series_season": lambda x: _rounded(plays.series(x.plays, weekly=False)),
-    "weekly_standings_season": lambda x: _rounded(standings.weekly_standings(x.plain, ratings=False)),
-    "weekly_standings_roll10": lambda x: _rounded(standings.weekly_standings(x.plain, reset=10, ratings=False)),
-    "weekly_standings_reg": lambda x: _rounded(standings.weekly_standings(x.plain, "REG", ratings=False)),
-    "srs_season": lambda x: _rounded(standings.weekly_standings(x.plain, max_iter=100), 4),
-    "srs_slice_weekly": lambda x: _rounded(standings.weekly_standings(x.plain, reset=10, max_iter=100).select("season", "week", "team", *standings.RATINGS), 4),
-    "srs_multi_mode": lambda x: _rounded(standings.srs_data(x.plain), 4),
-    "srs_17_modes": lambda x: _rounded(standings.srs_data(x.plain, [True, *range(5, 21)], max_iter=200), 4),
+    "weekly_standings_season": lambda x: _rounded(standings.weekly_standings(x.written("games"), ratings=False)),
+    "weekly_standings_roll10": lambda x: _rounded(standings.weekly_standings(x.written("games"), reset=10, ratings=False)),
+    "weekly_standings_reg": lambda x: _rounded(standings.weekly_standings(x.written("games"), "REG", ratings=False)),
+    "srs_season": lambda x: _rounded(standings.weekly_standings(x.written("games"), max_iter=100), 4),
+    "srs_slice_weekly": lambda x: _rounded(standings.weekly_standings(x.written("games"), reset=10, max_iter=100).select("season", "week", "team", *standings.RATINGS), 4),
+    "srs_multi_mode": lambda x: _rounded(standings.srs_data(x.written("games")), 4),
+    "srs_17_modes": lambda x: _rounded(standings.srs_data(x.written("games"), [True, *range(5, 21)], max_iter=200), 4),
     "season_standings": lambda x: _rounded(standings.season_standings(x.plain, ratings=False)),
-    "season_standings_ratings": lambda x: _rounded(standings.season_standings(x.plain), 4),
+    "season_standings_ratings": lambda x: _rounded(standings.season_standings(x.written("games")), 4),
     "elo_full": lambda x: _rounded(_elo(x)),
     "elo_resume": lambda x: _rounded(_elo(x, prior=_elo(x, games=_old(x.schedules)))),
     "elo_hfa_margin": lambda x: _rounded(_elo(x, home_advantage=65.0, margin=True)),
     "elo_latest": lambda x: _rounded(elo.latest_ratings(_elo(x))),
     "team_form_lag": lambda x: _rounded(features.lagged(x.long.select("game_id", "season", "week", "team", "team_score"), ["team_score"]).drop("team_score_ewma_lag")),
     "team_ewma_lag": lambda x: _rounded(features.lagged(x.long.select("game_id", "season", "week", "team", "team_score"), ["team_score"]).select("game_id", "team", "team_score_ewma_lag")),
-    "model_long": lambda x: _rounded(_model_long(x), 4, shift=1e-9),
-    "model_wide": lambda x: _rounded(features.model_wide(_model_long(x), x.plain.select("game_id", "season", "week", "week_seq", "home_team", "away_team", "result")), 4, shift=1e-9),
+    "model_long": lambda x: _rounded(x.written("model_long"), 4, shift=1e-9),
+    "model_wide": lambda x: _rounded(x.written("model_wide"), 4, shift=1e-9),
 }
 
 
-def _model_long(x: League) -> DataFrame:
-    return features.model_long(
-        x.long, _elo(x), standings.srs_data(x.plain, [True]), plays.epa(x.plays), scores.scores(x.long, x.stats, x.plays, PATCHES),
-        plays.series(x.plays), plays.turnovers(x.long, x.plays), plays.redzone(x.long, x.plays),
-    )
-
-
 def queries() -> dict:
     def bound(build):
         return lambda spark, sf_dir: build(League(spark, sf_dir))

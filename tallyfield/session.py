@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import importlib.util
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -31,3 +32,15 @@ def ship_package(spark: SparkSession) -> None:
             out.write(path, path.relative_to(top.parent))
     context.addPyFile(str(archive))
     context._tallyfield_shipped = True
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder's place below the one that the driver and all executors share; a temporary one only where none
+    is set and everything runs on one machine."""
+    top = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not top:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        top = tempfile.mkdtemp(prefix="tallyfield-")
+        spark.sparkContext.setCheckpointDir(top)
+    return f"{top}/{name}-{uuid.uuid4().hex}"

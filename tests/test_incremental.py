@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyfield.operators import games as games_
 from tallyfield.operators import standings
-from tallyfield.plans import fingerprints, slices
+from tallyfield.plans import fingerprints, products, slices
 from tallyfield.sources import league
 
 SF = "/root/testdata/sf0.01"
@@ -102,3 +102,78 @@ def test_slices_read_the_weeks_looked_back_to(spark, tmp_path, schedule, monkeyp
     monkeypatch.setattr(slices, "srs_data", lambda df, *a, **kw: (plans.append(sorted({tuple(r) for r in df.select("season", "week").distinct().collect()})), real(df, *a, **kw))[1])
     slices.refresh_slices(spark, path, schedule.where("season < 1999 or season = 1999 and week = 1"), (4,), max_iter=20)
     assert plans == [[(1998, 10), (1998, 11), (1998, 12), (1999, 1)]]
+
+
+# ------------------------------------------------------------------ the graph of products
+
+
+def test_order_of_products():
+    graph = {n: products.Product(n, None, needs) for n, needs in (("a", ()), ("b", ("a",)), ("c", ("a", "b")), ("d", ("e",)), ("e", ("d",)))}
+    assert [p.name for p in products.ordered(graph, ["c"])] == ["a", "b", "c"]
+    for wanted in (["d"], ["x"]):
+        with pytest.raises(ValueError):
+            products.ordered(graph, wanted)
+
+
+def copied(spark, tmp_path, change=None):
+    """The raw tables in a folder of their own, lines and orders of one year changed where asked."""
+    import shutil
+
+    folder = tmp_path / "raw"
+    folder.mkdir(exist_ok=True)
+    for name in ("nation", "customer", "orders", "lineitem"):
+        if not (folder / f"{name}.parquet").exists():
+            shutil.copy(f"/root/testdata/sf0.001/{name}.parquet", folder / f"{name}.parquet")
+    if change:
+        for name in change:
+            held = spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet")
+            change[name](held).coalesce(1).write.mode("overwrite").parquet(str(folder / f"{name}.new"))
+            if (folder / f"{name}.parquet").is_dir():
+                shutil.rmtree(folder / f"{name}.parquet")
+            else:
+                (folder / f"{name}.parquet").unlink()
+            (folder / f"{name}.new").rename(folder / f"{name}.parquet")
+    return str(folder)
+
+
+def test_one_call_builds_all_products_and_a_second_nothing(spark, tmp_path):
+    source, folder = copied(spark, tmp_path), str(tmp_path / "products")
+    run = products.Run(spark, source, folder)
+    written = run.build()
+    assert set(written) == set(products.PRODUCTS) and written["model_wide"] == list(range(1995, 2002))
+    before = files_under(folder)
+    assert products.Run(spark, source, folder).build() == {} and files_under(folder) == before
+    assert run.manifest()["version"] == 1
+    # touched files with the same rows are read, and nothing is written but the new state
+    copied(spark, tmp_path, {"lineitem": lambda df: df.orderBy("l_comment") if "l_comment" in df.columns else df.orderBy("l_quantity")})
+    assert run.build() == {} and run.manifest()["version"] == 2
+    # lines of one year changed: what rests on schedules alone stays, model tables change from that year on
+    year = spark.read.parquet(f"{source}/orders.parquet").where("year(o_orderdate) = 1998").select(F.col("o_orderkey").alias("l_orderkey")).distinct()
+
+    def dearer(df):
+        keys = year.withColumn("hit", F.lit(True))
+        return df.join(keys, "l_orderkey", "left").withColumn("l_extendedprice", F.when(F.col("hit"), F.col("l_extendedprice") + 3.17).otherwise(F.col("l_extendedprice"))).drop("hit")
+
+    copied(spark, tmp_path, {"lineitem": dearer})
+    before = files_under(folder)
+    written = run.build()
+    assert written["plays"] == written["epa"] == [1998] and not {"schedules", "games", "elo", "srs"} & set(written)
+    assert written["model_long"] == [1998, 1999, 2000, 2001]
+    after = files_under(folder)
+    assert all(after[f] == t for f, t in before.items() if "/season=199" in f and not any(f"season={y}" in f for y in (1998, 1999)))
+    # and everything equals a build from nothing
+    other = products.Run(spark, source, str(tmp_path / "anew"))
+    other.build(["model_wide"])
+    for name in ("plays", "epa", "series", "redzone", "model_long", "model_wide"):
+        assert rows_of(run.read(name), 4) == rows_of(other.read(name), 4)
+    assert set(run.build(["elo"], full=True)) == {"schedules", "elo"}
+
+
+def test_wide_table_reads_the_lines_twice_at_most(spark, monkeypatch):
+    from tallyfield.plans import catalog
+
+    scans = []
+    real = products.Run._write
+    monkeypatch.setattr(products.Run, "_write", lambda self, name, rows, stale: (scans.append(rows._jdf.queryExecution().executedPlan().toString().count("lineitem.parquet")), real(self, name, rows, stale))[1])
+    out = catalog.queries()["model_wide"](spark, "/root/testdata/sf0.001")
+    assert sum(scans) == 1 and "lineitem" not in out._jdf.queryExecution().executedPlan().toString()
