@@ -19,6 +19,7 @@ class Ratings:
         self.initial, self.k, self.hfa, self.d, self.margin, self.factor = initial, k, home_advantage, d, margin, season_factor
         self.held: dict[str, float] = {}
         self.season: int | None = None
+        self.first = True
 
     def mean(self) -> float:
         return math.fsum(self.held.values()) / len(self.held)
@@ -60,6 +61,13 @@ def latest_ratings(history: DataFrame) -> DataFrame:
     return sides.groupBy("s.team").agg(F.max_by("s.elo", F.struct("season", "week", "game_id")).alias("elo"), F.max("season").alias("season"))
 
 
+def played_games(games: DataFrame, league=None) -> DataFrame:
+    """The played games with the columns that ratings need, and their league where one is given."""
+    played = games.where(F.col("home_score").isNotNull() & F.col("away_score").isNotNull())
+    columns = ["game_id", "season", "week", F.to_date("gameday").alias("gameday"), "home_team", "away_team", "home_score", "away_score", "location"]
+    return played.select(*columns) if league is None else played.select(*columns, league.alias("league"))
+
+
 def elo_history(games: DataFrame, prior: DataFrame | None = None, **params) -> DataFrame:
     """Ratings before and after every played game, in the order of season, week, day and id.
 
@@ -67,8 +75,7 @@ def elo_history(games: DataFrame, prior: DataFrame | None = None, **params) -> D
     state. With ``prior``, an earlier history, only games after its last week are rated, from the
     ratings it ends with, and appended; none means the history as it is.
     """
-    played = games.where(F.col("home_score").isNotNull() & F.col("away_score").isNotNull())
-    played = played.select("game_id", "season", "week", F.to_date("gameday").alias("gameday"), "home_team", "away_team", "home_score", "away_score", "location")
+    played = played_games(games)
     seed, season = {}, None
     if prior is not None:
         last = prior.agg(F.max(F.struct("season", "week")).alias("m")).first()["m"]

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import warnings
+
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import masked_count, masked_mean, masked_sum, ratio
@@ -12,12 +14,11 @@ CLASSES = ["total", "pass", "rush", "penalty", "kick", "special"]
 KEYS = ["game_id", "season", "week", "team", "home_team", "away_team"]
 
 
-def epa_ratings(plays: DataFrame, side: str, scaled_wp: bool = False) -> DataFrame:
-    """Count, sum and mean of expected points added of six classes of plays, by team and game, in one
-    aggregation; ``side`` is ``offense`` or ``defense``."""
-    if side not in ("offense", "defense"):
-        raise ValueError("side must be offense or defense")
-    team = "posteam" if side == "offense" else "defteam"
+MEASURED = ["epa", "vegas_wp", "play", "special", "pass", "rush", "penalty", "play_type"]
+
+
+def _measures(side: str, scaled_wp: bool, where=None) -> list:
+    """Count, sum and mean of expected points added of the six classes, of the plays of a condition."""
     one = F.col("play") == 1
     masks = {
         "total": one | (F.col("play_type") == "field_goal"),
@@ -31,22 +32,47 @@ def epa_ratings(plays: DataFrame, side: str, scaled_wp: bool = False) -> DataFra
     value = F.col("epa") * (1 - 4 * half * half) if scaled_wp else F.col("epa")
     aggs = []
     for name, mask in masks.items():
-        p = f"{side[:3]}_{name}"
+        p, mask = f"{side[:3]}_{name}", mask if where is None else where & mask
         aggs += [masked_count(mask).alias(f"{p}_plays"), masked_sum(mask, value).alias(f"{p}_epa_sum"), masked_mean(mask, value).alias(f"{p}_epa_mean")]
+    return aggs
+
+
+def epa_ratings(plays: DataFrame, side: str, scaled_wp: bool = False) -> DataFrame:
+    """Count, sum and mean of expected points added of six classes of plays, by team and game, in one
+    aggregation; ``side`` is ``offense`` or ``defense``."""
+    if side not in ("offense", "defense"):
+        raise ValueError("side must be offense or defense")
+    team = "posteam" if side == "offense" else "defteam"
     rows = plays.where(F.col("epa").isNotNull() & F.col("ep").isNotNull() & F.col(team).isNotNull())
-    return rows.groupBy("game_id", "season", "week", F.col(team).alias("team"), "home_team", "away_team").agg(*aggs)
-
-
-def epa(plays: DataFrame, scaled_wp: bool = False, check: bool = False) -> DataFrame:
-    """Offense and defense of every team game. ``check`` raises, after a job, if the join drops or doubles a
-    row or leaves a team game without its other side."""
-    off, dfn = epa_ratings(plays, "offense", scaled_wp), epa_ratings(plays, "defense", scaled_wp)
-    if check:
-        sides = off.select(*KEYS, F.lit(1).alias("o"), F.lit(0).alias("d")).union(dfn.select(*KEYS, F.lit(0), F.lit(1)))
-        bad = sides.groupBy(*KEYS).agg(F.sum("o").alias("o"), F.sum("d").alias("d")).where("o <> 1 or d <> 1")
-        if not bad.isEmpty():
-            raise ValueError("team games without exactly one offense and one defense row")
-    return off.join(dfn, KEYS, "left")
+    return rows.groupBy("game_id", "season", "week", F.col(team).alias("team"), "home_team", "away_team").agg(*_measures(side, scaled_wp))
+
+
+def epa(plays: DataFrame, scaled_wp: bool = False, observation: Observation | None = None) -> DataFrame:
+    """Offense of every team game, and its defense (null where it has none), in one pass: each play counts for either
+    side's team, and a team game's rows meet in one aggregation, so nothing is joined and plays are scanned once.
+
+    With an ``observation`` the counts that ``warn_of_sides`` compares are taken along; no job is run for them.
+    """
+    side = F.explode(F.array(F.struct(F.col("posteam").alias("team"), F.lit(0).alias("_side")), F.struct(F.col("defteam").alias("team"), F.lit(1).alias("_side"))))
+    columns = ["game_id", "season", "week", "home_team", "away_team", *MEASURED]
+    rows = plays.where(F.col("epa").isNotNull() & F.col("ep").isNotNull()).select(*columns, side.alias("_s")).select(*columns, "_s.*").where(F.col("team").isNotNull())
+    own, other = F.count(F.when(F.col("_side") == 0, 1)), F.count(F.when(F.col("_side") == 1, 1))
+    aggs = [*_measures("offense", scaled_wp, F.col("_side") == 0), *_measures("defense", scaled_wp, F.col("_side") == 1)]
+    out = rows.groupBy(*KEYS).agg(own.alias("_off"), other.alias("_def"), *aggs)
+    if observation is not None:
+        has, had = F.col("_off") > 0, F.col("_def") > 0
+        out = out.observe(observation, F.count_if(has).alias("offense"), F.count_if(had).alias("defense"), F.count_if(has & had).alias("both"))
+    kept = [F.when(F.col("_def") > 0, F.col(c)).alias(c) if c.startswith("def_") else F.col(c) for c in out.columns if c not in ("_off", "_def")]
+    return out.where("_off > 0").select(*kept)
+
+
+def warn_of_sides(observation: Observation) -> dict[str, int]:
+    """After an action on an observed ``epa``: its counts of team games with an offense, with a defense and with both, and a
+    warning with them unless they are the same."""
+    counts = observation.get
+    if len(set(counts.values())) > 1:
+        warnings.warn(f"EPA sides: {counts['offense']} team games with an offense, {counts['defense']} with a defense, {counts['both']} with both", stacklevel=2)
+    return counts
 
 
 def turnovers(long: DataFrame, plays: DataFrame, pairing: str = "game") -> DataFrame:

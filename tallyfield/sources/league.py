@@ -76,12 +76,15 @@ def schedules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def plays(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per line item whose customer's nation plays in the month of the order."""
+def plays(spark: SparkSession, sf_dir: str, seasons: list[int] | None = None) -> DataFrame:
+    """One row per line item whose customer's nation plays in the month of the order, of all seasons or some."""
     lines = table(spark, sf_dir, "lineitem").selectExpr(
         "l_orderkey", "l_linenumber", "l_quantity", "l_returnflag", "cast(round(l_extendedprice * 100) as bigint) as px", "cast(round(l_tax * 100) as bigint) as tax"
     )
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.expr(PERIOD).alias("r"))
+    orders = table(spark, sf_dir, "orders")
+    if seasons is not None:
+        orders = orders.where(_in_seasons(seasons))
+    orders = orders.select("o_orderkey", "o_custkey", F.expr(PERIOD).alias("r"))
     customers = table(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").alias("k"))
     games = pairings(spark, sf_dir)
     sides = games.select(
@@ -122,11 +125,47 @@ def team_week_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def player_weeks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per customer and month: orders and cents, and the opponent of the nation's team."""
-    orders = table(spark, sf_dir, "orders").select("o_custkey", F.expr(PERIOD).alias("r"), F.round(F.col("o_totalprice") * 100).cast("long").alias("cents"))
-    customers = table(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").alias("k"))
+#: Which market segments' customers are players of which kind of statistics.
+STAT_KINDS = {"offense": ("AUTOMOBILE", "BUILDING"), "defense": ("HOUSEHOLD", "MACHINERY"), "kicking": ("FURNITURE",)}
+
+
+def player_weeks(spark: SparkSession, sf_dir: str, seasons: list[int] | None = None, stat: str | None = None) -> DataFrame:
+    """One row per customer and month: orders and cents, and the opponent of the nation's team. ``seasons`` become dates
+    that are pushed down to the scan of orders; ``stat`` takes the players of one kind."""
+    orders = table(spark, sf_dir, "orders")
+    if seasons is not None:
+        orders = orders.where(_in_seasons(seasons))
+    orders = orders.select("o_custkey", F.expr(PERIOD).alias("r"), F.round(F.col("o_totalprice") * 100).cast("long").alias("cents"))
+    customers = table(spark, sf_dir, "customer")
+    if stat is not None:
+        if stat not in STAT_KINDS:
+            raise ValueError(f"stat must be one of {', '.join(STAT_KINDS)}")
+        customers = customers.where(F.col("c_mktsegment").isin(*STAT_KINDS[stat]))
+    customers = customers.select("c_custkey", F.col("c_nationkey").alias("k"))
     nation = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("opp"), F.col("n_name").alias("opponent_team"))
     rows = orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).groupBy("r", "k", F.col("o_custkey").alias("player_id")).agg(F.count(F.lit(1)).alias("attempts"), F.sum("cents").alias("yards"))
     rows = rows.withColumn("opp", F.pmod(F.col("r") - F.col("k"), F.lit(TEAMS))).join(F.broadcast(nation), "opp")
     return rows.selectExpr("cast(1995 + r div 12 as int) as season", "cast(r % 12 + 1 as int) as week", "player_id", "opponent_team", "attempts", "yards")
+
+
+def _in_seasons(seasons: list[int]):
+    """Orders of the seasons, as ranges of dates that a scan can skip row groups by."""
+    day = F.col("o_orderdate")
+    out = F.lit(False)
+    for s in sorted(set(seasons)):
+        out = out | (day >= F.lit(f"{s}-01-01").cast("date")) & (day < F.lit(f"{s + 1}-01-01").cast("date"))
+    return out
+
+
+def write_plays(plays_: DataFrame, name: str, buckets: int = 32) -> DataFrame:
+    """Plays as the table ``name``: folders by season, and in each season the plays of a game in one of
+    ``buckets`` buckets, sorted. Reading some seasons prunes folders, and whatever groups by game needs no exchange."""
+    rows = plays_.repartition(buckets, "game_id")
+    rows.write.partitionBy("season").bucketBy(buckets, "game_id").sortBy("game_id").mode("overwrite").format("parquet").saveAsTable(name)
+    return plays_.sparkSession.table(name)
+
+
+def load_plays(spark: SparkSession, name: str, seasons: list[int] | None = None) -> DataFrame:
+    """The plays of a table that ``write_plays`` wrote, of all seasons or some."""
+    rows = spark.table(name)
+    return rows if seasons is None else rows.where(F.col("season").isin(list(seasons)))

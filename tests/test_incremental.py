@@ -5,10 +5,11 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from tallyfield.operators import elo, ids, plays, standings
 from tallyfield.operators import games as games_
-from tallyfield.operators import standings
 from tallyfield.plans import fingerprints, products, slices
 from tallyfield.sources import league
+from tallyfield.streaming import ratings, replace
 
 SF = "/root/testdata/sf0.01"
 
@@ -177,3 +178,91 @@ def test_wide_table_reads_the_lines_twice_at_most(spark, monkeypatch):
     monkeypatch.setattr(products.Run, "_write", lambda self, name, rows, stale: (scans.append(rows._jdf.queryExecution().executedPlan().toString().count("lineitem.parquet")), real(self, name, rows, stale))[1])
     out = catalog.queries()["model_wide"](spark, "/root/testdata/sf0.001")
     assert sum(scans) == 1 and "lineitem" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+# ------------------------------------------------------------------ streams
+
+
+def test_elo_stream_goes_on_after_restarts(spark, tmp_path):
+    source, target, mark = (str(tmp_path / n) for n in ("games", "rated", "mark"))
+    schedule = league.schedules(spark, SF).select("game_id", "season", "week", "gameday", "home_team", "away_team", "home_score", "away_score", "location")
+    schema = schedule.schema.simpleString()[7:-1].replace(":", " ")
+    want = lambda df: rows_of(elo.elo_history(df, None, home_advantage=0.0, margin=True))
+    got = lambda: rows_of(spark.read.parquet(target))
+    steps = ["season < 1997", "season = 1997 and week <= 5", "season = 1997 and week > 5 or season > 1997"]
+    for k, part in enumerate(steps):
+        schedule.where(part).write.mode("append").parquet(source)
+        ratings.follow_elo(spark, source, schema, target, mark, home_advantage=0.0, margin=True).awaitTermination()
+        assert got() == want(schedule.where(" or ".join(f"({s})" for s in steps[: k + 1])))
+        # the same games in another file change nothing
+        schedule.where(part).write.mode("append").parquet(source)
+        ratings.follow_elo(spark, source, schema, target, mark, home_advantage=0.0, margin=True).awaitTermination()
+    assert got() == want(schedule)
+
+
+def test_series_follow_new_seasons_only(spark, tmp_path, monkeypatch):
+    source, target, mark = (str(tmp_path / n) for n in ("plays", "series", "mark"))
+    rows = league.plays(spark, "/root/testdata/sf0.001").select("game_id", "season", "week", "posteam", "defteam", "series", "series_success", "down")
+    schema = rows.schema.simpleString()[7:-1].replace(":", " ")
+    read = []
+    real = replace.seasons_of
+    monkeypatch.setattr(replace, "seasons_of", lambda *a, **kw: (read.append((a[3], real(*a, **kw)._jdf.queryExecution().executedPlan().toString())), real(*a, **kw))[1])
+    for part, seasons in (("season < 1997", [1995, 1996]), ("season = 1997 and week < 6", [1997]), ("season = 1997 and week >= 6", [1997])):
+        rows.where(part).write.mode("append").partitionBy("season").parquet(source)
+        before = files_under(target)
+        replace.follow_series(spark, source, schema, target, mark).awaitTermination()
+        assert read[-1][0] == seasons and "PartitionFilters: [season" in read[-1][1].replace("isnotnull(season#", "[season")[0:] or "season" in read[-1][1].split("PartitionFilters:")[1].split("]")[0]
+        assert all(files_under(target)[f] == t for f, t in before.items() if not any(f"season={s}" in f for s in seasons))
+    want = plays.series(rows.where("season < 1998"))
+    assert rows_of(spark.read.parquet(target).select(*want.columns)) == rows_of(want)
+    log = spark.read.parquet(f"{target}.applied").orderBy("batch")
+    assert [(r["batch"], r["seasons"]) for r in log.collect()] == [(0, [1995, 1996]), (1, [1997]), (2, [1997])]
+    # nothing new, and a batch that is in the log
+    replace.follow_series(spark, source, schema, target, mark).awaitTermination()
+    before = files_under(target)
+    replace.follow_series(spark, source, schema, target, str(tmp_path / "another mark")).awaitTermination()
+    assert len(read) == 3 and files_under(target) == before
+
+
+# ------------------------------------------------------------------ pruned sources, order
+
+
+def test_plays_of_some_seasons_need_no_exchange(spark):
+    small = "/root/testdata/sf0.001"
+    name = "plays_of_a_test"
+    league.write_plays(league.plays(spark, small), name, 4)
+    try:
+        some = league.load_plays(spark, name, [1996, 1998])
+        plan = plays.epa(some)._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "SelectedBucketsCount: 4 out of 4" in plan
+        assert "season" in plan.split("PartitionFilters:")[1].split("]")[0]
+        want = plays.epa(league.plays(spark, small).where("season in (1996, 1998)"))
+        assert rows_of(plays.epa(some).select(*want.columns), 4) == rows_of(want, 4)
+        assert rows_of(plays.epa(league.plays(spark, small, [1996, 1998])), 4) == rows_of(want, 4)
+    finally:
+        spark.sql(f"drop table {name}")
+
+
+def test_players_of_a_kind_and_season(spark):
+    everyone = rows_of(league.player_weeks(spark, SF))
+    kinds = [rows_of(league.player_weeks(spark, SF, stat=k)) for k in league.STAT_KINDS]
+    assert sorted(sum(kinds, []), key=str) == everyone and all(kinds)
+    some = league.player_weeks(spark, SF, seasons=[1996, 1999], stat="kicking")
+    assert rows_of(some) == [r for r in kinds[2] if r[0] in (1996, 1999)]
+    assert "o_orderdate" in some._jdf.queryExecution().executedPlan().toString().split("PushedFilters:")[1]
+    with pytest.raises(ValueError):
+        league.player_weeks(spark, SF, stat="coaching")
+
+
+def test_rows_keep_their_order_over_partitions(spark, tmp_path):
+    schedule = league.schedules(spark, SF)
+    rows = [(r["season"], r["week"], t, k) for k, r in enumerate(schedule.orderBy(F.rand(3)).collect()) for t in (r["away_team"], r["home_team"])]
+    rows += [(1999, 1, "no team", -1)]
+    spark.createDataFrame(rows, "season int, week int, team string, k int").repartition(7).write.parquet(str(tmp_path / "rows"))
+    df = spark.read.parquet(str(tmp_path / "rows"))
+    assert df.rdd.getNumPartitions() > 1
+    assert [r["n"] for r in ids.row_numbers(df, "n").collect()] == list(range(len(rows)))
+    got = ids.add_game_ids(df, schedule, preserve_order=True)
+    assert got.columns == [*ids.add_game_ids(df, schedule).columns]
+    assert [(r["season"], r["week"], r["team"], r["k"]) for r in got.collect()] == [tuple(r) for r in df.collect() if r["k"] >= 0]
+    assert ids.row_numbers(df.limit(0), "n").count() == 0
