@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import elo, features, games, ids, plays, scores, standings, stats
 from ..session import shared_folder, ship_package
 from ..sources import league
-from . import incremental, oracle
+from . import incremental, kept, oracle
 from .products import PATCHES, Run
 
 
@@ -95,6 +95,12 @@ QUERIES = {
     "elo_latest": lambda x: _rounded(elo.latest_ratings(_elo(x))),
     "team_form_lag": lambda x: _rounded(features.lagged(x.long.select("game_id", "season", "week", "team", "team_score"), ["team_score"]).drop("team_score_ewma_lag")),
     "team_ewma_lag": lambda x: _rounded(features.lagged(x.long.select("game_id", "season", "week", "team", "team_score"), ["team_score"]).select("game_id", "team", "team_score_ewma_lag")),
+    "elo_stream": lambda x: _rounded(kept.elo_stream(x)),
+    "srs_slices": lambda x: _rounded(kept.srs_slices(x), 4),
+    "series_kept": lambda x: _rounded(kept.series_kept(x)),
+    "stats_kept": kept.stats_kept,
+    "epa_bucketed": lambda x: _rounded(kept.epa_bucketed(x), shift=1e-9),
+    "player_kicking": kept.player_kicking,
     "model_long": lambda x: _rounded(x.written("model_long"), 4, shift=1e-9),
     "model_wide": lambda x: _rounded(x.written("model_wide"), 4, shift=1e-9),
 }

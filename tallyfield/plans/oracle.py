@@ -293,4 +293,9 @@ def queries() -> dict[str, str]:
     out["model_long"] = f"{model} select game_id, season, week, team, opponent, week_seq, location, round(result + 1e-9::double, 4) result, {', '.join(_round4(f'ml.{chr(34)}{c}{chr(34)}', c) for c in names)} from ml"
     sided = ", ".join(_round4(f'{side}."{c}"', f"{side}_{c}") for side in ("home", "away") for c in names)
     out["model_wide"] = f"{model} select g.game_id, g.season, g.week, g.week_seq, g.home_team, g.away_team, round(g.result + 1e-9::double, 4) result, {sided} from games g left join ml home on home.game_id = g.game_id and home.team = g.home_team left join ml away on away.game_id = g.game_id and away.team = g.away_team"
+    # products kept current hold what a full build holds
+    out |= {"elo_stream": out["elo_full"], "srs_slices": out["srs_multi_mode"], "series_kept": out["series_weekly"], "stats_kept": out["stats_season_team_reg"]}
+    out["epa_bucketed"] = f"select * from ({out['epa_joined']}) where season in (1996, 1999)"
+    of_kind = "select player_id from pw join customer on c_custkey = player_id where c_mktsegment = 'FURNITURE'"
+    out["player_kicking"] = out["player_join"] + f" where pw.season in (1996, 1997, 1999) and player_id in ({of_kind})"
     return {name: f"{BASE} {sql}" for name, sql in out.items()}

@@ -157,11 +157,12 @@ def _in_seasons(seasons: list[int]):
     return out
 
 
-def write_plays(plays_: DataFrame, name: str, buckets: int = 32) -> DataFrame:
-    """Plays as the table ``name``: folders by season, and in each season the plays of a game in one of
+def write_plays(plays_: DataFrame, name: str, buckets: int = 32, path: str | None = None) -> DataFrame:
+    """Plays as the table ``name``, in the warehouse or at ``path``: folders by season, and in each season the plays of a game in one of
     ``buckets`` buckets, sorted. Reading some seasons prunes folders, and whatever groups by game needs no exchange."""
     rows = plays_.repartition(buckets, "game_id")
-    rows.write.partitionBy("season").bucketBy(buckets, "game_id").sortBy("game_id").mode("overwrite").format("parquet").saveAsTable(name)
+    writer = rows.write.partitionBy("season").bucketBy(buckets, "game_id").sortBy("game_id").mode("overwrite").format("parquet")
+    (writer if path is None else writer.option("path", path)).saveAsTable(name)
     return plays_.sparkSession.table(name)
 
 
