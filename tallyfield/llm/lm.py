@@ -103,7 +103,8 @@ class Scorer:
 
 
 def trained(pairs: np.ndarray, back: np.ndarray, width: int, steps: int) -> Scorer:
-    """The model of the pair counts; how far it is trusted is chosen on those held back."""
+    """The model of all pair counts. How far it is trusted is chosen on those held back, by a model that has not seen
+    them; then the model learns from them too."""
     model = LogBilinear(len(pairs), width).fit(pairs, steps)
     h, w = np.nonzero(back)
     seen, q, n = pairs.sum(axis=1, dtype=np.float64), unigram(pairs), back[h, w]
@@ -113,7 +114,9 @@ def trained(pairs: np.ndarray, back: np.ndarray, width: int, steps: int) -> Scor
         return sum(float(n[at : at + PIECE] @ scorer.log10(h[at : at + PIECE], w[at : at + PIECE])) for at in range(0, len(h), PIECE))
 
     trust = max((100.0, 3.0, 10.0, 30.0, 300.0, 1e3, 3e3, 1e4, 1e5), key=gain)
-    return Scorer(model, seen, unigram(pairs + back), trust)
+    del h, w, n, model
+    pairs += back
+    return Scorer(LogBilinear(len(pairs), width).fit(pairs, steps), pairs.sum(axis=1, dtype=np.float64), unigram(pairs), trust)
 
 
 def tokens_of(texts) -> tuple[np.ndarray, np.ndarray]:

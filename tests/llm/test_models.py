@@ -143,6 +143,30 @@ def test_lm_base_of_documents(spark):
     assert sorted(((*r[:5], round(r[5], 4)) for r in got.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score").collect()), key=str) == brute_base(rows)
 
 
+def test_lm_training_finds_a_small_case_exactly():
+    """Noise-contrastive training with its exact expectation: probabilities of a table of full rank come out as counted."""
+    rng = np.random.default_rng(7)
+    truth = rng.dirichlet(np.full(7, 0.7), 7)
+    pairs = np.rint(truth * 20000).astype(np.float32)
+    model = lm.LogBilinear(7, 7).fit(pairs, 1500)
+    z = model.logits().astype(np.float64)
+    p = np.exp(z - z.max(axis=1, keepdims=True))
+    p /= p.sum(axis=1, keepdims=True)
+    want = pairs / pairs.sum(axis=1, keepdims=True)
+    assert np.abs(p - want).max() < 0.02
+    # the objective's constant is learned with it: the sums are one without normalising
+    assert np.abs(np.exp(z).sum(axis=1) - 1).max() < 0.05
+
+
+def test_lm_learns_from_the_counts_held_back_too():
+    pairs, back = np.zeros((5, 5), dtype=np.float32), np.zeros((5, 5), dtype=np.float32)
+    pairs[1, 2] = pairs[2, 1] = 500
+    back[3, 4] = 400
+    back[1, 2] = 40
+    scorer = lm.trained(pairs, back, 4, 60)
+    assert 10 ** float(scorer.log10(np.array([3]), np.array([4]))[0]) > 0.5
+
+
 def test_lm_probabilities_are_normalised():
     rng = np.random.default_rng(1)
     pairs = rng.poisson(0.4, (40, 40)).astype(np.float32)
