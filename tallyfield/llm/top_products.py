@@ -10,11 +10,9 @@ from pyspark.sql import functions as F
 from .common import saved, window_top
 
 
-def _finite(vector: str):
-    c = F.col(vector)
-    return F.coalesce(
-        F.forall(c, lambda x: x.isNotNull() & ~F.isnan(x.cast("double")) & (F.abs(x.cast("double")) < float("inf"))), F.lit(False)
-    )
+def _finite(vector: str, scale: float):
+    whole = lambda x: F.abs(x.cast("double") * scale)
+    return F.coalesce(F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(whole(x)) & (whole(x) < float("inf"))), F.lit(False))
 
 
 def _matrix(vectors, scale: float) -> np.ndarray:
@@ -84,13 +82,17 @@ def _best_in_block(q: np.ndarray, qid, qpiv, floor, c: np.ndarray, cid, cpiv, k:
 
 
 def _norms(x: np.ndarray) -> np.ndarray:
-    return (x * x).sum(1).astype(np.float64) if x.shape[1] else np.zeros(len(x))
+    """Squared lengths; infinite where doubles can't hold them, which only makes a bound useless."""
+    with np.errstate(over="ignore"):
+        return (x.astype(np.float64) ** 2).sum(1)
 
 
 def _upper(q2, c2, low):
-    """The bound with room for the rounding of doubles."""
-    bound = (q2 + c2 - low * low) / 2
-    return bound + 1e-6 * (1 + np.abs(bound)) + 1e-9 * (q2 + c2)
+    """The bound with room for the rounding of doubles; infinite where it isn't known."""
+    with np.errstate(over="ignore", invalid="ignore"):
+        bound = (q2 + c2 - low * low) / 2
+        bound = bound + 1e-6 * (1 + np.abs(bound)) + 1e-9 * (q2 + c2)
+    return np.where(np.isnan(bound), np.inf, bound)
 
 
 def _ordered(s: int) -> bytes | None:
@@ -124,12 +126,12 @@ def top_inner_products(
     alone, meet the ranges of ``table_blocks`` blocks at a time as one matrix, and only pairs of a query and a
     block that may still give a better row go on. Rows inside blocks go likewise.
 
-    Vectors that are null or hold null or non-finite components take no part; an empty vector
+    Vectors that are null or hold null or non-finite components, or doubles that aren't finite once scaled, take no part; an empty vector
     scores 0 with all; shorter vectors count as ending in zeros. Scores beyond long are ranked by their
     exact values and returned as the nearest long. Of rows with the same id the one with the least
     vector counts; null ids take no part. An empty table gives no rows; other columns are ignored.
     """
-    rows = df.select(F.col(id_column).cast("long").alias("vec_id"), F.col(vector).alias("v")).where("vec_id is not null").where(_finite("v"))
+    rows = df.select(F.col(id_column).cast("long").alias("vec_id"), F.col(vector).alias("v")).where("vec_id is not null").where(_finite("v", scale))
     rows = saved(rows.groupBy("vec_id").agg(F.min("v").alias("v")))
     total = rows.count()
     empty = "query_id long, rank int, vec_id long, score long"

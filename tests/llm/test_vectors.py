@@ -131,6 +131,12 @@ def test_top_products_edges(spark):
     assert got_top(frame(spark, [(50, [1.0], "a"), (1, [2.0], "a")])) == [(50, 1, 1, 131072)]
 
 
+def test_top_products_of_doubles_beyond_all_bounds(spark):
+    rows = [(0, [1e200, 1.0]), (1, [-1e200, 2.0]), (2, [1e200, -3.0]), (50, [2e305, 1e305]), (3, [0.5, 0.5]), (4, [2e199, 7.0])]
+    df = spark.createDataFrame([*rows, (7, [1e308, 0.0])], "vec_id long, embedding array<double>")
+    assert got_top(df, k=3) == brute_top(rows, 3)
+
+
 def test_top_products_table(spark):
     df = table(spark, "embeddings")
     want = brute_top([(r["vec_id"], r["embedding"]) for r in df.collect()])
