@@ -23,7 +23,14 @@ def _matrix(vectors, scale: float) -> np.ndarray:
     for i, v in enumerate(vectors):
         out[i, : len(v)] = np.floor(np.asarray(v, dtype=np.float64) * scale)
     if width and np.abs(out).max() ** 2 * width >= 2.0**53:
-        return np.array([[int(x) for x in row] for row in out], dtype=object)
+        return _unbounded(out)
+    return out
+
+
+def _unbounded(x: np.ndarray) -> np.ndarray:
+    """Whole doubles as Python integers."""
+    out = np.empty(x.shape, dtype=object)
+    out.ravel()[:] = [int(v) for v in x.ravel()]
     return out
 
 
@@ -35,6 +42,11 @@ def _distances(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     x, p = x.astype(np.float64), pivots.astype(np.float64)
     width = max(x.shape[1], p.shape[1])
     x, p = _pad(x, width), _pad(p, width)
+    most = max(np.abs(x).max(initial=0), np.abs(p).max(initial=0))
+    if most > 1e150:  # squares would overflow; cutting distances off at the largest double brings none apart
+        x, p = x / most, p / most
+        with np.errstate(over="ignore"):
+            return np.minimum(most * np.sqrt(np.maximum((x * x).sum(1)[:, None] + (p * p).sum(1)[None, :] - 2 * x @ p.T, 0)), np.finfo(np.float64).max)
     square = (x * x).sum(1)[:, None] + (p * p).sum(1)[None, :] - 2 * x @ p.T
     return np.sqrt(np.maximum(square, 0))
 
@@ -48,7 +60,7 @@ def _best_in_block(q: np.ndarray, qid, qpiv, floor, c: np.ndarray, cid, cpiv, k:
     width = max(q.shape[1], c.shape[1])
     q, c = _pad(q, width), _pad(c, width)
     if q.dtype == object or c.dtype == object:
-        q, c = q.astype(object), c.astype(object)
+        q, c = _unbounded(q), _unbounded(c)
     q2, c2 = _norms(q), _norms(c)
     low = np.zeros((len(q), len(c)))
     for p in range(qpiv.shape[1]):
@@ -71,11 +83,11 @@ def _best_in_block(q: np.ndarray, qid, qpiv, floor, c: np.ndarray, cid, cpiv, k:
             top = np.lexsort((best_id, -best_s))[:k]
             best_s, best_id = best_s[top], best_id[top]
             if len(best_s) == k:
-                kth = max(kth, float(best_s[-1]))
+                kth = max(kth, _at_most(best_s[-1]))
         rows += [(qid[i], int(v), s) for v, s in zip(best_id, best_s)]
-    out = pd.DataFrame(rows, columns=["query_id", "vec_id", "s"])
+    out = pd.DataFrame([x[:2] for x in rows], columns=["query_id", "vec_id"])
     # scores beyond long are told apart by their exact values, in order; what is returned is the nearest long
-    exact = [int(s) for s in out["s"]]
+    exact = [int(s) for _, _, s in rows]
     out["score"] = np.array([min(max(s, -(1 << 63)), (1 << 63) - 1) for s in exact], dtype=np.int64)
     out["order"] = [_ordered(s) for s in exact]
     return out[["query_id", "vec_id", "score", "order"]].astype({"query_id": "int64", "vec_id": "int64"})
@@ -87,6 +99,14 @@ def _norms(x: np.ndarray) -> np.ndarray:
         return (x.astype(np.float64) ** 2).sum(1)
 
 
+def _at_most(score) -> float:
+    """A double no larger than the score."""
+    try:
+        return float(score)
+    except OverflowError:
+        return np.finfo(np.float64).max if score > 0 else -np.inf
+
+
 def _upper(q2, c2, low):
     """The bound with room for the rounding of doubles; infinite where it isn't known."""
     with np.errstate(over="ignore", invalid="ignore"):
