@@ -33,7 +33,9 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """Drops documents whose language can't be told: those without any letter or text, and those
     whose cosine with the best profile is no more than chance. That is below three times the spread of random vectors
     (3 / sqrt(dimensions)), or below what all but ``LEAST_LIKE`` of all labelled training
-    documents reach, if that is less. ``lang`` becomes the predicted one only where it was null."""
+    documents reach, if that is less. ``lang`` becomes the predicted one only where it was null.
+    Rows are judged each: repeated rows and shared or null ids stay as they are, null, empty and letterless
+    texts go, an empty table stays empty, and columns beyond those of documents are left out, whatever their names."""
     ship_package(spark)
     found = saved(language.identify(docs))
     trained = found.where(~F.col("held_out") & F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & (F.col("lang_pred") != language.UNKNOWN))
@@ -45,7 +47,9 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_recurring_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops the lines of recurring templates but the first; documents left without text go."""
+    """Drops the lines of recurring templates but the first; documents left with spaces alone go, with null and
+    empty ones. Identical rows count as one document for what recurs and lose the same lines; of equal lines the
+    first by id, then by place, stays. Null ids count as the least. Columns beyond those of documents are left out."""
     return _documents(line_templates.drop_recurring_lines(docs, short_lines=True).where(F.trim("text") != ""))
 
 
@@ -78,7 +82,8 @@ def drop_repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packs the documents' tokens into sequences of 1024."""
+    """Packs the documents' tokens into sequences of 1024: a row for each piece. Repeated rows and shared or null ids are
+    packed each, a null or empty text is its end token alone, an empty table has no pieces."""
     import public_tokenizers
 
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
@@ -92,8 +97,9 @@ STAGES = [
     ("packing", pack_sequences),
 ]
 
-#: Templates, components, the byte-level suffix order and tokenization are beyond SQL; the stages are
-#: tested against brute-force versions.
+#: Components, the byte-level suffix order, profiles and tokenization are beyond SQL. In ``tests/llm`` the operators are
+#: tested against brute-force versions; of the stages, the Jaccard and packing ones against whole expectations, the
+#: others on planted and odd rows.
 ORACLE_SQL = None
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import base64
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 from functools import lru_cache
 
 import numpy as np
@@ -55,88 +55,100 @@ def pieces(df: DataFrame, id_column: str, text: str, tokenizer: str, capacity: i
     )
 
 
-def plan(counts: np.ndarray, capacity: int) -> list[tuple[int, tuple[int, ...]]]:
-    """Which lengths go together: (how many sequences, their lengths), for ``counts[l]`` pieces of
-    length l. Works on the histogram alone, so its cost doesn't grow with the corpus.
+class Sums:
+    """The lengths in stock, and an index of the sums of two and three of them.
 
-    From the longest length down, each fills its gap exactly: by one length, by a pair, by a triple,
-    as often as all of them last, the combination with the longest length first. What no
-    combination fills goes best-fit: the longest length that fits, again and again.
+    For each sum the index has the larger members of its pairs, and the largest of its triples, from the largest
+    down; the rest of a triple is a pair in the index of what is left. Stock only falls, so what is used up
+    in front of a list stays so: its mark moves on and never back.
     """
-    left = counts.astype(np.int64).copy()
-    out = []
-
-    def use(lengths: tuple[int, ...], times: int) -> None:
-        out.append((times, lengths))
-        for l in lengths:
-            left[l] -= times
 
-    def lasting(lengths: tuple[int, ...]) -> int:
-        need = defaultdict(int)
+    def __init__(self, counts: np.ndarray, capacity: int):
+        self.left = counts.astype(np.int64).tolist()
+        there = np.asarray(counts) > 0
+        self.pairs, self.pair_at = [np.empty(0, dtype=np.int64)], [0] * (capacity + 1)
+        for total in range(1, capacity + 1):
+            larger = np.arange(total - 1, (total + 1) // 2 - 1, -1)
+            self.pairs.append(larger[there[larger] & there[total - larger]])
+        self.falling = np.flatnonzero(there)[::-1]  # the largest members of triples
+        self.triple_at = [0] * (capacity + 1)
+
+    def lasting(self, lengths: tuple[int, ...]) -> int:
+        """How often the lengths are in stock together."""
+        if len(set(lengths)) == len(lengths):
+            return min(map(self.left.__getitem__, lengths))
+        return min(self.left[l] // n for l, n in Counter(lengths).items())
+
+    def use(self, lengths: tuple[int, ...], times: int) -> None:
         for l in lengths:
-            need[l] += 1
-        return min(int(left[l]) // k for l, k in need.items())
+            self.left[l] -= times
+
+    def pair(self, total: int, beside: tuple[int, ...], most: int | None = None) -> tuple[int, int] | None:
+        """The pair of the sum with the largest member (``most`` at most) that is in stock beside other lengths."""
+        held, at = self.pairs[total], self.pair_at[total]
+        while at < len(held) and not (self.left[held[at]] and self.left[total - held[at]]):
+            at += 1
+        self.pair_at[total] = at
+        if most is not None:
+            at = max(at, int(np.searchsorted(-held, -most)))
+        for a in held[at:].tolist():
+            if self.left[a] and self.left[total - a] and self.lasting((*beside, a, total - a)):
+                return a, total - a
+        return None
 
-    def exact(head: int, gap: int):
-        """A combination of at most three lengths with the sum ``gap`` that is still in stock."""
-        if gap > 0 and lasting((head, gap)):
-            return (gap,)
-        held = np.flatnonzero(left[:gap] > 0)[::-1]
-        for a in held:
-            b = gap - a
-            if b > a:
-                break
-            if left[b] > 0 and lasting((head, int(a), int(b))):
-                return (int(a), int(b))
-        present = left[: gap + 1] > 0
-        for a in held:
-            rest = gap - a
-            if 3 * a < gap:
+    def triple(self, total: int, beside: tuple[int, ...]) -> tuple[int, int, int] | None:
+        """The triple of the sum with the largest members that is in stock beside other lengths."""
+        held, at = self.falling, self.triple_at[total]
+        while at < len(held) and (held[at] > total - 2 or not self.left[held[at]]):
+            at += 1
+        self.triple_at[total] = at
+        for a in held[at:].tolist():
+            if 3 * a < total:
                 break
-            second = held[(held <= min(a, rest - 1)) & (2 * held >= rest)]
-            for b in second[present[rest - second]]:
-                if lasting((head, int(a), int(b), int(rest - b))):
-                    return (int(a), int(b), int(rest - b))
+            if self.left[a] and (rest := self.pair(total - a, (*beside, a), a)):
+                return a, *rest
         return None
 
+    def filling(self, gap: int, beside: tuple[int, ...], most: int = 3) -> tuple[int, ...] | None:
+        """At most ``most`` lengths in stock with exactly this sum, as few as can be."""
+        if gap <= 0:
+            return None
+        if self.lasting((*beside, gap)):
+            return (gap,)
+        return self.pair(gap, beside) or (self.triple(gap, beside) if most > 2 else None)
+
+
+def plan(counts: np.ndarray, capacity: int) -> list[tuple[int, tuple[int, ...]]]:
+    """Which lengths go together: (how many sequences, their lengths), for ``counts[l]`` pieces of
+    length l. Works on the histogram alone, so its cost doesn't grow with the corpus.
+
+    From the longest length down, each fills its gap exactly: by one length, by a pair, by a triple of the index
+    of sums, as often as all of them last. What no combination fills goes best-fit: the longest length that
+    fits, again and again, with one or two lengths that fill the rest exactly where there are any.
+    """
+    stock, out = Sums(counts, capacity), []
+
+    def use(lengths: tuple[int, ...]) -> None:
+        times = stock.lasting(lengths)
+        stock.use(lengths, times)
+        out.append((times, lengths))
+
     for head in range(capacity, 0, -1):
-        while left[head] > 0:
-            gap = capacity - head
-            if gap == 0:
-                use((head,), int(left[head]))
-                continue
-            found = exact(head, gap)
-            if found:
-                use((head, *found), lasting((head, *found)))
-                continue
-            chosen = [head]
-            while True:  # best fit
-                fits = np.flatnonzero(left[: capacity - sum(chosen) + 1] > 0)
-                fits = [int(l) for l in fits[::-1] if lasting((*chosen, int(l)))][:1]
-                if not fits:
-                    break
-                chosen += fits
-                more = exact_rest(left, capacity - sum(chosen), chosen, lasting)
-                if more:
-                    chosen += more
+        while stock.left[head] > 0:
+            found = stock.filling(capacity - head, (head,))
+            chosen = (head, *(found or ()))
+            while not found:
+                gap = capacity - sum(chosen)
+                fit = next((l for l in range(min(gap, head), 0, -1) if stock.left[l] and stock.lasting((*chosen, l))), None)
+                if fit is None:
                     break
-            use(tuple(chosen), lasting(tuple(chosen)))
+                chosen = (*chosen, fit)
+                found = stock.filling(capacity - sum(chosen), chosen, 2)
+                chosen = (*chosen, *(found or ()))
+            use(chosen)
     return out
 
 
-def exact_rest(left: np.ndarray, gap: int, chosen: list[int], lasting) -> list[int] | None:
-    """One or two lengths in stock that fill the gap to the full."""
-    if gap <= 0:
-        return None
-    if left[gap] > 0 and lasting((*chosen, gap)):
-        return [gap]
-    held = np.flatnonzero(left[:gap] > 0)
-    for a in held[(2 * held >= gap) & (left[gap - held] > 0)][::-1]:
-        if lasting((*chosen, int(a), int(gap - a))):
-            return [int(a), int(gap - a)]
-    return None
-
-
 def pack(
     df: DataFrame,
     tokenizer: str,

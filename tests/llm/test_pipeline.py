@@ -56,3 +56,26 @@ def test_letters_of_every_script_have_their_own_vectors():
     assert alike.max() < 0.9
     assert np.abs(x[32]).sum() > 0 and not x[35].any()
     assert np.allclose(x[33], x[34])
+
+
+def test_stages_on_odd_rows(spark):
+    """Nulls, empty and blank texts, repeated rows, shared and null ids, extra columns with names used inside."""
+    en = "the river of the stone and the bright window that carries seven lamps to the quiet north table"
+    line = "All rights of this page are kept by the owner"
+    rows = [(1, None), (2, ""), (3, " \n\t"), (4, en), (4, en), (5, en + " again"), (None, en + " once more"), (6, "12 34"), (5, "another text of the same id " + en)]
+    rows += [(10 + k, f"{en} number {k}\n{line}") for k in range(6)]
+    extra = {c: F.lit(1) for c in ("id", "t", "th", "lang_pred", "score", "held_out", "n_lines", "n_dropped", "_row", "key")}
+    docs = made(spark, rows).withColumns(extra)
+    kept = corpus_pipeline.keep_known_languages(spark, docs, "")
+    assert kept.columns == corpus_pipeline.COLUMNS
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in kept.collect()) == sorted((i or 0, t) for i, t in rows if t and any(c.isalpha() for c in t))
+    left = corpus_pipeline.drop_recurring_lines(spark, docs, "")
+    assert left.columns == corpus_pipeline.COLUMNS
+    got = left.collect()
+    assert all(r["n_chars"] == len(r["text"]) for r in got)
+    # both lines of the last six recur as templates and stay in the first of them alone
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in got) == sorted((i or 0, t) for i, t in rows if t and t.strip(" ") and i not in range(11, 16))
+    packed = corpus_pipeline.pack_sequences(spark, docs, "").collect()
+    assert sorted(r["doc_id"] or 0 for r in packed if r["piece"] == 0) == sorted(i or 0 for i, _ in rows)
+    for stage in (corpus_pipeline.keep_known_languages, corpus_pipeline.drop_recurring_lines, corpus_pipeline.pack_sequences):
+        assert stage(spark, docs.limit(0), "").count() == 0

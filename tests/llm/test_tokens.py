@@ -1,5 +1,6 @@
 """Encoding, counting and packing of tokens, and the pipeline, against plain versions."""
 
+import itertools
 import random
 import uuid
 import zlib
@@ -130,6 +131,29 @@ def test_packing_documents(spark):
     assert used <= 1.01 * least + 1
 
 
+def test_index_of_sums_finds_what_a_search_of_all_combinations_finds():
+    """Single lengths, then pairs, then triples, each with the largest members first, while the stock falls."""
+    rng = np.random.default_rng(4)
+    for _ in range(20):
+        counts = np.zeros(31, dtype=np.int64)
+        np.add.at(counts, rng.integers(1, 31, 40), 1)
+        stock, left = packing.Sums(counts, 30), Counter({l: int(n) for l, n in enumerate(counts) if n})
+        for _ in range(60):
+            present = [l for l in left if left[l]]
+            if not present:
+                break
+            head, gap = int(rng.choice(present)), int(rng.integers(1, 31))
+            fits = lambda c: not Counter((head, *c)) - left  # noqa: E731,B023
+            want = None
+            for size in (1, 2, 3):
+                combos = sorted((tuple(sorted(c, reverse=True)) for c in itertools.combinations_with_replacement(present, size) if sum(c) == gap), reverse=True)
+                want = want or next((c for c in combos if fits(c)), None)
+            assert stock.filling(gap, (head,)) == want
+            used = (head, *(want or ()))
+            stock.use(used, 1)
+            left -= Counter(used)
+
+
 def test_plan_uses_every_piece_once():
     rng = np.random.default_rng(2)
     counts = np.zeros(101, dtype=np.int64)
