@@ -42,4 +42,6 @@ def level_stats(
         out = stats_by_level(r, games, measures, sum_level, stat_level, season_level)
         return out if schedules is None or (sum_level.lower(), stat_level.lower()) != ("week", "team") else add_game_ids(out, schedules)
 
-    return cached_stats(spark, stats_path(folder, sum_level, stat_level, season_level), source, compute, counted, **rebuild)
+    # the name is canonical, the folder stays as it is written
+    path = folder + stats_path("", sum_level, stat_level, season_level)
+    return cached_stats(spark, path, source, compute, counted, **rebuild)

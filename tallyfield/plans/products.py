@@ -61,7 +61,7 @@ def _unequal(new: dict[str, list], old: dict[str, list]) -> list[int]:
 
 
 class Run:
-    """The products under ``folder``, from the raw tables in ``source``.
+    """The products under ``folder``, from the raw tables in ``source``; every product has a season, which is never null.
 
     ``build`` brings the wanted products up to date and returns what it wrote, by product the seasons. What was
     written is told by a manifest: the state of a source's files, and for each product the fingerprint of each
