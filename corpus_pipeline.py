@@ -7,6 +7,7 @@ return the columns of ``documents``.
 
 from __future__ import annotations
 
+import functools
 import math
 import uuid
 
@@ -14,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyfield.llm import jaccard_join, language, line_templates, packing, suffix_repeats
-from tallyfield.llm.common import saved, shared_dir
+from tallyfield.llm.common import noting, release, saved, shared_dir
 from tallyfield.session import ship_package
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -89,12 +90,32 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
+#: The tables that the last stage's result still reads.
+_held: list[DataFrame] = []
+
+
+def _after_the_last(stage):
+    """A stage's result reads tables that it wrote. When the next stage is called, its predecessor's result has been
+    written, so those tables go first: stages of a session run one after the other."""
+
+    @functools.wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        release(*[t for t in _held if t.sparkSession is spark])
+        _held.clear()
+        with noting() as tables:
+            out = stage(spark, docs, sf_dir)
+        _held.extend(tables)
+        return out
+
+    return run_stage
+
+
 STAGES = [
-    ("language_id", keep_known_languages),
-    ("line_dedup", drop_recurring_lines),
-    ("jaccard_join", keep_one_of_each_group),
-    ("suffix_dedup", drop_repeated_strings),
-    ("packing", pack_sequences),
+    ("language_id", _after_the_last(keep_known_languages)),
+    ("line_dedup", _after_the_last(drop_recurring_lines)),
+    ("jaccard_join", _after_the_last(keep_one_of_each_group)),
+    ("suffix_dedup", _after_the_last(drop_repeated_strings)),
+    ("packing", _after_the_last(pack_sequences)),
 ]
 
 #: Components, the byte-level suffix order, profiles and tokenization are beyond SQL. In ``tests/llm`` the operators are

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -46,9 +47,26 @@ def saved(df: DataFrame) -> DataFrame:
         spark.conf.set(_CLEANUP, before)
     out = spark.read.schema(df.schema).parquet(path)
     out._saved_at = path
+    for noted in _noted:
+        noted.append(out)
     return out
 
 
+#: Lists that note the tables that ``saved`` writes, while they are here.
+_noted: list[list[DataFrame]] = []
+
+
+@contextmanager
+def noting():
+    """The tables that ``saved`` writes inside, as a list that grows."""
+    tables: list[DataFrame] = []
+    _noted.append(tables)
+    try:
+        yield tables
+    finally:
+        _noted.remove(tables)
+
+
 def release(*tables: DataFrame) -> None:
     """Removes tables that ``saved`` wrote and that nothing reads any more."""
     for df in tables:
