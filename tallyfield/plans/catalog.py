@@ -33,7 +33,7 @@ class League:
     def written(self, name: str) -> DataFrame:
         """A product of a run of its own: it and all that it needs are derived once, written and read."""
         run = Run(self.spark, self.sf_dir, shared_folder(self.spark, "run"))
-        run.build([name])
+        run.build([name], keep=False)
         return run.read(name)
 
 

@@ -97,7 +97,8 @@ class Run:
             rows = rows.where(F.col("season").isin(stale))
         rows.write.mode("overwrite" if stale is None else "append").partitionBy("season").parquet(self.path(name))
 
-    def build(self, wanted: list[str] | None = None, full: bool = False) -> dict[str, list[int]]:
+    def build(self, wanted: list[str] | None = None, full: bool = False, keep: bool = True) -> dict[str, list[int]]:
+        """Without ``keep`` the products are for this use alone: no fingerprints are taken and no manifest is written."""
         held = self.manifest()
         known, changed, written = dict(held["products"]), {}, {}
         for product in ordered(self.products, wanted or list(self.products)):
@@ -111,11 +112,11 @@ class Run:
             marks = before
             if stale != []:
                 self._write(name, self._rows(product, stale), stale)
-                marks = self._marks(name)
+                marks = self._marks(name) if keep else {}
                 changed[name] = _unequal(marks, before)
                 written[name] = sorted(map(int, marks)) if stale is None else stale
             known[name] = {"files": state, "seasons": marks}
-        if known != held["products"]:
+        if keep and known != held["products"]:
             row = (held["version"] + 1, datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S UTC"), json.dumps(known))
             self.spark.createDataFrame([row], "version int, written string, products string").coalesce(1).write.mode("append").parquet(f"{self.folder}/manifest")
         return written
