@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import warnings
 
-from pyspark.sql import DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import masked_count, masked_mean, masked_sum, ratio
@@ -14,11 +14,8 @@ CLASSES = ["total", "pass", "rush", "penalty", "kick", "special"]
 KEYS = ["game_id", "season", "week", "team", "home_team", "away_team"]
 
 
-MEASURED = ["epa", "vegas_wp", "play", "special", "pass", "rush", "penalty", "play_type"]
-
-
-def _measures(side: str, scaled_wp: bool, where=None) -> list:
-    """Count, sum and mean of expected points added of the six classes, of the plays of a condition."""
+def _classes(scaled_wp: bool) -> tuple[dict, Column]:
+    """The conditions of the six classes, and the value that is added up."""
     one = F.col("play") == 1
     masks = {
         "total": one | (F.col("play_type") == "field_goal"),
@@ -29,14 +26,28 @@ def _measures(side: str, scaled_wp: bool, where=None) -> list:
         "special": (F.col("special") == 1) & (F.col("play_type") != "field_goal"),
     }
     half = F.lit(0.5) - F.col("vegas_wp")
-    value = F.col("epa") * (1 - 4 * half * half) if scaled_wp else F.col("epa")
-    aggs = []
+    return masks, F.col("epa") * (1 - 4 * half * half) if scaled_wp else F.col("epa")
+
+
+def _measures(side: str, scaled_wp: bool) -> list:
+    """Count, sum and mean of expected points added of the six classes."""
+    aggs, (masks, value) = [], _classes(scaled_wp)
     for name, mask in masks.items():
-        p, mask = f"{side[:3]}_{name}", mask if where is None else where & mask
+        p = f"{side[:3]}_{name}"
         aggs += [masked_count(mask).alias(f"{p}_plays"), masked_sum(mask, value).alias(f"{p}_epa_sum"), masked_mean(mask, value).alias(f"{p}_epa_mean")]
     return aggs
 
 
+def _side_measures(side: str, where: Column) -> list:
+    """``_measures`` from the sums of pairs of teams, of those of a condition."""
+    aggs, total = [], lambda c: F.sum(F.when(where, F.col(c)))
+    for name in CLASSES:
+        p, s, n = f"{side[:3]}_{name}", total(f"_{name}_sum"), total(f"_{name}_n")
+        aggs += [F.coalesce(total(f"_{name}_plays"), F.lit(0)).alias(f"{p}_plays"), F.coalesce(s, F.lit(0.0)).alias(f"{p}_epa_sum")]
+        aggs.append(F.coalesce(F.when(n > 0, s / n), F.lit(0.0)).alias(f"{p}_epa_mean"))
+    return aggs
+
+
 def epa_ratings(plays: DataFrame, side: str, scaled_wp: bool = False) -> DataFrame:
     """Count, sum and mean of expected points added of six classes of plays, by team and game, in one
     aggregation; ``side`` is ``offense`` or ``defense``."""
@@ -48,16 +59,20 @@ def epa_ratings(plays: DataFrame, side: str, scaled_wp: bool = False) -> DataFra
 
 
 def epa(plays: DataFrame, scaled_wp: bool = False, observation: Observation | None = None) -> DataFrame:
-    """Offense of every team game, and its defense (null where it has none), in one pass: each play counts for either
-    side's team, and a team game's rows meet in one aggregation, so nothing is joined and plays are scanned once.
+    """Offense of every team game, and its defense (null where it has none), in one pass: plays are added up once by game
+    and pair of teams, a few rows a game, and these sums count for either side's team. Nothing is joined and plays are
+    scanned once.
 
     With an ``observation`` the counts that ``warn_of_sides`` compares are taken along; no job is run for them.
     """
+    masks, value = _classes(scaled_wp)
+    sums = [x for c, m in masks.items() for x in (masked_count(m).alias(f"_{c}_plays"), F.sum(F.when(m, value)).alias(f"_{c}_sum"), F.count(F.when(m, value)).alias(f"_{c}_n"))]
+    rows = plays.where(F.col("epa").isNotNull() & F.col("ep").isNotNull())
+    pairs = rows.groupBy(*[k for k in KEYS if k != "team"], "posteam", "defteam").agg(F.count(F.lit(1)).alias("_n"), *sums)
     side = F.explode(F.array(F.struct(F.col("posteam").alias("team"), F.lit(0).alias("_side")), F.struct(F.col("defteam").alias("team"), F.lit(1).alias("_side"))))
-    columns = ["game_id", "season", "week", "home_team", "away_team", *MEASURED]
-    rows = plays.where(F.col("epa").isNotNull() & F.col("ep").isNotNull()).select(*columns, side.alias("_s")).select(*columns, "_s.*").where(F.col("team").isNotNull())
-    own, other = F.count(F.when(F.col("_side") == 0, 1)), F.count(F.when(F.col("_side") == 1, 1))
-    aggs = [*_measures("offense", scaled_wp, F.col("_side") == 0), *_measures("defense", scaled_wp, F.col("_side") == 1)]
+    rows = pairs.withColumn("_s", side).select("*", "_s.team", "_s._side").where(F.col("team").isNotNull())
+    own, other = (F.coalesce(F.sum(F.when(F.col("_side") == k, F.col("_n"))), F.lit(0)) for k in (0, 1))
+    aggs = [*_side_measures("offense", F.col("_side") == 0), *_side_measures("defense", F.col("_side") == 1)]
     out = rows.groupBy(*KEYS).agg(own.alias("_off"), other.alias("_def"), *aggs)
     if observation is not None:
         has, had = F.col("_off") > 0, F.col("_def") > 0

@@ -86,15 +86,19 @@ def plays(spark: SparkSession, sf_dir: str, seasons: list[int] | None = None) ->
         orders = orders.where(_in_seasons(seasons))
     orders = orders.select("o_orderkey", "o_custkey", F.expr(PERIOD).alias("r"))
     customers = table(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").alias("k"))
-    games = pairings(spark, sf_dir)
+    games = pairings(spark, sf_dir).selectExpr(
+        "r", "home_team", "away_team", "home_key", "away_key", "format_string('%d_%02d_%02d_%02d', 1995 + r div 12, r % 12 + 1, away_key, home_key) as game_id",
+        "cast(1995 + r div 12 as int) as season", "cast(r % 12 + 1 as int) as week",
+    )
     sides = games.select(
-        "r", "home_team", "away_team", "home_key", "away_key",
+        "r", "home_team", "away_team", "game_id", "season", "week",
         F.explode(F.array(F.struct(F.col("home_key").alias("k"), F.col("home_team").alias("posteam"), F.col("away_team").alias("defteam")), F.struct(F.col("away_key").alias("k"), F.col("away_team").alias("posteam"), F.col("home_team").alias("defteam")))).alias("s"),
-    ).select("r", "home_team", "away_team", "home_key", "away_key", "s.*")
-    joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(customers, F.col("o_custkey") == F.col("c_custkey")).join(F.broadcast(sides), ["r", "k"])
+    ).select("r", "home_team", "away_team", "game_id", "season", "week", "s.*")
+    # orders meet their customers before the lines, which are many times as many, and a game's names are made once a game
+    owned = orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "r", "k")
+    joined = lines.join(owned, F.col("l_orderkey") == F.col("o_orderkey")).join(F.broadcast(sides), ["r", "k"])
     return joined.selectExpr(
-        "format_string('%d_%02d_%02d_%02d', 1995 + r div 12, r % 12 + 1, away_key, home_key) as game_id",
-        "cast(1995 + r div 12 as int) as season", "cast(r % 12 + 1 as int) as week", "posteam", "defteam", "home_team", "away_team",
+        "game_id", "season", "week", "posteam", "defteam", "home_team", "away_team",
         "case when px % 101 = 0 then null else (px % 1001 - 500) / 100.0D end as epa",
         "case when px % 97 = 0 then null else (px % 700) / 100.0D end as ep",
         "case when px % 89 = 0 then null else (px % 101) / 100.0D end as vegas_wp",
