@@ -9,6 +9,7 @@ piece that ends where they start; the result is the model's own encoding.
 from __future__ import annotations
 
 import re
+from array import array
 from collections import defaultdict
 from functools import lru_cache
 
@@ -20,7 +21,22 @@ from pyspark.sql import functions as F
 from .common import slices
 
 SPACE = "▁"
-CACHED_CHARS, CACHED_WORDS, CACHED_PAIRS = 48, 400_000, 1_000_000
+CACHED_CHARS, CACHED_WORDS, CACHED_PAIRS = 48, 600_000, 1_000_000
+
+
+class Words(dict):
+    """The ids of words as bytes of int32, found when first asked for; those of long words aren't kept."""
+
+    def __init__(self, model: PieceModel):
+        self.segment = model.segment
+
+    def __missing__(self, word: str) -> bytes:
+        ids = array("i", self.segment(word)).tobytes()
+        if len(word) <= CACHED_CHARS:
+            if len(self) >= CACHED_WORDS:
+                self.clear()
+            self[word] = ids
+        return ids
 
 
 class PieceModel:
@@ -54,20 +70,27 @@ class PieceModel:
         spaced = any(SPACE in self.pieces[i].lstrip(SPACE) for i in plain)
         known = re.escape("".join(sorted({c for p in self.score for c in p} - {SPACE})))
         self.split = re.compile("(?s).+" if spaced or not known else f"(?s){SPACE}*[{known}]+|{SPACE}+|[^{SPACE}{known}]+").findall
-        self.cache: dict = {}
-
-    def merged(self, text: str) -> list[str]:
-        """A short text by merging: of neighbours that form a piece the best-scoring first, the first of equal ones."""
-        parts, score = list(text), self.score
-        while True:
-            best, at = None, 0
-            for k in range(len(parts) - 1):
-                value = score.get(parts[k] + parts[k + 1])
-                if value is not None and (best is None or value > best):
-                    best, at = value, k
-            if best is None:
-                return parts
+        self.cache = Words(self)
+        self.known = self.cache.__getitem__
+
+    def merged(self, text: str, border: int = 0) -> list[str] | None:
+        """A short text by merging: of neighbours that form a piece the best-scoring first, the first of equal ones.
+        None as soon as a merge goes over the ``border``, a number of characters, where one is given."""
+        parts, score, none = list(text), self.score.get, -np.inf
+        values = [score(a + b, none) for a, b in zip(parts, parts[1:])]
+        while values and (best := max(values)) > none:
+            at = values.index(best)
+            if border:
+                if at == border - 1:
+                    return None
+                border -= at < border
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            del values[at]
+            if at < len(values):
+                values[at] = score(parts[at] + parts[at + 1], none)
+            if at:
+                values[at - 1] = score(parts[at - 1] + parts[at], none)
+        return parts
 
     def named(self, state: int) -> str:
         """The piece of a state: 0 is the start, then the pieces by id, then characters without a piece."""
@@ -77,7 +100,7 @@ class PieceModel:
     def follows(self, first: int, second: int) -> bool:
         """Whether merging leaves the pieces of two states as they are, one after the other."""
         a, b = self.named(first), self.named(second)
-        known = self.merged(a + b) == ([a, b] if first else [b])
+        known = self.merged(a + b, len(a)) == ([a, b] if first else [b])
         if self.pairs >= CACHED_PAIRS:
             self.following.clear()
             self.pairs = 0
@@ -123,28 +146,20 @@ class PieceModel:
             return np.empty(0, dtype=np.int32)
         # a literal space mark is no space: it stands aside and becomes its bytes
         parts = re.split(f"([{SPACE}])", text) if SPACE in text else [text]
-        out = []
+        out, known = [], self.known
         for k, part in enumerate(parts):
             if k % 2:
-                out += [self.bytes.get(b, self.unknown) for b in part.encode()]
+                out.append(np.array([self.bytes.get(b, self.unknown) for b in part.encode()], dtype=np.int32).tobytes())
                 continue
             chunk = part.replace(" ", SPACE)
             if k == 0:
                 chunk = SPACE + chunk
-            for word in self.split(chunk):
-                ids = self.cache.get(word)
-                if ids is None:
-                    ids = self.segment(word)
-                    if len(word) <= CACHED_CHARS:
-                        if len(self.cache) >= CACHED_WORDS:
-                            self.cache.clear()
-                        self.cache[word] = ids
-                out += ids
-        return np.array(out, dtype=np.int32)
+            out += map(known, self.split(chunk))
+        return np.frombuffer(b"".join(out), dtype=np.int32)
 
     def decode(self, ids) -> str:
         out, raw = [], bytearray()
-        said = [self.spoken[i] for i in np.asarray(ids).tolist()]
+        said = list(map(self.spoken.__getitem__, np.asarray(ids).tolist()))
         if None in said:
             for i, x in zip(map(int, ids), said):
                 if x is None:

@@ -192,3 +192,17 @@ def test_pipeline_stages(spark):
 def test_every_operator_is_registered():
     names = set(registry.queries())
     assert {n.split("_")[0] for n in names} == {f"op{k}" for k in range(1, 14)} | {"pipeline"}
+
+
+def test_merging_stops_at_a_border_and_words_are_kept_as_bytes():
+    """op3: a pair of pieces was merged to the end, and a word's ids were a list of its own."""
+    model = pieces.PieceModel(registry.tokenizer_path("piece_bpe_32k.model"))
+    whole = model.merged("something")
+    assert "".join(whole) == "something"
+    for at in range(1, len("something")):
+        one, two = "something"[:at], "something"[at:]
+        stops = model.merged("something", at)
+        ends = list(itertools.accumulate(map(len, whole)))
+        assert (stops == whole) if at in ends else stops is None, (one, two)
+    ids = model.encode("some words and some more")
+    assert np.array_equal(model.encode("some words and some more"), ids) and all(isinstance(x, bytes) for x in model.cache.values())
