@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyfield.llm import jaccard_join, language, line_templates, packing, suffix_repeats
-from tallyfield.llm.common import noting, release, saved, shared_dir
+from tallyfield.llm.common import noting, release, saved, shared_dir, sieve, sifted
 from tallyfield.session import ship_package
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -56,19 +56,28 @@ def drop_recurring_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of the rows linked by a Jaccard similarity of 0.8 of five-word shingles one stays, that with
-    the smallest id (null ids come last), then the smallest hash of the text.
+    the smallest id (null ids come last), then the smallest hash of the text, then of the row.
 
     Every row is a node of its own: rows that share an id are linked only if their texts are, and
     rows without an id take part like others. Texts without a word link with nothing, but of
-    rows with the same id and such a text one stays, too."""
-    rows = saved(docs.select(*COLUMNS).withColumn("_row", F.monotonically_increasing_id()))
-    groups = jaccard_join.jaccard_groups(rows, id_column="_row", words=5, part=80, share=100)
-    groups = groups.select(F.col("doc_id").alias("_row"), F.when(F.col("n_shingles") > 0, F.col("component_id")).alias("_group"))
-    keyed = rows.select("_row", "doc_id", F.xxhash64("text").alias("_th"), F.sha2("text", 256).alias("_text")).join(groups, "_row")
+    rows with the same id and such a text one stays, too. Rows are told apart by 64-bit hashes of all columns, so
+    no table of them is written, and the texts of rows that surely stay aren't shuffled."""
+    rows = docs.select(*COLUMNS)
+    rows = rows.withColumn("_row", F.xxhash64(*COLUMNS, *[F.col(c).isNull() for c in COLUMNS]))
+    with noting() as tables:
+        groups = jaccard_join.jaccard_groups(rows, id_column="_row", words=5, part=80, share=100)
+    groups = groups.select(F.col("doc_id").alias("_row"), F.when(F.col("n_shingles") > 0, F.col("component_id")).alias("_group")).distinct()
+    keyed = rows.groupBy("_row", "doc_id", F.xxhash64("text", F.col("text").isNull()).alias("_th")).agg(F.count(F.lit(1)).alias("_copies"))
+    keyed = saved(keyed.join(groups, "_row"))
+    release(*tables)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_th", "_row")).alias("first")
     linked = keyed.where("_group is not null").groupBy("_group").agg(first).select("first._row")
-    lone = keyed.where("_group is null").groupBy("doc_id", "_text").agg(first).select("first._row")
-    return rows.join(linked.union(lone), "_row", "left_semi").select(*COLUMNS)
+    lone = keyed.where("_group is null").groupBy("doc_id", "_th").agg(first).select("first._row")
+    kept = saved(linked.union(lone))
+    lost = keyed.join(kept, "_row", "left_anti").select("_row").union(keyed.where("_copies > 1").select("_row"))
+    unsure, sure = sifted(rows, sieve(lost, "_row"), "_row")
+    one = unsure.join(kept, "_row", "left_semi").dropDuplicates(["_row"])
+    return sure.select(*COLUMNS).union(one.select(*COLUMNS))
 
 
 #: Shorter than almost every passage of 50 words (of those that documents of the check tables share, 99.9 % have

@@ -21,10 +21,11 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, local_components, mix64, named, per_key, release, saved, shingle_set, slices
+from .common import components, local_components, mix64, named, per_key, release, saved, shingle_set, sieve, sifted, slices
 
 
 BUCKETS = 32
@@ -210,6 +211,43 @@ def frequent_shingles(docs: DataFrame, words: int, sample_docs: int, most: int)
     return np.sort(counts.orderBy(F.desc("n"), "s").limit(most).select("s").toPandas()["s"].to_numpy(dtype=np.int64).view(np.uint64))
 
 
+def _gathered(spread: DataFrame, most: int) -> DataFrame:
+    """(held, who, low, ids) for each key that several sets of (key, id) have: how many, a number that stands for them,
+    the least, and all. Of a key of more than ``most`` sets they come in pieces, held being 0."""
+
+    def gather(batches):
+        keys, ids, large = np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64), False
+
+        def groups(keys, ids, large):
+            starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+            sizes = np.diff(np.append(starts, len(keys)))
+            held = np.where(sizes > most, 0, sizes)
+            held[0] = 0 if large else held[0]
+            who = np.add.reduceat(mix64(ids.view(np.uint64)), starts).view(np.int64)
+            some = sizes > 1
+            offsets = np.concatenate([[0], np.cumsum(sizes[some])]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids[np.repeat(some, sizes)]))
+            columns = [pa.array(x[some]) for x in (held.astype(np.int64), who, ids[starts])]
+            return pa.RecordBatch.from_arrays([*columns, lists], names=["held", "who", "low", "ids"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys, ids = (np.concatenate([x, batch.column(c).to_numpy()]) for x, c in ((keys, "key"), (ids, "id")))
+            cut = int(np.searchsorted(keys, keys[-1]))
+            if cut:
+                yield groups(keys[:cut], ids[:cut], large)
+                keys, ids, large = keys[cut:], ids[cut:], False
+            if len(keys) > most:  # the least stands for those that are told already
+                yield groups(keys, ids, True)
+                keys, ids, large = keys[:1], ids[:1], True
+        if len(keys):
+            yield groups(keys, ids, large)
+
+    sorted_ = spread.repartition("key").sortWithinPartitions("key", "id")
+    return sorted_.mapInArrow(gather, "held long, who long, low long, ids array<long>")
+
+
 def _meetings(rows: DataFrame, part: int, share: int) -> DataFrame:
     """Pairs (a, b) that join the neighbours among the sets of each key. Keys of more rows than a task
     may hold don't come here."""
@@ -286,27 +324,32 @@ def jaccard_groups(
     text_bytes = F.col(named(text)).cast("binary")
     docs = df.select(F.col(named(id_column)).cast("long").alias("id"), text_bytes.alias("t"), F.xxhash64(text_bytes).alias("th"))
     often = frequent_shingles(docs, words, sample_docs, frequent)
-    keyed = saved(_keyed(docs, words, part, share, often))
+    wide = saved(_keyed(docs, words, part, share, often))
+    keyed = saved(wide.select("id", "th", "n", "node"))
 
     # every different set is one node, whatever rows have it; the first of these brings its text
-    placed = keyed.where("n > 0 and id is not null")
-    nodes = saved(placed.groupBy("node").agg(F.min(F.struct("id", "th")).alias("row"), *[F.first(c).alias(c) for c in ("n", "sketch", "keys")]))
+    held = wide.where("n > 0 and id is not null").groupBy("node")
+    held = saved(held.agg(F.min(F.struct("id", "th")).alias("row"), *[F.first(c).alias(c) for c in ("n", "sketch", "keys")]))
+    release(wide)
+    placed, nodes = keyed.where("n > 0 and id is not null"), saved(held.drop("keys"))
 
-    spread = saved(nodes.select(F.col("node").alias("id"), F.explode("keys").alias("key")))
+    gathered = saved(_gathered(held.select(F.col("node").alias("id"), F.explode("keys").alias("key")), cell_rows))
+    release(held)
     # keys with the same sets say the same: one of them is enough
-    several = spread.groupBy("key").agg(F.count(F.lit(1)).alias("held"), F.min("id").alias("low"), F.sum(F.xxhash64("id").cast("decimal(20,0)")).alias("who")).where("held > 1")
-    telling = saved(several.groupBy("held", "who", "low").agg(F.min("key").alias("key")))
+    telling = gathered.where("held > 0").dropDuplicates(["held", "who", "low"]).select(F.monotonically_increasing_id().alias("key"), "ids")
+    telling = saved(telling)
     # a key of very many sets makes one region of them, by links to the least: it is dealt like any rows
-    many = spread.join(telling.where(F.col("held") > cell_rows).select("key", "low"), "key").select(F.col("id").alias("a"), F.col("low").alias("b"))
-    met = spread.join(telling.where(F.col("held") <= cell_rows).select("key"), "key").join(nodes.select(F.col("node").alias("id"), "n", "sketch"), "id")
+    many = gathered.where("held = 0").select(F.explode("ids").alias("a"), F.col("low").alias("b"))
+    met = telling.select("key", F.explode("ids").alias("id")).join(nodes.select(F.col("node").alias("id"), "n", "sketch"), "id")
     region = saved(components(_meetings(met, part, share).union(many)))
-    release(spread, telling)
+    release(gathered, telling)
 
     inside = region.join(nodes.select("node", "n", "row"), "node")
     load = F.greatest(F.count(F.lit(1)) / cell_rows, F.sum("n") / cell_shingles)
     several = inside.groupBy("component").agg(F.count(F.lit(1)).alias("held"), load.alias("load")).where("held > 1")
     inside = saved(inside.join(several, "component").select(F.col("node").alias("id"), F.col("component").alias("region"), "held", "load", "row"))
-    texts = docs.join(inside.select("row.id", "row.th", F.col("id").alias("node")), ["id", "th"]).dropDuplicates(["node"])
+    asked = inside.select("row.id", "row.th", F.col("id").alias("node"))
+    texts = sifted(docs, sieve(asked, "id", "th"), "id", "th")[0].join(asked, ["id", "th"]).dropDuplicates(["node"])
     sets = saved(_shingled(texts, words).join(inside.drop("row"), "id"))
     release(region, inside)
 

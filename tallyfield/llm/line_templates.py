@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, named, release, saved, slices
+from .common import fresh, named, release, saved, sieve, sifted, slices
 from .suffix_repeats import NONE, keyed_rows
 
 #: Stands for a token with a digit, or another that varies. A literal "0" in a text has a digit itself, so nothing
@@ -160,9 +160,11 @@ def drop_recurring_lines(
         .where(F.col("docs") >= min_docs).drop("docs")
     )
     # read again, so that the join is free to split a template that a large share of lines has
-    dropped = met.join(saved(recurring), ["t1", "t2"]).where(F.struct("id", "th", "line") != F.col("first"))
+    recurring = saved(recurring)
+    dropped = met.join(recurring, ["t1", "t2"]).where(F.struct("id", "th", "line") != F.col("first"))
     lost, key, hashed = fresh(df, "lost"), fresh(df, "key"), fresh(df, "hash")
-    dropped = dropped.groupBy(F.col("id").alias(key), F.col("th").alias(hashed)).agg(F.collect_set("line").alias(lost))
+    dropped = saved(dropped.groupBy(F.col("id").alias(key), F.col("th").alias(hashed)).agg(F.collect_set("line").alias(lost)))
+    release(seen, met, recurring)
 
     @F.pandas_udf("string")
     def without(t: pd.Series, gone: pd.Series) -> pd.Series:
@@ -176,7 +178,9 @@ def drop_recurring_lines(
         return pd.Series(out, dtype=object)
 
     rows = df.withColumns({key: F.coalesce(F.col(id_column).cast("long"), F.lit(NONE)), hashed: F.xxhash64(F.coalesce(F.col(text).cast("binary"), F.lit(bytearray())))})
-    out = rows.join(dropped, [key, hashed], "left")
+    # texts that lose nothing are not shuffled
+    unsure, whole = sifted(rows, sieve(dropped, key, hashed), key, hashed)
+    out = unsure.join(dropped, [key, hashed], "left").unionByName(whole.withColumn(lost, F.lit(None).cast("array<int>")))
     count = F.when(F.col(text).isNull(), F.lit(0)).otherwise(F.length(text) - F.length(F.replace(F.col(text), F.lit("\n"), F.lit(""))) + 1)
     return out.select(
         *[F.col(named(c)) for c in df.columns if c.lower() not in (text.lower(), "n_lines", "n_dropped")],
