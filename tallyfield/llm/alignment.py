@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import re
 from functools import lru_cache
 
 import numpy as np
@@ -40,6 +41,49 @@ def byte_tokens(path: str):
     return model, [model.decode_single_token_bytes(i) for i in range(model.n_vocab)]
 
 
+#: Words of at most so many characters are kept with their ids, so many of them.
+CACHED_CHARS, CACHED_WORDS = 48, 600_000
+
+
+class WordPieces:
+    """The model's ids of texts, word by word: no piece has a space mark behind another character, so none
+    crosses a word's border, and a word's ids don't depend on what is around it."""
+
+    def __init__(self, path: str):
+        self.model = piece_bytes(path)[0]
+        n = self.model.get_piece_size()
+        whole = any("▁" in self.model.id_to_piece(i).lstrip("▁") for i in range(n))
+        self.split = re.compile("(?s).+" if whole else " *[^ ]+").findall
+        self.kind = _id_type(n)
+        self.known: dict[str, bytes] = {}
+
+    def __call__(self, texts) -> list[np.ndarray]:
+        """Words are found in one call for all of the texts; texts with a literal space mark, or with a
+        space at their end, which is a word without a character, are left to the model."""
+        known, none = self.known, np.empty(0, dtype=self.kind)
+        if len(known) > CACHED_WORDS:
+            known.clear()
+        words = [self.split(" " + t) if t and "▁" not in t and t[-1] != " " else None for t in texts]
+        new = list(set().union(*(w for w in words if w)).difference(known))
+        found = {w: np.array(ids, dtype=self.kind).tobytes() for w, ids in zip(new, self.model.encode([w[1:] for w in new]))} if new else {}
+        known.update(found)
+        out = []
+        for t, w in zip(texts, words):
+            if w:
+                out.append(np.frombuffer(b"".join(map(known.__getitem__, w)), dtype=self.kind))
+            else:
+                out.append(np.array(self.model.encode(t), dtype=self.kind) if t else none)
+        for w in found:
+            if len(w) > CACHED_CHARS:
+                del known[w]
+        return out
+
+
+@lru_cache(maxsize=2)
+def word_pieces(path: str) -> WordPieces:
+    return WordPieces(path)
+
+
 def _id_type(size: int) -> str:
     return "<u2" if size <= 1 << 16 else "<u4"
 
@@ -51,23 +95,24 @@ def end_events(docs: DataFrame, tokenizer: str, piece_model: str) -> DataFrame:
 
     def encode(frames):
         (a_model, a_bytes), (b_model, b_bytes) = byte_tokens(tokenizer), piece_bytes(piece_model)
+        pieces = word_pieces(piece_model)
         sizes = [np.array([len(x) for x in held], dtype=np.int64) for held in (a_bytes, b_bytes)]
         kinds = [_id_type(len(a_bytes)), _id_type(len(b_bytes))]
         for f in slices(frames, "t"):
             rows = []
-            for row, doc, t in zip(f["row"], f["id"], f["t"]):
+            for row, doc, t, b in zip(f["row"], f["id"], f["t"], pieces(f["t"])):
                 both = None
                 if t:
-                    whole, a = (" " + t).encode(), a_model.encode_ordinary(" " + t)
-                    b = b_model.encode(t)
-                    if b"".join(map(a_bytes.__getitem__, a)) == whole == b"".join(map(b_bytes.__getitem__, b)):
-                        both = a, b
+                    whole, a = (" " + t).encode(), a_model.encode_to_numpy(" " + t, disallowed_special=())
+                    ends = np.cumsum(sizes[0][a]), np.cumsum(sizes[1][b])
+                    # tokens of A are stretches of the text one after the other, so their size tells whether any are missing
+                    if len(a) and ends[0][-1] == len(whole) and b"".join(map(b_bytes.__getitem__, b.tolist())) == whole:
+                        both = (a, ends[0]), (b, ends[1])
                 if both is None:
                     rows.append((row, doc, 0, 2, b""))
                     continue
-                for side, ids in enumerate(both):
-                    ids = np.asarray(ids, dtype=kinds[side])
-                    ends = np.cumsum(sizes[side][ids])
+                for side, (ids, ends) in enumerate(both):
+                    ids = ids.astype(kinds[side], copy=False)
                     for k in range(int(ends[0]) // RANGE, int(ends[-1]) // RANGE + 1):
                         low, high = np.searchsorted(ends, [k * RANGE, (k + 1) * RANGE])
                         if low < high:
@@ -134,11 +179,17 @@ class Sweep:
             ids.append(np.concatenate([x.astype(np.int64) for _, x in held]))
             doc.append(np.repeat([k for k, _ in held], [len(x) for _, x in held]))
             ends.append(np.cumsum(self.sizes[side][ids[side]]))
-        a_ends, b_ends = ends
-        at = np.searchsorted(b_ends, a_ends)
-        common = np.append(b_ends, -1)[at] == a_ends
-        a_last = int(np.flatnonzero(common)[-1]) + 1 if common.any() else 0
-        b_last = int(at[a_last - 1]) + 1 if a_last else 0
+        # all ends in order, each once, and which side's they are
+        size = max((int(e[-1]) for e in ends if len(e)), default=0) + 1
+        is_end = np.zeros((2, size), dtype=bool)
+        for side in (0, 1):
+            is_end[side, ends[side]] = True
+        both = np.flatnonzero(is_end[0] | is_end[1])
+        in_a, in_b = is_end[0, both], is_end[1, both]
+        shared = np.flatnonzero(in_a & in_b)
+        stop = int(shared[-1]) + 1 if len(shared) else 0
+        both, in_a, in_b = both[:stop], in_a[:stop], in_b[:stop]
+        a_last, b_last = int(in_a.sum()), int(in_b.sum())
         self.rest = [ids[0][a_last:], ids[1][b_last:]]
         n, counts = len(self.docs), np.zeros((len(self.docs), 4), dtype=np.int64)
         code, times = self.open_pairs
@@ -146,12 +197,9 @@ class Sweep:
         text = np.empty(0, dtype=np.uint8)
         if a_last:
             a, b, a_doc, b_doc = ids[0][:a_last], ids[1][:b_last], doc[0][:a_last], doc[1][:b_last]
-            a_ends, b_ends, a_common = a_ends[:a_last], b_ends[:b_last], common[:a_last]
-            b_common = np.zeros(b_last, dtype=bool)
-            b_common[at[:a_last][a_common]] = True
+            a_common, b_common = in_b[in_a], in_a[in_b]
             # between two ends in a row lies one token of either side: a link
-            both = np.union1d(a_ends, b_ends)
-            i, j = np.searchsorted(a_ends, both), np.searchsorted(b_ends, both)
+            i, j = np.cumsum(in_a) - in_a, np.cumsum(in_b) - in_b
             key = ((a[i] << self.shift) | b[j]).astype(np.uint64)
             for column, numbers in enumerate((a_doc, b_doc, a_doc[a_common], a_doc[i])):
                 counts[:, column] = np.bincount(numbers, minlength=n)
@@ -160,7 +208,7 @@ class Sweep:
             code, times = _summed(np.concatenate([code, found]), np.concatenate([times, seen])) if len(code) else (found, seen)
             # a group's ids of A come first, then its ids of B
             of_a, of_b = np.cumsum(a_common) - a_common, np.cumsum(b_common) - b_common
-            a_before, b_before = np.searchsorted(of_a, of_b, "right"), np.searchsorted(of_b, of_a, "left")
+            a_before, b_before = np.flatnonzero(a_common)[of_b] + 1, np.append(0, np.flatnonzero(b_common) + 1)[of_a]
             merged, sign = np.empty(a_last + b_last, dtype=np.int64), np.full(a_last + b_last, ord(","), dtype=np.uint8)
             to_a, to_b = np.arange(a_last) + b_before, np.arange(b_last) + a_before
             merged[to_a], merged[to_b] = a, b

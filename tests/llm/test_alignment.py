@@ -126,3 +126,17 @@ def test_steps_and_ranges_change_nothing(spark, monkeypatch):
 def test_documents(spark):
     df = table(spark, "documents")
     assert got(df, bucket_docs=60) == plain([(r["doc_id"], r["text"]) for r in df.collect()])
+
+
+def test_words_have_the_ids_that_the_model_gives_their_texts():
+    import public_tokenizers
+
+    from tallyfield.llm.alignment import piece_bytes, word_pieces
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    odd = ["a", " ", "  two  spaces   and more ", "▁ literal ▁mark", "line\nbreak\ttab", "üß漢字 \U0001f600\U0001f600", "x" * 200 + " " + "y" * 60, "<s> </s> <unk> <0x41>", "\x00 \x7f", None, ""]
+    texts = odd + [" ".join(odd[:9])] * 2
+    model, pieces = piece_bytes(path)[0], word_pieces(path)
+    for _ in range(2):  # words found now, then words kept
+        assert [x.tolist() for x in pieces(texts)] == [model.encode(t) if t else [] for t in texts]
+    assert all(len(w) <= 48 for w in pieces.known)
