@@ -22,6 +22,17 @@ def test_a_sieve_parts_rows_and_loses_none(spark):
     assert none[0].count() == 0 and none[1].count() == 20_000
 
 
+def test_few_keys_are_joined_as_many_are(spark):
+    """Keys that would fit a broadcast are shuffled with their rows all the same: what is written follows the rows."""
+    rows = spark.range(2000).select("id", F.repeat(F.lit("text "), 50).alias("t"))
+    keys = saved(rows.where("id % 10 = 3").select("id", F.lit(1).alias("lost")))
+    unsure, _ = sifted(rows, sieve(keys, "id"), "id")
+    for how in ("left", "inner", "left_semi"):
+        plan = unsure.join(keys, "id", how)._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and plan.count("BroadcastHashJoin") == 1, plan
+    assert unsure.join(keys, "id").count() == 200
+
+
 def test_keys_are_gathered_whole_or_in_pieces(spark):
     rng = random.Random(5)
     rows = [(k, i) for k in range(300) for i in rng.sample(range(-500, 500), rng.choice([1, 1, 2, 3, 9]))] + [(k, i) for k in (1000, 1001) for i in range(2500)]
