@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyfield.llm.common import noting, saved, sieve, sifted
 from tallyfield.llm.jaccard_join import _gathered
-from tallyfield.llm.suffix_repeats import _recurring
+from tallyfield.llm.suffix_repeats import _recurring, repeat_report
 
 
 def test_a_sieve_parts_rows_and_loses_none(spark):
@@ -65,3 +65,26 @@ def test_lists_of_tables_inside_one_another_are_told_apart(spark):
             saved(spark.range(1))
         saved(spark.range(2))
     assert len(inner) == 1 and len(outer) == 2
+
+
+def test_texts_without_repeats_are_not_shuffled(spark):
+    rng = random.Random(8)
+    texts = [rng.randbytes(3000).hex() for _ in range(400)]
+    texts[7] += texts[3][:900]
+    bus, store = spark.sparkContext._jsc.sc().listenerBus(), spark.sparkContext._jsc.sc().statusStore()
+
+    def written():
+        bus.waitUntilEmpty()
+        return sum(store.executorList(False).apply(k).totalShuffleWrite() for k in range(store.executorList(False).size()))
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        report = repeat_report(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+        start = written()
+        got = {r["doc_id"]: r["n_removed"] for r in report.collect()}
+        moved = written() - start
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len(got) == 400 and {k: n for k, n in got.items() if n} == {3: 900, 7: 900}
+    assert moved < sum(map(len, texts)) / 5
