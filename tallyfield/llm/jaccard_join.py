@@ -6,7 +6,7 @@ therefore first cuts the space into coarse regions that no link can leave, and t
 work inside these:
 
 1. Of two linked sets, each holds at least ``similarity`` of the other. Taken in one order of all
-   shingles (frequent ones last), the first few of either then include one in common: every such
+   shingles (those of rare words first, frequent ones last), the first few of either then include one in common: every such
    shingle is the seed of a region. In a region two sets are neighbours unless their sizes, or
    the distances to fixed pivots (32 or more sets of shingles by hash), already differ too much: the
    triangle inequality bounds the number of differing shingles from below. The components of
@@ -25,19 +25,36 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, local_components, mix64, named, per_key, release, saved, shingle_set, sieve, sifted, slices
+from .common import components, local_components, mix64, named, per_key, release, saved, shingle_hashes, shingle_set, sieve, sifted, slices, word_hashes
 
 
 BUCKETS = 32
 
 
-def first_shingles(s: np.ndarray, frequent: np.ndarray, part: int, share: int) -> np.ndarray:
-    """The first shingles of a sorted set, frequent ones coming last, of which linked sets share one."""
-    n = len(s) - -(-part * len(s) // share) + 1
+#: Words are told apart by as many buckets where their frequency is asked for.
+WORDS = 1 << 18
+
+
+def _bucket(h: np.ndarray) -> np.ndarray:
+    return h >> np.uint64(64 - WORDS.bit_length() + 1)
+
+
+def rare_first(h: np.ndarray, shingles: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The different shingles of a text whose words have the hashes ``h``: those of rare words come first, as hardly any
+    texts but copies share them, however many texts there are."""
+    weight, of_word = np.zeros(len(shingles), dtype=np.uint64), counts[_bucket(h)]
+    for k in range(len(h) - len(shingles) + 1 if len(h) else 0):
+        weight += of_word[k : k + len(shingles)]
+    s = shingles[np.argsort(np.minimum(weight, 255) << np.uint64(56) | shingles >> np.uint64(8), kind="stable")]
+    return s[np.append(True, s[1:] != s[:-1])] if len(s) else s
+
+
+def first_shingles(s: np.ndarray, n: int, frequent: np.ndarray, part: int, share: int) -> np.ndarray:
+    """The first of a set's ``n`` shingles in their order, frequent ones coming last, of which linked sets share one."""
     if len(frequent):
         often = frequent[np.minimum(np.searchsorted(frequent, s), len(frequent) - 1)] == s
         s = np.concatenate([s[~often], s[often]])
-    return s[:n]
+    return s[: n - -(-part * n // share) + 1]
 
 
 def sketch(s: np.ndarray) -> bytes:
@@ -172,16 +189,18 @@ def metric_join(sets: list[np.ndarray], part: int, share: int, leaf: int = 64, p
     return local_components(len(sets), np.concatenate(left), np.concatenate(right))
 
 
-def _keyed(docs: DataFrame, words: int, part: int, share: int, frequent: np.ndarray) -> DataFrame:
+def _keyed(docs: DataFrame, words: int, part: int, share: int, frequent: np.ndarray, counts: np.ndarray) -> DataFrame:
     """Per row the size of its set, a number that stands for the set, its sketch and its first shingles."""
 
     def build(frames):
         for f in slices(frames, "t"):
             rows = []
             for t in f["t"]:
-                s = shingle_set(t, words)
+                h = word_hashes(t)
+                shingles = shingle_hashes(h, words)
+                s = np.unique(shingles)
                 whole = s.sum(dtype=np.uint64).view(np.int64), mix64(s).sum(dtype=np.uint64).view(np.int64)
-                rows.append((len(s), *map(int, whole), sketch(s), first_shingles(s, frequent, part, share).view(np.int64)))
+                rows.append((len(s), *map(int, whole), sketch(s), first_shingles(rare_first(h, shingles, counts), len(s), frequent, part, share).view(np.int64)))
             yield pd.concat([f[["id"]].astype("Int64"), f[["th"]], pd.DataFrame(rows, columns=["n", "h1", "h2", "sketch", "keys"])], axis=1)
 
     out = docs.mapInPandas(build, "id long, th long, n long, h1 long, h2 long, sketch binary, keys array<long>")
@@ -196,19 +215,33 @@ def _shingled(texts: DataFrame, words: int) -> DataFrame:
     return texts.mapInPandas(build, "id long, s binary")
 
 
-def frequent_shingles(docs: DataFrame, words: int, sample_docs: int, most: int) -> np.ndarray:
-    """Sorted shingles that three or more of a bounded sample of documents have, the ``most`` most
-    frequent. They only decide an order: any set of them gives the same links."""
+def frequencies(docs: DataFrame, words: int, part: int, share: int, sample_docs: int, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """From a bounded sample of documents, the binary digits of its words' counts by their buckets, and sorted shingles of rare
+    words that several documents have all the same (of passages that many texts hold), the ``most`` most frequent.
+    They only decide an order: any of them give the same links."""
     total = docs.count()
-    share = min(1_000_000, -(-1_000_000 * sample_docs // max(1, total)))
-    sample = docs.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < share)
+    kept = min(1_000_000, -(-1_000_000 * sample_docs // max(1, total)))
+    sample = saved(docs.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < kept).select("t"))
 
-    def build(frames):
+    def buckets(frames):
         for f in slices(frames, "t"):
-            yield pd.DataFrame({"s": np.concatenate([shingle_set(t, words) for t in f["t"]]).view(np.int64)})
+            found, k = np.unique(_bucket(np.concatenate([word_hashes(t) for t in f["t"]])), return_counts=True)
+            yield pd.DataFrame({"s": found.view(np.int64), "k": k})
 
-    counts = sample.mapInPandas(build, "s long").groupBy("s").agg(F.count(F.lit(1)).alias("n")).where("n >= 3")
-    return np.sort(counts.orderBy(F.desc("n"), "s").limit(most).select("s").toPandas()["s"].to_numpy(dtype=np.int64).view(np.uint64))
+    seen = sample.mapInPandas(buckets, "s long, k long").groupBy("s").agg(F.sum("k").alias("n")).toPandas()
+    counts = np.zeros(WORDS, dtype=np.uint8)
+    counts[seen["s"].to_numpy(dtype=np.int64)] = np.ceil(np.log2(1 + seen["n"].to_numpy(dtype=np.float64)))
+
+    def firsts(frames):
+        for f in slices(frames, "t"):
+            sets = [rare_first(h, shingle_hashes(h, words), counts) for h in map(word_hashes, f["t"])]
+            # twice as many as are taken: those that come next once others are known to be frequent
+            yield pd.DataFrame({"s": np.concatenate([first_shingles(s, 2 * len(s), (), part, share) for s in sets]).view(np.int64)})
+
+    held = sample.mapInPandas(firsts, "s long").groupBy("s").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    often = held.orderBy(F.desc("n"), "s").limit(most).select("s").toPandas()["s"].to_numpy(dtype=np.int64)
+    release(sample)
+    return np.sort(often.view(np.uint64)), counts
 
 
 def _gathered(spread: DataFrame, most: int) -> DataFrame:
@@ -266,15 +299,26 @@ def _meetings(rows: DataFrame, part: int, share: int) -> DataFrame:
             i = i[known.near(i, i + step)]
             yield ids[i], ids[i + step]
         for at, size in zip(starts[sizes > 12], sizes[sizes > 12]):
-            i, j = [], []
-            for k in range(size - 1):
-                other = np.arange(at + k + 1, at + size)
-                other = other[known.near(np.full(len(other), at + k), other)]
-                i.append(np.full(len(other), k))
-                j.append(other - at)
-            low = local_components(size, np.concatenate(i), np.concatenate(j))
-            moved = np.flatnonzero(low != np.arange(size))
-            yield ids[at + moved], ids[at + low[moved]]
+            moved, low = grown(known, n, at, size)
+            yield ids[moved], ids[low]
+
+    def grown(known, n, at, size):
+        """The neighbours of a large group, each with one that it is joined to. Only rows that aren't joined yet are compared."""
+        left, moved, low = np.arange(at, at + size), [], []
+        while len(left):
+            first, left = left[0], left[1:]
+            todo = [first]
+            while todo and len(left):
+                k = todo.pop()
+                a, b = np.searchsorted(n[left], (-(-part * n[k] // share), share * n[k] // part + 1))
+                hit = known.near(np.full(b - a, k), left[a:b])
+                if hit.any():
+                    found = left[a:b][hit]
+                    left = np.concatenate([left[:a], left[a:b][~hit], left[b:]])
+                    todo.extend(found)
+                    moved.append(found)
+                    low.append(np.full(len(found), first))
+        return (np.concatenate(x) if x else np.empty(0, dtype=np.int64) for x in (moved, low))
 
     def run(frames):
         rest = None
@@ -294,7 +338,20 @@ def _meetings(rows: DataFrame, part: int, share: int) -> DataFrame:
         found = list(pairs(f))
         return pd.DataFrame({"a": np.concatenate([x for x, _ in found]), "b": np.concatenate([y for _, y in found])}) if found else pd.DataFrame({"a": [], "b": []})
 
-    return rows.repartition("key").sortWithinPartitions("key", "id").mapInPandas(run, "a long, b long")
+    return rows.repartition("key").sortWithinPartitions("key", "n", "id").mapInPandas(run, "a long, b long")
+
+
+def _dealt(rows: DataFrame, part: int, share: int, most: int) -> DataFrame:
+    """The rows (key, id, n, sketch) of keys that more sets have than a task may hold, under new keys, of which every two sets that
+    may link share one: a key is cut into bands of sizes, of which linked sets have the same or the next one, and
+    a band that is still large into blocks, every two of which meet."""
+    band = F.floor(F.log("n") / (float(np.log(share / part)) * 1.0001 + 1e-9)).cast("long")
+    banded = rows.withColumn("band", F.explode(F.array(band, band + 1)))
+    blocks = banded.groupBy("key", "band").agg(F.ceil(F.count(F.lit(1)) / most).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
+    each = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    met = banded.join(blocks, ["key", "band"]).select("key", "band", "id", "n", "sketch", own.alias("own"), each)
+    return met.select(F.xxhash64("key", "band", F.least("own", "other"), F.greatest("own", "other")).alias("key"), "id", "n", "sketch")
 
 
 def jaccard_groups(
@@ -323,8 +380,8 @@ def jaccard_groups(
     """
     text_bytes = F.col(named(text)).cast("binary")
     docs = df.select(F.col(named(id_column)).cast("long").alias("id"), text_bytes.alias("t"), F.xxhash64(text_bytes).alias("th"))
-    often = frequent_shingles(docs, words, sample_docs, frequent)
-    wide = saved(_keyed(docs, words, part, share, often))
+    often, counts = frequencies(docs, words, part, share, sample_docs, frequent)
+    wide = saved(_keyed(docs, words, part, share, often, counts))
     keyed = saved(wide.select("id", "th", "n", "node"))
 
     # every different set is one node, whatever rows have it; the first of these brings its text
@@ -338,10 +395,10 @@ def jaccard_groups(
     # keys with the same sets say the same: one of them is enough
     telling = gathered.where("held > 0").dropDuplicates(["held", "who", "low"]).select(F.monotonically_increasing_id().alias("key"), "ids")
     telling = saved(telling)
-    # a key of very many sets makes one region of them, by links to the least: it is dealt like any rows
-    many = gathered.where("held = 0").select(F.explode("ids").alias("a"), F.col("low").alias("b"))
-    met = telling.select("key", F.explode("ids").alias("id")).join(nodes.select(F.col("node").alias("id"), "n", "sketch"), "id")
-    region = saved(components(_meetings(met, part, share).union(many)))
+    sized = nodes.select(F.col("node").alias("id"), "n", "sketch")
+    met = telling.select("key", F.explode("ids").alias("id")).join(sized, "id")
+    many = gathered.where("held = 0").select(F.col("low").alias("key"), F.explode("ids").alias("id")).distinct().join(sized, "id")
+    region = saved(components(_meetings(met.unionByName(_dealt(saved(many), part, share, cell_rows)), part, share)))
     release(gathered, telling)
 
     inside = region.join(nodes.select("node", "n", "row"), "node")
@@ -433,8 +490,14 @@ def _large_regions(sets: DataFrame, part: int, share: int, cell_rows: int, cell_
     homes = near.join(open_, ["region", "id"], "left_semi").groupBy("region", F.col("home").alias("pivot")).agg(F.max("nearest").alias("wide"))
     cells = far.join(near, ["region", "id"]).join(homes, ["region", "pivot"])
     cells = cells.where((F.col("d") <= F.col("nearest") + 2 * radius) & (F.col("d") <= F.col("wide") + radius)).select("region", "pivot", "id")
-    # regions whose sampling rule chose no pivot stay one cell, named after the region
+    cells = saved(cells)
+    # cells that save little would only copy their rows: such a region stays one cell, named after the region, like those
+    # whose sampling rule chose no pivot
+    alike = cells.groupBy("region", "pivot").agg(F.count(F.lit(1)).alias("k")).groupBy("region").agg(F.sum(F.col("k") * F.col("k")).alias("k"))
+    alike = alike.join(sets.groupBy("region").agg(F.first("held").alias("held")), "region").where("k >= 0.8 * held * held").select("region")
     bare = sets.join(measured.select("region").distinct(), "region", "left_anti").select("region", F.col("region").alias("pivot"), "id")
+    bare = bare.union(sets.join(alike, "region", "left_semi").select("region", F.col("region").alias("pivot"), "id"))
+    cells = cells.join(alike, "region", "left_anti")
     placed = sets.drop("held", "load").join(saved(cells.union(bare)), ["region", "id"])
     counts = placed.groupBy("region", "pivot").agg(
         F.ceil(F.greatest(F.count(F.lit(1)) / cell_rows, F.sum(F.length("s") / 8) / cell_shingles)).cast("int").alias("blocks")

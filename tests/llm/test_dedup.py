@@ -107,6 +107,63 @@ def test_jaccard_a_shingle_that_most_texts_begin_with(spark):
     assert got_groups(documents(spark, rows), cell_rows=20, frequent=0) == brute_jaccard(rows)
 
 
+def in_large_regions(monkeypatch):
+    """The sets that jaccard_groups hands on to _large_regions, counted."""
+    held, real = [], jaccard_join._large_regions
+    monkeypatch.setattr(jaccard_join, "_large_regions", lambda sets, *a: (held.append(sets.count()), real(sets, *a))[1])
+    return held
+
+
+@pytest.mark.parametrize("lead", ["shared by all these texts", "the the the the"])
+def test_unlike_texts_with_a_common_shingle_make_no_region(spark, monkeypatch, lead):
+    """A key of more texts than a task may hold doesn't put texts into one region that have nothing else in common."""
+    rng, held = random.Random(15), in_large_regions(monkeypatch)
+    rows = [(k, lead + " " + " ".join(f"r{rng.randint(0, 10**6)}" for _ in range(rng.randint(8, 60)))) for k in range(120)]
+    rows += [(1000 + k, rows[k][1] + " more") for k in range(3)]
+    # few words in common are enough for a link, so most shingles are keys
+    assert got_groups(documents(spark, rows), cell_rows=20, frequent=0, part=60) == brute_jaccard(rows, part=60)
+    assert held == [0]
+
+
+def test_crowded_keys_are_dealt_so_that_near_sizes_meet(spark):
+    rng = random.Random(16)
+    rows = [(k, 1000 * k + i, rng.choice([rng.randint(1, 400), 100, 90]), b"") for k in (1, 2) for i in range(300)]
+    got = jaccard_join._dealt(spark.createDataFrame(rows, "key long, id long, n long, sketch binary"), 90, 100, 25).collect()
+    held = defaultdict(set)
+    for r in got:
+        held[r["key"]].add((r["id"], r["n"]))
+    assert max(map(len, held.values())) <= 2 * 25 * 1.6  # blocks are dealt by hash
+    met = {(a[0], b[0]) for x in held.values() for a in x for b in x}
+    assert all((a[1], b[1]) in met for a in rows for b in rows if a[0] == b[0] and 100 * min(a[2], b[2]) >= 90 * max(a[2], b[2]))
+    assert all(a // 1000 == b // 1000 for a, b in met)
+
+
+def test_a_large_region_of_near_copies_is_not_copied_for_each_pivot(spark):
+    rng = random.Random(17)
+    base = [f"b{k}" for k in range(200)]
+    sets = []
+    for i in range(300):
+        t = list(base)
+        for at in rng.sample(range(200), rng.randint(0, 16)):
+            t[at] = f"x{rng.randint(0, 10**6)}"
+        sets.append((1, i, shingle_set(" ".join(t).encode(), 1).tobytes(), 300, 300 / 60))
+    df = spark.createDataFrame(sets, "region long, id long, s binary, held long, load double")
+    bus, store = spark.sparkContext._jsc.sc().listenerBus(), spark.sparkContext._jsc.sc().statusStore()
+
+    def written():
+        bus.waitUntilEmpty()
+        return sum(store.executorList(False).apply(k).totalShuffleWrite() for k in range(store.executorList(False).size()))
+
+    links = jaccard_join._large_regions(df, 90, 100, 60, 10**6, 0)
+    start = written()
+    links = [(r["a"], r["b"]) for r in links.collect()]
+    assert written() - start < 2 * sum(len(s[2]) for s in sets)  # compressed
+    got = {frozenset(x) for x in links if x[0] != x[1]}
+    want = [set(np.frombuffer(s[2], dtype=np.uint64).tolist()) for s in sets]
+    want = [(i, j) for i in range(300) for j in range(i) if 100 * len(want[i] & want[j]) >= 90 * len(want[i] | want[j])]
+    assert reachable(range(300), [tuple(x) for x in got]) == reachable(range(300), want)
+
+
 def test_pivots_divide_a_region_before_anything_is_compared(monkeypatch):
     rng = random.Random(14)
     rows = []
