@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, local_components, mix64, named, per_key, release, saved, shingle_hashes, shingle_set, sieve, sifted, slices, word_hashes
+from .common import components, distinct, local_components, mix64, named, per_key, release, saved, shingle_hashes, shingle_set, sieve, sifted, slices, words_by_text
 
 
 BUCKETS = 32
@@ -39,30 +39,47 @@ def _bucket(h: np.ndarray) -> np.ndarray:
     return h >> np.uint64(64 - WORDS.bit_length() + 1)
 
 
-def rare_first(h: np.ndarray, shingles: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """The different shingles of a text whose words have the hashes ``h``: those of rare words come first, as hardly any
-    texts but copies share them, however many texts there are."""
-    weight, of_word = np.zeros(len(shingles), dtype=np.uint64), counts[_bucket(h)]
-    for k in range(len(h) - len(shingles) + 1 if len(h) else 0):
-        weight += of_word[k : k + len(shingles)]
-    s = shingles[np.argsort(np.minimum(weight, 255) << np.uint64(56) | shingles >> np.uint64(8), kind="stable")]
+def rare_first(shingles: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """The different ones of a text's shingles: those of rare words come first, as hardly any texts but copies share
+    them, however many texts there are."""
+    s = shingles[np.argsort(weights << np.uint64(56) | shingles >> np.uint64(8))]
     return s[np.append(True, s[1:] != s[:-1])] if len(s) else s
 
 
+def shingles_by_text(texts, words: int, counts: np.ndarray):
+    """For each text its shingles, as often as they come, and their weights: binary digits of how frequent their words are, 255 at most."""
+    for h, at in words_by_text(texts):
+        of_word = counts[_bucket(h)].astype(np.uint64)
+
+        def weights(of_word, n):
+            return np.minimum(sum((of_word[k : k + n] for k in range(len(of_word) - n + 1)), np.zeros(n, dtype=np.uint64)), 255).astype(np.uint64)
+
+        whole = shingle_hashes(h, words)
+        heavy = weights(of_word, len(whole))
+        for a, b in zip(at[:-1], at[1:]):
+            if b - a >= words:
+                yield whole[a : b - words + 1], heavy[a : b - words + 1]
+            else:
+                s = shingle_hashes(h[a:b], words)
+                yield s, weights(of_word[a:b], len(s))
+
+
 def first_shingles(s: np.ndarray, n: int, frequent: np.ndarray, part: int, share: int) -> np.ndarray:
     """The first of a set's ``n`` shingles in their order, frequent ones coming last, of which linked sets share one."""
-    if len(frequent):
-        often = frequent[np.minimum(np.searchsorted(frequent, s), len(frequent) - 1)] == s
-        s = np.concatenate([s[~often], s[often]])
-    return s[: n - -(-part * n // share) + 1]
+    need = n - -(-part * n // share) + 1
+    for head in (s[: 2 * need], s) if len(frequent) else ():  # seldom are more than the first ones asked for
+        often = frequent[np.minimum(np.searchsorted(frequent, head), len(frequent) - 1)] == head
+        if len(head) - often.sum() >= need or len(head) == len(s):
+            return np.concatenate([head[~often], head[often]])[:need]
+    return s[:need]
 
 
-def sketch(s: np.ndarray) -> bytes:
-    """How many shingles of a set lie in each of the fixed pivot sets, 255 at most. Sets of more than
+def sketch(mixed: np.ndarray) -> bytes:
+    """How many shingles of a set, mixed once more, lie in each of the fixed pivot sets, 255 at most. Sets of more than
     256 shingles have more pivots, each of which halves one of a smaller set's: at eight shingles
     in each, unrelated texts of any length differ by more than linked ones may."""
-    bits = max(5, ((len(s) - 1) // 8).bit_length())
-    held = np.bincount((mix64(s) >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+    bits = max(5, ((len(mixed) - 1) // 8).bit_length())
+    held = np.bincount((mixed >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
     return np.minimum(held, 255).astype(np.uint8).tobytes()
 
 
@@ -195,12 +212,12 @@ def _keyed(docs: DataFrame, words: int, part: int, share: int, frequent: np.ndar
     def build(frames):
         for f in slices(frames, "t"):
             rows = []
-            for t in f["t"]:
-                h = word_hashes(t)
-                shingles = shingle_hashes(h, words)
-                s = np.unique(shingles)
-                whole = s.sum(dtype=np.uint64).view(np.int64), mix64(s).sum(dtype=np.uint64).view(np.int64)
-                rows.append((len(s), *map(int, whole), sketch(s), first_shingles(rare_first(h, shingles, counts), len(s), frequent, part, share).view(np.int64)))
+            for shingles, weights in shingles_by_text(f["t"], words, counts):
+                s = distinct(shingles)
+                mixed = mix64(s)
+                whole = s.sum(dtype=np.uint64).view(np.int64), mixed.sum(dtype=np.uint64).view(np.int64)
+                keys = first_shingles(rare_first(shingles, weights), len(s), frequent, part, share).view(np.int64)
+                rows.append((len(s), *map(int, whole), sketch(mixed), keys))
             yield pd.concat([f[["id"]].astype("Int64"), f[["th"]], pd.DataFrame(rows, columns=["n", "h1", "h2", "sketch", "keys"])], axis=1)
 
     out = docs.mapInPandas(build, "id long, th long, n long, h1 long, h2 long, sketch binary, keys array<long>")
@@ -225,7 +242,7 @@ def frequencies(docs: DataFrame, words: int, part: int, share: int, sample_docs:
 
     def buckets(frames):
         for f in slices(frames, "t"):
-            found, k = np.unique(_bucket(np.concatenate([word_hashes(t) for t in f["t"]])), return_counts=True)
+            found, k = np.unique(_bucket(np.concatenate([h for h, _ in words_by_text(f["t"])])), return_counts=True)
             yield pd.DataFrame({"s": found.view(np.int64), "k": k})
 
     seen = sample.mapInPandas(buckets, "s long, k long").groupBy("s").agg(F.sum("k").alias("n")).toPandas()
@@ -234,7 +251,7 @@ def frequencies(docs: DataFrame, words: int, part: int, share: int, sample_docs:
 
     def firsts(frames):
         for f in slices(frames, "t"):
-            sets = [rare_first(h, shingle_hashes(h, words), counts) for h in map(word_hashes, f["t"])]
+            sets = [rare_first(*x) for x in shingles_by_text(f["t"], words, counts)]
             # twice as many as are taken: those that come next once others are known to be frequent
             yield pd.DataFrame({"s": np.concatenate([first_shingles(s, 2 * len(s), (), part, share) for s in sets]).view(np.int64)})
 
