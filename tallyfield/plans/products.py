@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..operators import elo, features, games, plays, scores, standings
 from ..sources import league
-from ..sources.archive import folder_state, read_archive, remove_paths
+from ..sources.archive import folder_state, folders_side_by_side, read_archive, remove_paths
 from .fingerprints import fingerprints
 
 
@@ -95,7 +95,8 @@ class Run:
         if stale is not None:
             remove_paths(self.spark, [f"{self.path(name)}/season={s}" for s in stale])
             rows = rows.where(F.col("season").isin(stale))
-        rows.write.mode("overwrite" if stale is None else "append").partitionBy("season").parquet(self.path(name))
+        with folders_side_by_side(self.spark):
+            rows.write.mode("overwrite" if stale is None else "append").partitionBy("season").parquet(self.path(name))
 
     def build(self, wanted: list[str] | None = None, full: bool = False, keep: bool = True) -> dict[str, list[int]]:
         """Without ``keep`` the products are for this use alone: no fingerprints are taken and no manifest is written."""

@@ -3,12 +3,13 @@
 import os
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from tallyfield.operators import elo, ids, plays, standings
 from tallyfield.operators import games as games_
 from tallyfield.plans import fingerprints, products, slices
-from tallyfield.sources import league
+from tallyfield.sources import archive, league
 from tallyfield.streaming import ratings, replace
 
 SF = "/root/testdata/sf0.01"
@@ -180,6 +181,63 @@ def test_wide_table_reads_the_lines_twice_at_most(spark, monkeypatch):
     assert sum(scans) == 1 and "lineitem" not in out._jdf.queryExecution().executedPlan().toString()
 
 
+@pytest.fixture
+def write_plans(spark, monkeypatch):
+    """The plans that an insert by season has whenever a product or folder is written."""
+    spark.sql("create table by_season (x int, season int) using parquet partitioned by (season)")
+    plan, real, found = lambda: spark.sql("explain insert into by_season select 1, cast(id as int) from range(9)").first()[0], DataFrameWriter.parquet, []
+    assert "Sort [season" in plan() or "Sort [cast" in plan()
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, path, *a, **kw: (found.append((path, plan())), real(self, path, *a, **kw))[1])
+    yield found
+    spark.sql("drop table by_season")
+
+
+def test_products_are_written_without_sorting_their_rows(spark, tmp_path, write_plans):
+    conf = {k: spark.conf.get(k, None) for k in (archive._WRITERS, archive._ROW_GROUP)}
+    products.Run(spark, "/root/testdata/sf0.001", str(tmp_path / "products")).build(["epa"], keep=False)
+    assert [os.path.basename(p) for p, _ in write_plans] == ["plays", "epa"]
+    assert all("WriteFiles" in plan and "Sort" not in plan for _, plan in write_plans)
+    assert {k: spark.conf.get(k, None) for k in conf} == conf
+
+
+@pytest.mark.parametrize("folders", [1, 3, 32])
+def test_folders_side_by_side_keep_every_row(spark, tmp_path, monkeypatch, folders):
+    # more seasons than open files, a null one, null texts, rows that come twice, no rows in some tasks
+    monkeypatch.setattr(archive, "FOLDERS", folders)
+    rows = [(None if k % 7 == 6 else 1995 + k % 7, None if k % 5 == 0 else f"team {k % 3}", k % 11) for k in range(200)]
+    df = spark.createDataFrame(rows, "season int, team string, x int").repartition(3)
+    run = products.Run(spark, "", str(tmp_path))
+    run._write("p", df, None)
+    columns = ["season", "team", "x"]
+    assert rows_of(run.read("p").select(columns)) == rows_of(df)
+    run._write("p", df.withColumn("x", F.col("x") + 1), [1996])
+    assert rows_of(run.read("p").select(columns)) == rows_of(df.select("season", "team", (F.col("x") + F.when(F.col("season") == 1996, 1).otherwise(0)).alias("x")))
+    run._write("none", df.where("season < 0"), None)
+    assert not any(f"season={s}" in f for s in range(1995, 2001) for f in files_under(run.path("none")))
+
+
+def test_folders_side_by_side_leave_the_session_as_it_was(spark):
+    held = lambda: [spark.conf.get(k, None) for k in (archive._WRITERS, archive._ROW_GROUP)]
+    with pytest.raises(KeyError), archive.folders_side_by_side(spark):
+        assert held() == [str(archive.FOLDERS), str(2**27 // archive.FOLDERS)]
+        raise KeyError
+    assert held() == [None, None]
+    # a session's own row groups are shared, its own number of files stays
+    spark.conf.set(archive._ROW_GROUP, str(2**25))
+    try:
+        with archive.folders_side_by_side(spark):
+            assert held() == [str(archive.FOLDERS), str(2**25 // archive.FOLDERS)]
+        assert held() == [None, str(2**25)]
+        for files in ("5", "0"):
+            spark.conf.set(archive._WRITERS, files)
+            with archive.folders_side_by_side(spark):
+                assert held() == [files, str(2**25)]
+            assert held() == [files, str(2**25)]
+    finally:
+        spark.conf.unset(archive._ROW_GROUP)
+        spark.conf.unset(archive._WRITERS)
+
+
 # ------------------------------------------------------------------ streams
 
 
