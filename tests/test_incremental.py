@@ -200,6 +200,16 @@ def test_products_are_written_without_sorting_their_rows(spark, tmp_path, write_
     assert {k: spark.conf.get(k, None) for k in conf} == conf
 
 
+def test_series_follow_plays_that_are_written_without_sorting_them(spark, write_plans):
+    from tallyfield.plans import catalog
+
+    out = catalog.queries()["series_kept"](spark, "/root/testdata/sf0.001")
+    by_season = [plan for path, plan in write_plans if os.path.basename(path) in ("plays", "series")]
+    assert len(by_season) == 7 and all("WriteFiles" in plan and "Sort" not in plan for plan in by_season)
+    want = catalog.queries()["series_weekly"](spark, "/root/testdata/sf0.001")
+    assert rows_of(out.select(want.columns)) == rows_of(want)
+
+
 @pytest.mark.parametrize("folders", [1, 3, 32])
 def test_folders_side_by_side_keep_every_row(spark, tmp_path, monkeypatch, folders):
     # more seasons than open files, a null one, null texts, rows that come twice, no rows in some tasks
